@@ -18,16 +18,16 @@ def guarded_ratio(numerator, denominator) -> Column:
 
 
 def exact_sum(value, digits=None) -> Column:
-    """Sum of money in doubles that does not depend on row order, exact to 1/10,000 per row.
+    """Sum of money in doubles that does not depend on row order, exact to a millionth per row.
 
-    Whole units and ten-thousandths are summed as integers, which is cheaper than decimal sums; only
-    the final value of a group is a decimal.
+    Whole units and millionths are summed as integers, which is cheaper than decimal sums; only the
+    final value of a group is a decimal.
     """
     amount = as_column(value)
     whole = F.floor(amount)
-    parts = F.floor((amount - whole) * 10_000 + 0.5)
-    total = (F.sum(whole).cast("decimal(28,4)")
-             + F.sum(parts).cast("decimal(28,4)") * F.lit(Decimal("0.0001")))
+    parts = F.floor((amount - whole) * 1_000_000 + 0.5)
+    total = (F.sum(whole).cast("decimal(25,6)")
+             + F.sum(parts).cast("decimal(25,0)") * F.lit(Decimal("0.000001")))
     return (F.round(total, digits) if digits is not None else total).cast("double")
 
 

@@ -5,30 +5,18 @@ it. A leaf with d such features therefore has 2^d outcomes, whose contributions
 explaining a batch is a few comparisons and one table lookup per leaf.
 """
 
-from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
+import pandas as pd
 
 
-@dataclass
-class Leaf:
-    """Feature numbers, their intervals (low, high], and contributions per satisfied-bit pattern."""
+def compile_trees(nodes, tree_weights) -> tuple[list, float]:
+    """Leaves and base value of a weighted sum of trees.
 
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    table: np.ndarray
-
-
-@dataclass
-class CompiledTrees:
-    leaves: list
-    base_value: float
-
-
-def compile_trees(nodes, tree_weights) -> CompiledTrees:
-    """``nodes``: rows (treeID, id, prediction, leftChild, rightChild, feature, threshold, cover)."""
+    ``nodes``: rows (treeID, id, prediction, leftChild, rightChild, feature, threshold, cover).
+    A leaf is (feature numbers, their low ends, their high ends, contributions per pattern).
+    """
     trees = {}
     for node in nodes:
         trees.setdefault(node.treeID, {})[node.id] = node
@@ -40,9 +28,9 @@ def compile_trees(nodes, tree_weights) -> CompiledTrees:
             base += value * shares.prod()
             if path:
                 bounds = np.array([(low, high) for low, high, _ in path.values()])
-                leaves.append(Leaf(np.array(list(path)), bounds[:, 0], bounds[:, 1],
-                                   value * _pattern_table(shares)))
-    return CompiledTrees(leaves, float(base))
+                leaves.append((np.array(list(path)), bounds[:, 0], bounds[:, 1],
+                               value * _pattern_table(shares)))
+    return leaves, float(base)
 
 
 def _leaf_paths(tree):
@@ -79,12 +67,21 @@ def _pattern_table(shares):
     return table
 
 
-def attributions(trees: CompiledTrees, x: np.ndarray):
-    """Contributions (rows x features) and the base value they start from."""
-    values = np.zeros(x.shape)
-    for leaf in trees.leaves:
-        columns = x[:, leaf.features]
-        inside = (columns > leaf.low) & (columns <= leaf.high)
-        pattern = inside @ (1 << np.arange(len(leaf.features)))
-        values[:, leaf.features] += leaf.table[pattern]
-    return values, trees.base_value
+def batch_explainer(compiled, names):
+    """A ``mapInPandas`` function that adds ``base_value`` and ``shap``; ``compiled`` is a broadcast.
+
+    It is a closure over plain arrays, so workers need not have this package installed.
+    """
+    def explain(batches):
+        leaves, base = compiled.value
+        for batch in batches:
+            x = batch[names].to_numpy(dtype=float)
+            values = np.zeros(x.shape)
+            for features, low, high, table in leaves:
+                columns = x[:, features]
+                inside = (columns > low) & (columns <= high)
+                values[:, features] += table[inside @ (1 << np.arange(len(features)))]
+            added = pd.DataFrame({"base_value": base, "shap": list(values)}, index=batch.index)
+            yield pd.concat([batch, added], axis=1)
+
+    return explain

@@ -2,15 +2,15 @@
 
 import uuid
 
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimrisk.functions.columns import guarded_ratio
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.operators.ordered import add_percent_rank
-from claimrisk.operators.shapley import attributions, compile_trees
+from claimrisk.operators.shapley import batch_explainer, compile_trees
 from claimrisk.plans.silver import features_median
 from claimrisk.schemas import PROVIDER_KEYS
 from claimrisk.session import materialise, scratch_dir
@@ -40,16 +40,11 @@ def shap_values(features: DataFrame, model: PipelineModel) -> DataFrame:
     # MLlib's probability is the logistic function of twice the margin.
     compiled = compile_trees(tree_nodes(spark, model), [2 * w for w in trees.treeWeights])
     shared = spark.sparkContext.broadcast(compiled)
-
-    def explain(batches):
-        for batch in batches:
-            values, base = attributions(shared.value, batch[names].to_numpy(dtype=float))
-            yield pd.concat(
-                [batch, pd.DataFrame({"base_value": base, "shap": list(values)}, index=batch.index)],
-                axis=1)
-
-    schema = features.schema.add("base_value", "double").add("shap", "array<double>")
-    explained = features.mapInPandas(explain, schema)
+    schema = T.StructType([
+        *features.schema.fields,
+        T.StructField("base_value", T.DoubleType()),
+        T.StructField("shap", T.ArrayType(T.DoubleType()))])
+    explained = features.mapInPandas(batch_explainer(shared, names), schema)
     named = [F.struct(F.lit(n).alias("feature"), F.col("shap")[i].alias("impact"))
              for i, n in enumerate(names)]
     return explained.withColumn("contributions", F.array(*named)).drop("shap")

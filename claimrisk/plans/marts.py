@@ -20,7 +20,7 @@ _KEYS = ", ".join(PROVIDER_KEYS)
 
 
 def _money(amount):
-    return f"CAST(round(sum(CAST({amount} * total_services AS DECIMAL(28, 4))), 2) AS DOUBLE)"
+    return f"CAST(round(sum(CAST({amount} * total_services AS DECIMAL(28, 6))), 2) AS DOUBLE)"
 
 
 _MEASURES = {
@@ -52,7 +52,7 @@ TIER_PIVOT = """
            count_if(risk_tier = 'Critical') AS critical,
            count_if(risk_tier = 'Elevated') AS elevated,
            count_if(risk_tier = 'Normal') AS normal,
-           CAST(round(sum(CAST(total_billed AS DECIMAL(28, 4))), 2) AS DOUBLE) AS total_billed
+           CAST(round(sum(CAST(total_billed AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total_billed
     FROM {mart}"""
 
 
