@@ -22,22 +22,6 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return rows, size + rows * width
 
 
-def lookup_join(big: DataFrame, small: DataFrame, keys, size=None, how="left",
-                broadcast_bytes=BROADCAST_BYTES) -> DataFrame:
-    """Add the columns of ``small`` (unique per ``keys``) to ``big``; NULL keys match NULL keys.
-
-    ``size`` is the measured byte count of an already materialised ``small``. Within the limit the
-    lookup is broadcast and ``big`` is not shuffled; beyond it, hot keys are joined by a broadcast of
-    their few lookup rows and only the others are shuffled.
-    """
-    if size is None:
-        small = materialise(small)
-        size = measure(small)[1]
-    if size <= broadcast_bytes:
-        return null_safe_join(big, F.broadcast(small), keys, how)
-    return _split_join(big, small, keys, how)
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
     """Equi-join on ``keys`` in which NULL equals NULL; the keys appear once in the result."""
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
@@ -45,10 +29,32 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how="inner") -> Data
     return left.join(renamed, matched, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def _split_join(big, small, keys, how):
-    counts = materialise(big.groupBy(*keys).agg(F.count("*").alias("__n")))
-    total = counts.agg(F.sum("__n")).first()[0] or 0
-    heavy = counts.filter(F.col("__n") * HEAVY_SHARE > total).drop("__n")
-    heavy_rows = F.broadcast(materialise(null_safe_join(heavy, small, keys, how)))
-    light = null_safe_join(big, F.broadcast(heavy_rows.select(*keys)), keys, "left_anti")
-    return null_safe_join(big, heavy_rows, keys, "inner").unionByName(null_safe_join(light, small, keys, how))
+def lookup_join(big: DataFrame, small: DataFrame, keys, rows=None, size=None,
+                broadcast_bytes=None, heavy_share=None) -> DataFrame:
+    """Add the columns of ``small`` (unique per ``keys``) to ``big``; NULL keys match NULL keys.
+
+    Within the broadcast limit the lookup is broadcast and ``big`` is not shuffled. Beyond it, keys
+    with many rows are joined by a broadcast of their few lookup rows, and only the others are
+    shuffled.
+
+    ``rows`` names a column of ``small`` that holds the number of rows of the key in ``big``; it is
+    dropped, and saves counting them. ``size`` is the measured byte count of a materialised ``small``.
+    """
+    if size is None:
+        small = materialise(small)
+        size = measure(small)[1]
+    if size <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
+        lookup = small if rows is None else small.drop(rows)
+        return null_safe_join(big, F.broadcast(lookup), keys, "left")
+    return _split_join(big, small, keys, rows, heavy_share or HEAVY_SHARE)
+
+
+def _split_join(big, small, keys, rows, heavy_share):
+    if rows is None:
+        counts = materialise(big.groupBy(*keys).agg(F.count("*").alias("__rows")))
+        small, rows = null_safe_join(counts, small, keys, "left"), "__rows"
+    total = small.agg(F.sum(rows)).first()[0] or 0
+    heavy = F.broadcast(materialise(small.filter(F.col(rows) * heavy_share > total).drop(rows)))
+    light = null_safe_join(big, heavy.select(*keys), keys, "left_anti")
+    return null_safe_join(big, heavy, keys).unionByName(
+        null_safe_join(light, small.drop(rows), keys, "left"))

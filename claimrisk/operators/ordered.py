@@ -27,22 +27,22 @@ BRACKET = 0.0005
 INF = float("inf")
 
 
-def prefix_sums(df: DataFrame, groups, order, measures, one_task_rows=ONE_TASK_ROWS) -> DataFrame:
+def prefix_sums(df: DataFrame, groups, order, measures) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller ``order`` values) and ``<m>_total`` for each measure.
 
     ``df`` holds one row per (groups, order). NULL order values come first.
     """
-    return _prefix_sums(materialise(df), groups, order, measures, one_task_rows)[0]
+    return _prefix_sums(materialise(df), groups, order, measures)[0]
 
 
-def _prefix_sums(df, groups, order, measures, one_task_rows=ONE_TASK_ROWS):
+def _prefix_sums(df, groups, order, measures):
     """As ``prefix_sums`` on a materialised frame; also the size of the result in bytes."""
     rows, size = measure(df)
     size += rows * 32 * len(measures)
-    if rows <= one_task_rows:
+    if rows <= ONE_TASK_ROWS:
         return _running(df, list(groups), order, measures, totals=True), size
     spark = df.sparkSession
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / one_task_rows))
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / ONE_TASK_ROWS))
     # The slice number is stored, so every later use sees the same slicing.
     sliced = materialise(
         df.repartitionByRange(slices, *groups, F.col(order).asc_nulls_first())
@@ -77,8 +77,8 @@ def value_counts(df: DataFrame, groups, value) -> DataFrame:
 def _add_order(df, groups, value, name, expression):
     counts = materialise(value_counts(df, groups, value))
     summed, size = _prefix_sums(counts, groups, value, ["rows"])
-    lookup = summed.select(*groups, value, expression.alias(name))
-    return lookup_join(df, lookup, [*groups, value], size=size)
+    lookup = summed.select(*groups, value, "rows", expression.alias(name))
+    return lookup_join(df, lookup, [*groups, value], rows="rows", size=size)
 
 
 def add_rank(df: DataFrame, groups, value, name) -> DataFrame:
@@ -112,15 +112,15 @@ def compressed_histogram(df: DataFrame, groups, value, fractions, bracket=BRACKE
             F.count("*").alias("__n"),
             F.percentile_approx("__v", [min(max(e, 0.0), 1.0) for e in edges], SKETCH_ACCURACY)
             .alias("__edges")))
-        bounds = sketch.select(*groups, *[
+        bounds = sketch.select(*groups, "__n", *[
             F.when((F.col("__n") > SMALL_GROUP) & F.lit(0.0 < e < 1.0), F.col("__edges")[i])
             .otherwise(F.lit(INF if i % 2 else -INF)).alias(f"__e{i}")
             for i, e in enumerate(edges)])
         if groups:
-            rows = lookup_join(rows, bounds, groups)
+            rows = lookup_join(rows, bounds, groups, rows="__n")
             edge = [F.col(f"__e{i}") for i in range(len(edges))]
         else:
-            edge = [F.lit(e) for e in bounds.first() or [INF] * len(edges)]
+            edge = [F.lit(e) for e in bounds.first()[1:]]
         pairs = list(zip(edge[::2], edge[1::2]))
         inside = any_of(F.col("__v").between(lo, hi) for lo, hi in pairs)
         segment = sum(((F.col("__v") >= lo).cast("int") + (F.col("__v") > hi).cast("int")

@@ -58,7 +58,7 @@ def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
         "mean_charge": F.sum(CHARGE) / F.count(CHARGE),
         "var_charge": F.var_pop(CHARGE),
     }))
-    scored = lookup_join(base, _pooled_stats(base), ["specialty"])
+    scored = lookup_join(base, _pooled_stats(base), ["specialty"], rows="providers")
     mean, spread = "specialty_avg_charge", "specialty_stddev_charge"
     scored = scored.withColumns({
         "max_zscore": F.round(zscore("max_charge", mean, spread), 4),
@@ -74,6 +74,7 @@ def _pooled_stats(base: DataFrame) -> DataFrame:
     exactly 0.
     """
     means = materialise(base.groupBy("specialty").agg(
+        F.count("*").alias("providers"),
         F.sum("charges").alias("n"),
         (F.sum(F.col("charges") * F.col("mean_charge")) / F.sum("charges")).alias("mean"),
         F.min("min_charge").alias("low"),
@@ -85,9 +86,10 @@ def _pooled_stats(base: DataFrame) -> DataFrame:
     spread = F.when(F.col("n") == 1, None).when(F.col("low") == F.col("high"), 0.0).otherwise(
         F.sqrt(F.try_divide("squares", F.col("n") - 1)))
     pooled = parts.groupBy("specialty").agg(
-        F.sum(squares).alias("squares"), *[F.max(c).alias(c) for c in ("n", "mean", "low", "high")])
+        F.sum(squares).alias("squares"),
+        *[F.max(c).alias(c) for c in ("providers", "n", "mean", "low", "high")])
     return pooled.select(
-        "specialty", F.col("mean").alias("specialty_avg_charge"),
+        "specialty", "providers", F.col("mean").alias("specialty_avg_charge"),
         spread.alias("specialty_stddev_charge"))
 
 

@@ -55,7 +55,8 @@ def peer_stats(claims: DataFrame) -> DataFrame:
     """Mean charge and sample standard deviation per specialty; reads two columns."""
     return claims.groupBy("specialty").agg(
         F.avg(CHARGE).alias("specialty_avg_charge"),
-        F.stddev_samp(CHARGE).alias("specialty_stddev_charge"))
+        F.stddev_samp(CHARGE).alias("specialty_stddev_charge"),
+        F.count("*").alias("peer_claims"))
 
 
 def features(claims: DataFrame, run_ts=None) -> DataFrame:
@@ -64,7 +65,8 @@ def features(claims: DataFrame, run_ts=None) -> DataFrame:
     Peer statistics are aggregated and looked up, so no specialty is gathered in one task; pass a
     stored table, as it is scanned twice (once for two columns).
     """
-    scored = lookup_join(claims.withColumns(ratio_columns()), peer_stats(claims), ["specialty"])
+    scored = lookup_join(claims.withColumns(ratio_columns()), peer_stats(claims), ["specialty"],
+                         rows="peer_claims")
     return scored.withColumns({
         "provider_charge_zscore": zscore(CHARGE, "specialty_avg_charge", "specialty_stddev_charge"),
         "facility_flag": flag(F.col("place_of_service") == "F"),
@@ -92,16 +94,17 @@ def features_median(claims: DataFrame) -> DataFrame:
         "specialty",
         F.col("charge_median").alias("specialty_median_charge"),
         F.col("ratio_median").alias("specialty_median_ratio"),
-        "specialty_stddev_charge")
-    return lookup_join(rows, peers, ["specialty"]).withColumn(
+        "specialty_stddev_charge", "peer_claims")
+    return lookup_join(rows, peers, ["specialty"], rows="peer_claims").withColumn(
         "median_charge_zscore", zscore(CHARGE, "specialty_median_charge", "specialty_stddev_charge"))
 
 
 def with_unique_procedures(claims: DataFrame) -> DataFrame:
     """Claims with the number of distinct procedures of their provider."""
     counts = claims.groupBy("provider_id").agg(
-        F.count_distinct("procedure_code").alias("unique_hcpcs_per_npi"))
-    return lookup_join(claims, counts, ["provider_id"])
+        F.count_distinct("procedure_code").alias("unique_hcpcs_per_npi"),
+        F.count("*").alias("provider_claims"))
+    return lookup_join(claims, counts, ["provider_id"], rows="provider_claims")
 
 
 def label_any(features_df: DataFrame, z=3.0, ratio_factor=10.0, intensity_fraction=0.95) -> DataFrame:
