@@ -2,10 +2,9 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from claimrisk.functions.columns import all_of
-from claimrisk.session import materialise
+from claimrisk.session import Size, materialise, materialise_measured
 
 # A lookup measured above this is never broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -13,15 +12,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_SHARE = 10_000
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and estimated bytes of a frame, from one aggregate."""
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    width = 16 * len(df.columns) + 16
-    chars = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text), F.lit(0))
-    rows, size = df.agg(F.count("*"), chars).first()
-    return rows, size + rows * width
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
     """Equi-join on ``keys`` in which NULL equals NULL; the keys appear once in the result."""
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
@@ -29,8 +19,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how="inner") -> Data
     return left.join(renamed, matched, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def lookup_join(big: DataFrame, small: DataFrame, keys, rows=None, size=None,
-                broadcast_bytes=None, heavy_share=None) -> DataFrame:
+def fits_broadcast(size: Size) -> bool:
+    return size.bytes <= BROADCAST_BYTES
+
+
+def lookup_join(big: DataFrame, small: DataFrame, keys, rows=None, size: Size | None = None
+                ) -> DataFrame:
     """Add the columns of ``small`` (unique per ``keys``) to ``big``; NULL keys match NULL keys.
 
     Within the broadcast limit the lookup is broadcast and ``big`` is not shuffled. Beyond it, keys
@@ -38,23 +32,23 @@ def lookup_join(big: DataFrame, small: DataFrame, keys, rows=None, size=None,
     shuffled.
 
     ``rows`` names a column of ``small`` that holds the number of rows of the key in ``big``; it is
-    dropped, and saves counting them. ``size`` is the measured byte count of a materialised ``small``.
+    dropped, and saves counting them. ``size`` bounds the size of ``small`` where that is known, else
+    ``small`` is materialised and measured.
     """
-    if size is None:
-        small = materialise(small)
-        size = measure(small)[1]
-    if size <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
+    if size is None or not fits_broadcast(size):
+        small, size = materialise_measured(small)
+    if fits_broadcast(size):
         lookup = small if rows is None else small.drop(rows)
         return null_safe_join(big, F.broadcast(lookup), keys, "left")
-    return _split_join(big, small, keys, rows, heavy_share or HEAVY_SHARE)
+    return _split_join(big, small, keys, rows)
 
 
-def _split_join(big, small, keys, rows, heavy_share):
+def _split_join(big, small, keys, rows):
     if rows is None:
         counts = materialise(big.groupBy(*keys).agg(F.count("*").alias("__rows")))
         small, rows = null_safe_join(counts, small, keys, "left"), "__rows"
     total = small.agg(F.sum(rows)).first()[0] or 0
-    heavy = F.broadcast(materialise(small.filter(F.col(rows) * heavy_share > total).drop(rows)))
+    heavy = F.broadcast(materialise(small.filter(F.col(rows) * HEAVY_SHARE > total).drop(rows)))
     light = null_safe_join(big, heavy.select(*keys), keys, "left_anti")
     return null_safe_join(big, heavy, keys).unionByName(
         null_safe_join(light, small.drop(rows), keys, "left"))

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import any_of
-from claimrisk.operators.lookup_join import lookup_join, measure
-from claimrisk.session import materialise
+from claimrisk.operators.lookup_join import lookup_join
+from claimrisk.session import Size, materialise, materialise_measured
 
 # Rows a single window task may hold; frames above it are range partitioned.
 ONE_TASK_ROWS = 1_000_000
@@ -32,17 +32,15 @@ def prefix_sums(df: DataFrame, groups, order, measures) -> DataFrame:
 
     ``df`` holds one row per (groups, order). NULL order values come first.
     """
-    return _prefix_sums(materialise(df), groups, order, measures)[0]
+    df, size = materialise_measured(df)
+    return _prefix_sums(df, size, groups, order, measures)
 
 
-def _prefix_sums(df, groups, order, measures):
-    """As ``prefix_sums`` on a materialised frame; also the size of the result in bytes."""
-    rows, size = measure(df)
-    size += rows * 32 * len(measures)
-    if rows <= ONE_TASK_ROWS:
-        return _running(df, list(groups), order, measures, totals=True), size
+def _prefix_sums(df, size, groups, order, measures):
+    if size.rows <= ONE_TASK_ROWS:
+        return _running(df, list(groups), order, measures, totals=True)
     spark = df.sparkSession
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / ONE_TASK_ROWS))
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(size.rows / ONE_TASK_ROWS))
     # The slice number is stored, so every later use sees the same slicing.
     sliced = materialise(
         df.repartitionByRange(slices, *groups, F.col(order).asc_nulls_first())
@@ -57,7 +55,7 @@ def _prefix_sums(df, groups, order, measures):
     joined = lookup_join(local, offsets, [*groups, "__slice"])
     summed = joined.withColumns(
         {f"{m}_before": F.col(f"{m}_before") + F.col(f"__{m}_offset") for m in measures})
-    return summed.drop("__slice", *[f"__{m}_offset" for m in measures]), size
+    return summed.drop("__slice", *[f"__{m}_offset" for m in measures])
 
 
 def _running(df, groups, order, measures, totals):
@@ -74,26 +72,29 @@ def value_counts(df: DataFrame, groups, value) -> DataFrame:
     return df.groupBy(*groups, value).agg(F.count("*").alias("rows"))
 
 
-def _add_order(df, groups, value, name, expression):
-    counts = materialise(value_counts(df, groups, value))
-    summed, size = _prefix_sums(counts, groups, value, ["rows"])
+def _add_order(df, groups, value, name, expression, size):
+    counts = value_counts(df, groups, value)
+    if size is None or size.rows > ONE_TASK_ROWS:
+        counts, size = materialise_measured(counts)
+    summed = _prefix_sums(counts, size, groups, value, ["rows"])
     lookup = summed.select(*groups, value, "rows", expression.alias(name))
-    return lookup_join(df, lookup, [*groups, value], rows="rows", size=size)
+    return lookup_join(df, lookup, [*groups, value], rows="rows", size=size.plus_columns(2))
 
 
-def add_rank(df: DataFrame, groups, value, name) -> DataFrame:
+def add_rank(df: DataFrame, groups, value, name, size: Size | None = None) -> DataFrame:
     """``rank()`` within groups by falling value, NULLs last.
 
     ``value`` must be stable when recomputed: materialise it first if it comes from a sum of doubles.
+    ``size`` bounds the size of ``df`` where that is known.
     """
     above = F.col("rows_total") - F.col("rows_before") - F.col("rows")
-    return _add_order(df, groups, value, name, (above + 1).cast("int"))
+    return _add_order(df, groups, value, name, (above + 1).cast("int"), size)
 
 
-def add_percent_rank(df: DataFrame, groups, value, name) -> DataFrame:
+def add_percent_rank(df: DataFrame, groups, value, name, size: Size | None = None) -> DataFrame:
     """``percent_rank()`` within groups by rising value, NULLs first."""
     below = F.try_divide(F.col("rows_before"), F.col("rows_total") - 1)
-    return _add_order(df, groups, value, name, F.coalesce(below, F.lit(0.0)))
+    return _add_order(df, groups, value, name, F.coalesce(below, F.lit(0.0)), size)
 
 
 def compressed_histogram(df: DataFrame, groups, value, fractions, bracket=BRACKET) -> DataFrame:

@@ -9,7 +9,7 @@ from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.operators.ordered import add_percent_rank, add_rank, percentiles, top_fraction
 from claimrisk.plans.silver import CHARGE, peer_percentiles, ratio_columns
 from claimrisk.schemas import PROVIDER_KEYS, PROVIDER_MEASURES
-from claimrisk.session import materialise
+from claimrisk.session import Size, materialise, materialise_measured
 
 
 def _volume_measures() -> dict:
@@ -37,7 +37,7 @@ def provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
         "avg_zscore": F.round(F.avg("provider_charge_zscore"), 4),
         "facility_rate": F.round(F.avg("facility_flag"), 4),
     })
-    return _rank_and_tier(materialise(stats), run_ts)
+    return _rank_and_tier(*materialise_measured(stats), run_ts)
 
 
 def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
@@ -47,7 +47,7 @@ def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
     and mean z-score follow from the provider's largest and mean charge, and the peer statistics from
     the provider rows: no claim is joined or read twice.
     """
-    base = materialise(_aggregate(claims.withColumns(ratio_columns()), {
+    base, size = materialise_measured(_aggregate(claims.withColumns(ratio_columns()), {
         **_volume_measures(),
         "avg_charge_ratio": F.round(F.avg("charge_to_payment_ratio"), 4),
         "avg_billing_intensity": F.round(F.avg("billing_intensity"), 4),
@@ -58,29 +58,31 @@ def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
         "mean_charge": F.sum(CHARGE) / F.count(CHARGE),
         "var_charge": F.var_pop(CHARGE),
     }))
-    scored = lookup_join(base, _pooled_stats(base), ["specialty"], rows="providers")
+    pooled = materialise(_pooled_stats(base, size))
+    scored = lookup_join(base, pooled, ["specialty"], rows="providers", size=size)
     mean, spread = "specialty_avg_charge", "specialty_stddev_charge"
     scored = scored.withColumns({
         "max_zscore": F.round(zscore("max_charge", mean, spread), 4),
         "avg_zscore": F.round(zscore("mean_charge", mean, spread), 4),
     })
-    return _rank_and_tier(scored.select(*PROVIDER_KEYS, *PROVIDER_MEASURES), run_ts)
+    return _rank_and_tier(scored.select(*PROVIDER_KEYS, *PROVIDER_MEASURES), size, run_ts)
 
 
-def _pooled_stats(base: DataFrame) -> DataFrame:
+def _pooled_stats(base: DataFrame, size: Size) -> DataFrame:
     """Specialty mean and sample standard deviation from per-provider counts, means and variances.
 
     Squares are taken around the pooled mean, not as a difference of large sums; equal charges give
     exactly 0.
     """
-    means = materialise(base.groupBy("specialty").agg(
+    means = base.groupBy("specialty").agg(
         F.count("*").alias("providers"),
         F.sum("charges").alias("n"),
         (F.sum(F.col("charges") * F.col("mean_charge")) / F.sum("charges")).alias("mean"),
         F.min("min_charge").alias("low"),
-        F.max("max_charge").alias("high")))
+        F.max("max_charge").alias("high"))
     parts = lookup_join(base.select("specialty", "charges", "mean_charge", "var_charge"),
-                        means, ["specialty"])
+                        means.withColumn("peers", F.col("providers")), ["specialty"],
+                        rows="peers", size=size)
     offset = F.col("mean_charge") - F.col("mean")
     squares = F.col("charges") * (F.col("var_charge") + offset * offset)
     spread = F.when(F.col("n") == 1, None).when(F.col("low") == F.col("high"), 0.0).otherwise(
@@ -93,8 +95,8 @@ def _pooled_stats(base: DataFrame) -> DataFrame:
         spread.alias("specialty_stddev_charge"))
 
 
-def _rank_and_tier(stats: DataFrame, run_ts) -> DataFrame:
-    ranked = add_rank(stats, ["specialty"], "max_zscore", "specialty_rank")
+def _rank_and_tier(stats: DataFrame, size: Size, run_ts) -> DataFrame:
+    ranked = add_rank(stats, ["specialty"], "max_zscore", "specialty_rank", size)
     return ranked.select(
         *PROVIDER_KEYS, *PROVIDER_MEASURES, "specialty_rank",
         risk_tier("max_zscore").alias("risk_tier"),

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from claimrisk.functions.columns import processed_at, risk_tier
 from claimrisk.operators.ordered import add_rank
 from claimrisk.schemas import PROVIDER_KEYS, PROVIDER_MEASURES
-from claimrisk.session import materialise
+from claimrisk.session import materialise_measured
 from claimrisk.sources.tables import replace_view
 
 # Feature columns that the staging model leaves out.
@@ -65,8 +65,8 @@ def provider_stats(features: DataFrame) -> DataFrame:
 
 
 def fct_provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
-    stats = materialise(features.sparkSession.sql(_STATS_WITH_PEAK, features=features))
-    ranked = add_rank(stats, ["specialty"], "peak_zscore", "specialty_rank")
+    stats, size = materialise_measured(features.sparkSession.sql(_STATS_WITH_PEAK, features=features))
+    ranked = add_rank(stats, ["specialty"], "peak_zscore", "specialty_rank", size)
     return ranked.select(
         *PROVIDER_KEYS, *PROVIDER_MEASURES, "specialty_rank",
         risk_tier("peak_zscore").alias("risk_tier"),

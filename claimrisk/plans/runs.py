@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.plans import gold, marts, ml, quality, serving, silver
+from claimrisk.schemas import PROVIDER_KEYS
 from claimrisk.sources.tables import create_schema, read_table, write_table
 
 # Default schemas of the layers.
@@ -21,10 +22,10 @@ class TableRun:
     def name(self, layer, table):
         return f"{self.schemas[layer]}.{table}"
 
-    def write(self, df: DataFrame, layer, table) -> DataFrame:
+    def write(self, df: DataFrame, layer, table, sort_by=None) -> DataFrame:
         counter = Observation()
         stored = write_table(df.observe(counter, F.count("*").alias("rows")),
-                             self.name(layer, table), fmt=self.fmt)
+                             self.name(layer, table), fmt=self.fmt, sort_by=sort_by)
         self.written.append((self.name(layer, table), counter.get["rows"], len(df.columns)))
         return stored
 
@@ -61,7 +62,8 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
     inputs = ml.add_split(ml.features_table(mart))
     model = ml.fit(inputs.filter(F.col("split") == "train"), feature_set, rounds, depth)
     scores = run.write(ml.score(inputs, model), "gold", "ml_provider_scores")
-    run.write(serving.serving_provider_risk(scores, mart), "gold", "serving_provider_risk")
+    run.write(serving.serving_provider_risk(scores, mart), "gold", "serving_provider_risk",
+              sort_by=PROVIDER_KEYS)
 
     staging = read_table(spark, run.name("marts", "stg_cms_claims"))
     return run.report(), quality.run_tests(staging, mart, scores)

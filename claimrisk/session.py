@@ -1,8 +1,11 @@
 """Session defaults and fault-tolerant materialisation."""
 
 import tempfile
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings the plans count on; a cluster may override any of them at submit time.
 DEFAULTS = {
@@ -11,6 +14,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Above this many groups per task, percentile sketches fall back to sorting all their rows.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "512",
+    # Recording the Python call site of every expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -42,3 +49,23 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage, so later stages neither recompute nor lose it."""
     scratch_dir(df.sparkSession)
     return df.checkpoint()
+
+
+class Size(NamedTuple):
+    """Measured rows and estimated bytes of a frame, or an upper bound of them."""
+
+    rows: int
+    bytes: int
+
+    def plus_columns(self, columns: int) -> "Size":
+        return Size(self.rows, self.bytes + 16 * columns * self.rows)
+
+
+def materialise_measured(df: DataFrame) -> tuple[DataFrame, Size]:
+    """``materialise``, with the size measured by the same job."""
+    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    chars = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text), F.lit(0))
+    measured = Observation()
+    stored = materialise(df.observe(measured, F.count("*").alias("rows"), chars.alias("chars")))
+    rows = measured.get["rows"]
+    return stored, Size(rows, measured.get["chars"] + rows * (16 * len(df.columns) + 16))

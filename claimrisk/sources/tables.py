@@ -20,8 +20,14 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_table(df: DataFrame, name: str, mode="overwrite", fmt="parquet") -> DataFrame:
-    """Replace a table including its schema, or append to it; returns the stored table."""
+def write_table(df: DataFrame, name: str, mode="overwrite", fmt="parquet", sort_by=None) -> DataFrame:
+    """Replace a table including its schema, or append to it; returns the stored table.
+
+    ``sort_by`` range partitions and sorts the files, so that lookups on these columns skip most of
+    them by their statistics.
+    """
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     writer = df.write.format(fmt).mode(mode)
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
