@@ -134,7 +134,7 @@ def _cast_features(columns):
     """Feature columns as published: peer statistics rounded, flag as a 32-bit integer."""
     shown = {
         "facility_flag": "CAST(facility_flag AS INTEGER)",
-        **{c: f"round({c}, 6)" for c in (
+        **{c: f"round({c}, 6) + 0" for c in (
             "specialty_avg_charge", "specialty_stddev_charge", "provider_charge_zscore")},
     }
     return ", ".join(f"{shown.get(c, c)} AS {c}" for c in columns)
@@ -199,7 +199,7 @@ _NARRATIVE = f"""
                  WHEN pct % 10 = 2 THEN 'nd' WHEN pct % 10 = 3 THEN 'rd' ELSE 'th' END
             || ' percentile' END,
         CASE WHEN peak IS NOT NULL THEN
-            printf('%.1f std deviations above specialty median charge', round(peak, 1)) END)
+            printf('%.1f std deviations above specialty median charge', round(peak, 1) + 0) END)
         AS rationale
     FROM compared"""
 
@@ -268,11 +268,11 @@ _QUERIES = {
             charge_to_payment_ratio, round(mc, 6) AS specialty_median_charge,
             round(mr, 6) AS specialty_median_ratio,
             round(CASE WHEN specialty_stddev_charge = 0 THEN 0
-                  ELSE (avg_submitted_charge - mc) / specialty_stddev_charge END, 6)
+                  ELSE (avg_submitted_charge - mc) / specialty_stddev_charge END, 6) + 0
                 AS median_charge_zscore
         FROM features f JOIN medians m ON f.specialty IS NOT DISTINCT FROM m.specialty""",
     "feature_describe": _union(
-        f"""SELECT '{c}' AS feature, count({c}) AS value_count, round(avg({c}), 4) AS mean,
+        f"""SELECT '{c}' AS feature, count({c}) AS value_count, round(avg({c}), 4) + 0 AS mean,
             round(stddev_samp({c}), 4) AS stddev, round(CAST(min({c}) AS DOUBLE), 4) AS min,
             round(CAST(max({c}) AS DOUBLE), 4) AS max FROM features"""
         for c in ("charge_to_payment_ratio", "billing_intensity", "provider_charge_zscore",

@@ -19,8 +19,12 @@ STAGING = f"SELECT * EXCEPT ({', '.join(STAGING_DROPS)}) FROM {{features}}"
 _KEYS = ", ".join(PROVIDER_KEYS)
 
 
-def _money(amount):
-    return f"CAST(round(sum(CAST({amount} * total_services AS DECIMAL(28, 6))), 2) AS DOUBLE)"
+def _money(price):
+    # As in functions.columns.exact_sum: whole units and millionths add up as integers.
+    amount = f"{price} * total_services"
+    parts = f"floor(({amount} - floor({amount})) * 1000000 + 0.5)"
+    return (f"CAST(round(CAST(sum(floor({amount})) AS DECIMAL(25, 6)) "
+            f"+ CAST(sum({parts}) AS DECIMAL(25, 0)) * 0.000001, 2) AS DOUBLE)")
 
 
 _MEASURES = {

@@ -6,7 +6,7 @@ from claimrisk.functions.columns import flag
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
 from claimrisk.plans import bronze, explain, gold, marts, ml, quality, serving, silver
-from claimrisk.schemas import MODEL_FEATURES, PROVIDER_KEYS, TIERS
+from claimrisk.schemas import MODEL_FEATURES, PROVIDER_KEYS, RAW_MONEY_COLUMNS, TIERS
 from claimrisk.session import materialise
 from claimrisk.sources.claims_mapping import raw_claims
 
@@ -37,6 +37,40 @@ def rounded(df, digits, *columns):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def joined_once(df, *columns):
+    """The needed columns of a derived frame, stored: for plans that read their input several times."""
+    return materialise(df.select(*columns))
+
+
+PEER_INPUTS = [*PROVIDER_KEYS, "procedure_code", "procedure_desc", "place_of_service",
+               "avg_submitted_charge", "avg_medicare_paid", "total_services", "total_beneficiaries"]
+LABEL_INPUTS = [*PROVIDER_KEYS, "procedure_code", "procedure_desc", "place_of_service",
+                "avg_submitted_charge", "charge_to_payment_ratio", "billing_intensity",
+                "provider_charge_zscore"]
+
+
+def _money_summary(raw):
+    return bronze.money_summary(joined_once(raw, *RAW_MONEY_COLUMNS))
+
+
+def _features_median(claims):
+    return _median_out(silver.features_median(joined_once(claims, *PEER_INPUTS)))
+
+
+def _specialty_percentiles(claims):
+    return _percentiles_out(gold.specialty_percentiles(joined_once(
+        claims, "specialty", "avg_submitted_charge", "avg_medicare_paid", "total_services",
+        "total_beneficiaries")))
+
+
+def _narrative(claims):
+    return explain.rationale_narrative(joined_once(claims, *PEER_INPUTS))
+
+
+def _labelled(features):
+    return silver.label_any(joined_once(features, *LABEL_INPUTS))
+
+
 def _raw(plan):
     return lambda spark, sf_dir: plan(raw_claims(spark, sf_dir))
 
@@ -191,7 +225,7 @@ def _ml_rationale(spark, sf_dir):
 
 QUERIES = {
     "bronze_null_counts": _raw(bronze.null_counts),
-    "bronze_money_summary": _raw(bronze.money_summary),
+    "bronze_money_summary": _raw(_money_summary),
     "bronze_price_gap": _raw(bronze.price_gap),
     "bronze_distinct_counts": _raw(bronze.distinct_counts),
     "bronze_top_specialties": _raw(bronze.top_specialties),
@@ -202,7 +236,7 @@ QUERIES = {
     "silver_clean": _claims(lambda c: c),
     "silver_dedup": lambda spark, d: clean_claims(spark, d, dedupe=True).drop(*AUDIT_TIMES),
     "silver_features": _features(_features_out),
-    "features_median": _claims(lambda c: _median_out(silver.features_median(c))),
+    "features_median": _claims(_features_median),
     "feature_describe": _features(silver.describe),
     "claims_unique_procedures": _claims(lambda c: _unique_out(silver.with_unique_procedures(c))),
     "provider_risk": _risk(lambda r: r),
@@ -219,9 +253,9 @@ QUERIES = {
     "kpi_critical_providers": _risk(gold.kpi_critical_providers),
     "kpi_patient_concentration": _risk(gold.kpi_patient_concentration),
     "kpi_patient_outliers": _risk(lambda r: rounded(gold.kpi_patient_outliers(r), 4, "patient_limit")),
-    "specialty_percentiles": _claims(lambda c: _percentiles_out(gold.specialty_percentiles(c))),
-    "label_any3": _features(lambda f: _label_out(silver.label_any(f))),
-    "procedure_fraud_rate": _features(lambda f: gold.procedure_fraud_rate(silver.label_any(f))),
+    "specialty_percentiles": _claims(_specialty_percentiles),
+    "label_any3": _features(lambda f: _label_out(_labelled(f))),
+    "procedure_fraud_rate": _features(lambda f: gold.procedure_fraud_rate(_labelled(f))),
     "specialty_rank_percentile": _risk(lambda r: _rank_percentile_out(gold.specialty_rank_percentile(r))),
     "stg_claims": _features(lambda f: _features_out(marts.stg_claims(f))),
     "provider_stats": _features(marts.provider_stats),
@@ -236,7 +270,7 @@ QUERIES = {
     "ml_features": _mart(ml.features_table),
     "ml_features_wide": _wide,
     "ml_label_any3": _features(lambda f: ml.features_table(
-        marts.fct_provider_risk(f), silver.label_any(f)).select(*PROVIDER_KEYS, "fraud_flag")),
+        marts.fct_provider_risk(f), _labelled(f)).select(*PROVIDER_KEYS, "fraud_flag")),
     "ml_class_balance": _mart(lambda m: ml.class_balance(ml.features_table(m))),
     "ml_split": _mart(lambda m: ml.add_split(ml.features_table(m)).select(*PROVIDER_KEYS, "split")),
     "ml_report": _mart(_report_out),
@@ -245,7 +279,7 @@ QUERIES = {
     "ml_avg_precision": _mart(lambda m: rounded(
         average_precision(_ranked_inputs(m), "fraud_flag", "avg_zscore"), 6, "average_precision")),
     "rationale_top3": _mart(_peer_rationale),
-    "rationale_narrative": _claims(explain.rationale_narrative),
+    "rationale_narrative": _claims(_narrative),
     "ml_scores": _ml_scores,
     "ml_importance": _ml_importance,
     "ml_shap": _ml_shap,
