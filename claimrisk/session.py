@@ -1,6 +1,7 @@
 """Session defaults and fault-tolerant materialisation."""
 
 import tempfile
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,6 +52,32 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def store(df: DataFrame, columns=None) -> DataFrame:
+    """A Parquet copy of ``df`` (or of ``columns``) in the shared folder, for plans that read it again.
+
+    Unlike ``materialise`` it is columnar and compressed: later passes read only their columns. The
+    copy goes when the driver's JVM ends, or earlier by ``drop_stored``.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df = df.select(*columns) if columns else df
+    df.write.parquet(path)
+    _file_system(spark, path)[0].deleteOnExit(_file_system(spark, path)[1])
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark, path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Remove the files behind a frame that ``store`` returned."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        system, place = _file_system(df.sparkSession, folder)
+        system.delete(place, True)
+
+
 class Size(NamedTuple):
     """Measured rows and estimated bytes of a frame, or an upper bound of them."""
 
