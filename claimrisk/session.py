@@ -62,11 +62,11 @@ def store(df: DataFrame, columns=None) -> DataFrame:
     path = f"{scratch_dir(spark)}/stored-{uuid.uuid4().hex}"
     df = df.select(*columns) if columns else df
     df.write.parquet(path)
-    _file_system(spark, path)[0].deleteOnExit(_file_system(spark, path)[1])
+    file_system(spark, path)[0].deleteOnExit(file_system(spark, path)[1])
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _file_system(spark, path):
+def file_system(spark, path):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
@@ -74,7 +74,7 @@ def _file_system(spark, path):
 def drop_stored(df: DataFrame) -> None:
     """Remove the files behind a frame that ``store`` returned."""
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        system, place = _file_system(df.sparkSession, folder)
+        system, place = file_system(df.sparkSession, folder)
         system.delete(place, True)
 
 
