@@ -1,10 +1,23 @@
 """The operators of this package on their whole tables, with production parameters."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from claimrisk.llm import lang_crf, packing, quality, simhash
+from claimrisk.llm import (
+    bpe_cuts,
+    bsi_topk,
+    lang_crf,
+    license_scan,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    token_rollup,
+    toxicity,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def documents(spark, sf_dir):
@@ -15,17 +28,61 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
 
 
+def op2_license_scan(spark, sf_dir):
+    return license_scan.summary(license_scan.scan(documents(spark, sf_dir)))
+
+
+def op3_topk(spark, sf_dir):
+    return bsi_topk.top_k_of_table(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
+
+
 def op4_language_id(spark, sf_dir):
     return lang_crf.language_id(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality.judge(documents(spark, sf_dir)).drop(quality.TEXT_HASH)
 
 
+def op7_token_counts(spark, sf_dir):
+    return token_rollup.rollup_of_table(documents(spark, sf_dir), BYTE_BPE, "byte_bpe_50k")
+
+
 def op8_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_language_id, op6_quality_rules, op8_packing)}
-ORACLES = {}
+def op9_sharding(spark, sf_dir):
+    return sharding.place(documents(spark, sf_dir).select("doc_id"), sharding.shard_names())
+
+
+def op10_bpe(spark, sf_dir):
+    coded = bpe_cuts.encode(documents(spark, sf_dir), WORD_BPE)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_license_scan, op3_topk, op4_language_id, op5_toxicity, op6_quality_rules,
+    op7_token_counts, op8_packing, op9_sharding, op10_bpe)}
+
+# Nearest neighbours over the whole table, vectors kept as lists; the other operators have no SQL form.
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+WHERE rank <= 5"""
+
+ORACLES = {"op3_topk": TOPK_SQL, "op9_sharding": sharding.oracle_sql()}
