@@ -81,15 +81,20 @@ def choose_features(positive, unlabelled, size=FEATURES):
         part = lambda seen, due: np.where(seen > 0, seen * np.log(seen / due), 0)
         evidence = 2 * (part(held, expected) + part(totals - held, totals - expected)).sum(0)
     evidence[held[0] < expected[0]] = 0
-    order = np.argsort(-evidence, kind="stable")[:size]
-    return [names[i] for i in order if evidence[i] >= LEAST_EVIDENCE]
+    chosen = {}
+    for i in np.argsort(-evidence, kind="stable")[:size]:
+        if evidence[i] >= LEAST_EVIDENCE:  # of a word and its beginnings in the same texts the longest stands
+            same = names[i].rstrip(b"-")[:STEMS[0]], *held[:, i]
+            chosen[same] = max(chosen.get(same, b""), names[i], key=lambda n: (len(n.rstrip(b"-")), n))
+    return sorted(chosen.values())
 
 
-def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=1e-3) -> Model:
+def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=1e-4) -> Model:
     """Non-negative PU learning with the sigmoid loss; texts are sets of words.
 
     The bias is not trained but follows from the prior: the share of toxic texts among those without
-    any feature. So a text that shows nothing scores that share.
+    any feature. So a text that shows nothing scores that share. Weights start from the log ratio of
+    a feature's share of toxic and of clean texts, the latter by the prior too, and ``penalty`` draws them there.
     """
     names = choose_features(positive, unlabelled) if positive and unlabelled else []
     column = {w: i for i, w in enumerate(names)}
@@ -105,9 +110,11 @@ def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=1e-3) -> Mod
     none = [((x.sum(1) == 0).sum() + 1) / (len(x) + 2) for x in (xp, xu)]
     bare = min(max(prior * none[0] / none[1], 1e-6), max(prior, 1e-6), 1 - 1e-6)
     bias = float(np.log(bare / (1 - bare)))
-    if not names:
+    if not names or prior >= 1:
         return Model({}, bias)
-    w = np.zeros(len(names))
+    toxic, all_texts = (((x > 0).sum(0) + 0.5) / (len(x) + 1) for x in (xp, xu))
+    clean = np.maximum(all_texts - prior * toxic, 0.02 * all_texts) / (1 - prior)
+    w = start = np.clip(np.log(toxic / clean), 0, 6)
     first, second = np.zeros(len(names)), np.zeros(len(names))
     loss = lambda margin: 1 / (1 + np.exp(np.clip(margin, -500, 500)))
     slope = lambda margin: loss(margin) * loss(-margin)
@@ -117,7 +124,7 @@ def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=1e-3) -> Mod
         clean_risk = loss(-zu).mean() - prior * loss(-zp).mean()
         clean_grad = slope(zu) @ xu / len(zu) - prior * slope(zp) @ xp / len(zp)
         if clean_risk >= 0:
-            grad = clean_grad - prior * slope(zp) @ xp / len(zp) + penalty * w
+            grad = clean_grad - prior * slope(zp) @ xp / len(zp) + penalty * (w - start)
         else:  # below zero it can only be overfitted: climb back
             grad = -clean_grad
         first = 0.9 * first + 0.1 * grad
