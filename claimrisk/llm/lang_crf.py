@@ -276,6 +276,8 @@ def _has_letter(text):
 
 def predict_texts(model: Model, texts):
     """(languages, scores): the language with most words by posterior, and its share of the words."""
+    if not model.languages:
+        return [UNDETERMINED] * len(texts), [0.0] * len(texts)
     words = split_words(texts)
     found = posteriors(emissions(model, words), words.doc, model.transitions)
     mass = np.zeros((len(texts), len(model.languages)))
@@ -283,7 +285,7 @@ def predict_texts(model: Model, texts):
     share = mass / np.maximum(mass.sum(1, keepdims=True), 1e-300)
     languages, scores = [], []
     for text, row, any_word in zip(texts, share, mass.sum(1) > 0):
-        if not any_word or not model.languages or (
+        if not any_word or (
                 not any(c in text.translate(_FOLD) for c in ASCII) and not _has_letter(text)):
             languages.append(UNDETERMINED)
             scores.append(0.0)
