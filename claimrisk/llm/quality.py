@@ -5,13 +5,11 @@ documents, and the share of good documents are estimated by expectation-maximisa
 of vote patterns; the posterior probability of "good" replaces a filter that asks for all rules.
 """
 
-import functools
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimrisk.llm.texts import TEXT_HASH, keep_rows, map_texts, with_text_hash
+from claimrisk.llm.texts import map_texts
 from claimrisk.session import store
 
 WHITE = b" \t\n\r\x0b\x0c"
@@ -79,12 +77,12 @@ def measure(text):
             text.count(b"!!"))
 
 
-def measures(docs: DataFrame) -> DataFrame:
+def measures(docs: DataFrame, keep=("doc_id",)) -> DataFrame:
     names = [part.split()[0] for part in MEASURES.split(", ")]
 
     def kernel():
         return lambda texts: dict(zip(names, zip(*map(measure, texts))))
-    return map_texts(with_text_hash(docs), kernel, MEASURES, keep=("doc_id", TEXT_HASH))
+    return map_texts(docs, kernel, MEASURES, keep)
 
 
 def votes(measured: DataFrame) -> DataFrame:
@@ -133,28 +131,41 @@ def fit_votes(patterns, counts, rounds=ROUNDS, right=0.97, found=0.9, good=0.85,
     return posterior[:, 0], accuracies, shares
 
 
-def judge(docs: DataFrame, threshold=0.5) -> DataFrame:
-    """``doc_id``, the base measures, ``votes``, ``posterior``, ``base_failed`` and ``kept``, a row per document.
-
-    NULL and empty texts have no words and fail the base. Repeated rows and ids are judged alone, each
-    gets its row. An empty table gives an empty result. The texts are read once; the model is fitted on the
-    vote patterns of all documents, of which there are at most 3 to the number of rules.
-    """
-    voted = store(votes(measures(docs)))
+def fit_model(voted: DataFrame) -> DataFrame:
+    """``votes, posterior`` of every vote pattern that occurs: at most 3 to the number of rules, a few in practice."""
     seen = voted.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()
-    schema = "votes string, posterior double"
     rows = []
     if seen:
         posterior = fit_votes([r.votes for r in seen], [r.n for r in seen])[0]
         rows = [(r.votes, float(p)) for r, p in zip(seen, posterior)]
-    model = docs.sparkSession.createDataFrame(rows, schema)
+    return voted.sparkSession.createDataFrame(rows, "votes string, posterior double")
+
+
+def _verdicts(voted: DataFrame, model: DataFrame, threshold) -> DataFrame:
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return voted.join(F.broadcast(model), "votes", "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & (F.col("posterior") >= threshold)).alias("kept"),
-        "posterior", "votes", TEXT_HASH)
+    return voted.join(F.broadcast(model), "votes", "left").withColumns({
+        "base_failed": failed, "kept": ~failed & (F.col("posterior") >= threshold)})
+
+
+def judge(docs: DataFrame, threshold=0.5) -> DataFrame:
+    """``doc_id``, the base measures, ``base_failed``, ``kept``, ``posterior`` and ``votes``, a row per document.
+
+    NULL and empty texts have no words and fail the base. Repeated rows and ids are judged alone, each
+    gets its row. An empty table gives an empty result. The texts are read once, their measures are stored; the
+    model is fitted on the vote patterns of all documents.
+    """
+    voted = store(votes(measures(docs)))
+    return _verdicts(voted, fit_model(voted), threshold).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "posterior", "votes")
 
 
 def keep_good(docs: DataFrame, threshold=0.5) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, all their columns as they were."""
-    return keep_rows(docs, judge(docs, threshold).filter("kept"))
+    """The rows of ``docs`` that ``judge`` keeps, all their columns as they were.
+
+    The texts are measured twice, once for the model and once to filter: two scans without a shuffle
+    are cheaper than a join that shuffles every text.
+    """
+    model = fit_model(votes(measures(docs)))
+    packed = docs.select("text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return _verdicts(votes(measures(packed, ("row",))), model, threshold).filter("kept").select("row.*")

@@ -45,7 +45,7 @@ def op5_toxicity(spark, sf_dir):
 
 
 def op6_quality_rules(spark, sf_dir):
-    return quality.judge(documents(spark, sf_dir)).drop(quality.TEXT_HASH)
+    return quality.judge(documents(spark, sf_dir))
 
 
 def op7_token_counts(spark, sf_dir):

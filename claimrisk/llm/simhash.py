@@ -275,10 +275,12 @@ def one_of_each(docs: DataFrame, shingle=4, distance=4) -> DataFrame:
     """The rows of ``docs`` that stand for their component: those with its smallest doc_id.
 
     Repeated rows of one id are one document and stay once. Rows without an id can't be named and stay.
+    The ids to keep grow with the table, so they are never broadcast: texts meet them in a shuffled hash
+    join, which does not sort the texts.
     """
     found = near_duplicates(docs, shingle, distance)
     kept = store(found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).count())
-    rows = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    rows = docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == kept["kept_id"], "left_semi")
     if not kept.filter("count > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id"])
     return rows.unionByName(docs.filter("doc_id is null"))

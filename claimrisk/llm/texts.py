@@ -2,27 +2,11 @@
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Texts are handed to the kernels in slices of about this many bytes, so that the memory of a task does
 # not follow the number of rows in an Arrow batch. A longer text makes a slice of its own.
 SLICE_BYTES = 2_000_000
 
-# Names a text beside its doc_id, so that a decision finds its row even where ids repeat or are missing.
-TEXT_HASH = "__text_hash"
-
-
-def with_text_hash(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64("text").alias(TEXT_HASH))
-
-
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id and text hash stand in ``kept``; NULL ids match NULL ids."""
-    right = kept.select(F.col("doc_id").alias("__kept_id"), F.col(TEXT_HASH).alias("__kept_hash"))
-    matches = docs["doc_id"].eqNullSafe(right["__kept_id"]) & (
-        F.xxhash64(docs["text"]) == right["__kept_hash"])
-    return docs.join(right, matches, "left_semi")
-
 
 def text_slices(batch, column="text", slice_bytes=SLICE_BYTES):
     """Yield (first row, list of bytes or None): the UTF-8 texts of an Arrow batch in bounded slices."""
