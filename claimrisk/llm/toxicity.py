@@ -89,7 +89,7 @@ def choose_features(positive, unlabelled, size=FEATURES):
     return sorted(chosen.values())
 
 
-def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=1e-4) -> Model:
+def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=2e-4, climb=0.1) -> Model:
     """Non-negative PU learning with the sigmoid loss; texts are sets of words.
 
     The bias is not trained but follows from the prior: the share of toxic texts among those without
@@ -123,10 +123,9 @@ def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=1e-4) -> Mod
         # Risk of calling clean texts toxic: that of all texts less the toxic ones' part.
         clean_risk = loss(-zu).mean() - prior * loss(-zp).mean()
         clean_grad = slope(zu) @ xu / len(zu) - prior * slope(zp) @ xp / len(zp)
-        if clean_risk >= 0:
-            grad = clean_grad - prior * slope(zp) @ xp / len(zp) + penalty * (w - start)
-        else:  # below zero it can only be overfitted: climb back
-            grad = -clean_grad
+        # Below zero that risk can only be overfitted: climb back a little instead.
+        grad = clean_grad * (1 if clean_risk >= 0 else -climb)
+        grad = grad - prior * slope(zp) @ xp / len(zp) + penalty * (w - start)
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad * grad
         w = w - rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
