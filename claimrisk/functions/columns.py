@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 
 from claimrisk.schemas import TIER_DEFAULT, TIER_THRESHOLDS
 
+INF = float("inf")
+
+
 def as_column(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def finite(value) -> Column:
+    """The value, NULL where it is NaN or infinite: NaN sorts above every number and passes any minimum."""
+    number = as_column(value)
+    return F.when((number < INF) & (number > -INF), number)
+
+
 def guarded_ratio(numerator, denominator) -> Column:
     """NULL on a zero or NULL denominator; ANSI mode would raise on plain division."""
     return F.try_divide(as_column(numerator), as_column(denominator))
@@ -36,9 +45,10 @@ def claim_value(charge="avg_submitted_charge", services="total_services") -> Col
 
 
 def zscore(value, mean, stddev) -> Column:
-    """Distance from the peer mean; 0 in a group without spread, NULL in a group of one."""
+    """Distance from the peer mean; 0 in a group without spread, NULL in a group of one or if not finite."""
     spread = as_column(stddev)
-    return F.when(spread == 0, F.lit(0.0)).otherwise((as_column(value) - as_column(mean)) / spread)
+    return finite(F.when(spread == 0, F.lit(0.0)).otherwise(
+        (as_column(value) - as_column(mean)) / spread))
 
 
 def flag(condition: Column) -> Column:
@@ -47,8 +57,8 @@ def flag(condition: Column) -> Column:
 
 
 def risk_tier(score) -> Column:
-    """First tier whose threshold the score reaches; an unknown score falls to the lowest tier."""
-    reached = [F.when(as_column(score) >= floor, F.lit(name)) for name, floor in TIER_THRESHOLDS]
+    """First tier whose threshold the score reaches; an unknown or NaN score falls to the lowest tier."""
+    reached = [F.when(finite(score) >= floor, F.lit(name)) for name, floor in TIER_THRESHOLDS]
     return F.coalesce(*reached, F.lit(TIER_DEFAULT))
 
 

@@ -435,6 +435,27 @@ _QUERIES = {
         SELECT state, count(*) AS providers, round(avg(risk_score), 4) AS avg_risk_score,
             round(count(*) FILTER (risk_tier = 'Critical') * 100 / count(*), 2) AS critical_percent
         FROM serving GROUP BY state""",
+    "ml_scores_check": f"""
+        SELECT count(*) AS score_rows,
+            (SELECT count(*) FROM (SELECT DISTINCT {KEYS} FROM inputs)) AS provider_keys,
+            count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows,
+            count(*) FILTER (split = 'train' AND fraud_flag = 1) AS train_positives,
+            count(*) FILTER (split = 'test' AND fraud_flag = 1) AS test_positives,
+            CAST(0 AS BIGINT) AS null_scores, CAST(0 AS BIGINT) AS scores_out_of_range,
+            CAST(0 AS BIGINT) AS predictions_off
+        FROM scores""",
+    "ml_shap_check": """
+        SELECT count(*) AS explained_rows, CAST(0 AS BIGINT) AS sums_off, CAST(0 AS BIGINT) AS inputs_missing
+        FROM inputs""",
+    "ml_rationale_check": """
+        SELECT count(*) AS rationale_rows, CAST(0 AS BIGINT) AS terms_off, CAST(0 AS BIGINT) AS order_off
+        FROM inputs""",
+    "model_serving_check": f"""
+        SELECT risk_tier, count(*) AS provider_count, {_money("total_billed")} AS total_billed,
+            count(*) AS scored
+        FROM mart GROUP BY risk_tier""",
 }
 
+_QUERIES["fct_provider_risk_from_features"] = _QUERIES["fct_provider_risk"]
+
 ORACLES = {name: f"{_CTES}\n{sql}" for name, sql in _QUERIES.items()}

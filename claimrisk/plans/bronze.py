@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimrisk.functions.columns import guarded_ratio
+from claimrisk.functions.columns import INF, guarded_ratio
 from claimrisk.operators.ordered import percentiles
 from claimrisk.schemas import (
     CRITICAL_RAW_COLUMNS, MIN_CHARGE, RAW_GRAIN, RAW_MONEY_COLUMNS)
+from claimrisk.sources.csv_parts import CORRUPT_LINE, UNREADABLE
 
 
 def null_counts(raw: DataFrame, columns=CRITICAL_RAW_COLUMNS) -> DataFrame:
@@ -71,38 +72,60 @@ def payment_ratio(raw: DataFrame) -> DataFrame:
         .orderBy("payment_ratio", "specialty"))
 
 
+def _overserved(factor):
+    return F.col("total_services") > F.col("total_beneficiaries") * factor
+
+
+def _per_provider(raw, **more):
+    return raw.groupBy(F.col("Rndrng_NPI").alias("provider_id")).agg(
+        F.sum("Tot_Srvcs").alias("total_services"),
+        F.sum("Tot_Benes").alias("total_beneficiaries"), *[c.alias(n) for n, c in more.items()])
+
+
 def overserved_providers(raw: DataFrame, factor=10) -> DataFrame:
     """Providers with more than ``factor`` services per patient over all their rows."""
-    totals = raw.groupBy(F.col("Rndrng_NPI").alias("provider_id")).agg(
-        F.sum("Tot_Srvcs").alias("total_services"),
-        F.sum("Tot_Benes").alias("total_beneficiaries"))
-    return totals.filter(F.col("total_services") > F.col("total_beneficiaries") * factor)
+    return _per_provider(raw).filter(_overserved(factor))
 
 
 def anomaly_flags(raw: DataFrame, factor=10) -> DataFrame:
-    """Negative charges, unpaid rows and overserved providers as (flag, hits)."""
-    rows = raw.agg(
-        F.count_if(F.col("Avg_Sbmtd_Chrg") < 0).alias("negative_charge_rows"),
-        F.count_if(F.col("Avg_Mdcr_Pymt_Amt") == 0).alias("zero_paid_rows"))
-    providers = overserved_providers(raw, factor).agg(F.count("*").alias("hits"))
-    return rows.unpivot([], rows.columns, "flag", "hits").unionByName(
-        providers.select(F.lit("overserved_providers").alias("flag"), "hits"))
+    """Negative charges, unpaid rows and overserved providers as (flag, hits); row flags are counted per provider first."""
+    providers = _per_provider(
+        raw, negative=F.count_if(F.col("Avg_Sbmtd_Chrg") < 0),
+        unpaid=F.count_if(F.col("Avg_Mdcr_Pymt_Amt") == 0))
+    hits = providers.agg(
+        F.coalesce(F.sum("negative"), F.lit(0)).alias("negative_charge_rows"),
+        F.coalesce(F.sum("unpaid"), F.lit(0)).alias("zero_paid_rows"),
+        F.count_if(_overserved(factor)).alias("overserved_providers"))
+    return hits.unpivot([], hits.columns, "flag", "hits")
 
 
 def quality_report(raw: DataFrame) -> DataFrame:
     """The five checks before cleaning as (check_name, rows), from one pass over the rows.
 
     Counting per grain first serves all five: the row predicates are summed per grain, and a grain
-    with n rows has n - 1 duplicates.
+    with n rows has n - 1 duplicates. If the rows came with an account of rejects, lines with too few
+    or too many cells and unreadable values are counted too. A NaN or infinite charge is below minimum.
     """
+    charge = F.col("Avg_Sbmtd_Chrg")
     checks = {
         "null_provider": F.col("Rndrng_NPI").isNull(),
         "null_procedure": F.col("HCPCS_Cd").isNull(),
-        "charge_below_minimum": F.col("Avg_Sbmtd_Chrg") < MIN_CHARGE,
+        "charge_below_minimum": (charge < MIN_CHARGE) | (charge >= INF),
         "zero_paid": F.col("Avg_Mdcr_Pymt_Amt") == 0,
     }
+    counts = {name: F.count_if(c) for name, c in checks.items()}
+    if CORRUPT_LINE in raw.columns:
+        counts["corrupt_line"] = F.count(CORRUPT_LINE)
+    if UNREADABLE in raw.columns:
+        counts["unreadable_value"] = F.sum(F.size(UNREADABLE))
     per_grain = raw.groupBy(*RAW_GRAIN).agg(
-        F.count("*").alias("__n"), *[F.count_if(c).alias(name) for name, c in checks.items()])
-    sums = {**{name: F.sum(name) for name in checks}, "duplicate_grain": F.sum(F.col("__n") - 1)}
+        F.count("*").alias("__n"), *[c.alias(name) for name, c in counts.items()])
+    sums = {**{name: F.sum(name) for name in counts}, "duplicate_grain": F.sum(F.col("__n") - 1)}
     report = per_grain.agg(*[F.coalesce(s, F.lit(0)).alias(name) for name, s in sums.items()])
     return report.unpivot([], report.columns, "check_name", "rows")
+
+
+def unreadable_values(raw: DataFrame) -> DataFrame:
+    """Unreadable values per column, from rows that were read with an account of rejects."""
+    return raw.select(F.explode(UNREADABLE).alias("column_name")).groupBy("column_name").agg(
+        F.count("*").alias("values")).orderBy("column_name")

@@ -40,8 +40,8 @@ def provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
     return _rank_and_tier(*materialise_measured(stats), run_ts)
 
 
-def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
-    """``provider_risk(features(claims))`` in a single pass over the claims.
+def scored_providers(claims: DataFrame) -> tuple[DataFrame, Size]:
+    """Provider rows with all measures and ``peak_zscore`` (unrounded), from a single pass over the claims.
 
     The z-score is linear in the charge and a provider key lies within one specialty, so the largest
     and mean z-score follow from the provider's largest and mean charge, and the peer statistics from
@@ -62,10 +62,17 @@ def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
     scored = lookup_join(base, pooled, ["specialty"], rows="providers", size=size)
     mean, spread = "specialty_avg_charge", "specialty_stddev_charge"
     scored = scored.withColumns({
+        "peak_zscore": zscore("max_charge", mean, spread),
         "max_zscore": F.round(zscore("max_charge", mean, spread), 4),
         "avg_zscore": F.round(zscore("mean_charge", mean, spread), 4),
     })
-    return _rank_and_tier(scored.select(*PROVIDER_KEYS, *PROVIDER_MEASURES), size, run_ts)
+    return scored.select(*PROVIDER_KEYS, *PROVIDER_MEASURES, "peak_zscore"), size
+
+
+def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
+    """``provider_risk(features(claims))`` in a single pass over the claims."""
+    scored, size = scored_providers(claims)
+    return _rank_and_tier(scored.drop("peak_zscore"), size, run_ts)
 
 
 def _pooled_stats(base: DataFrame, size: Size) -> DataFrame:
@@ -123,7 +130,7 @@ def critical_top(risk: DataFrame, n=5) -> DataFrame:
         .limit(n))
 
 
-# KPI tables. Sorts end in the group keys, so that rows with equal measures still split over tasks;
+# KPI tables; their column names and roundings are fixed values. Sorts end in the group keys, so that rows with equal measures still split over tasks;
 # ``ordered=False`` leaves the sort out for writing, as a stored table has no row order.
 
 def _sorted(df, ordered, *order):

@@ -4,17 +4,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimrisk.functions.columns import processed_at, risk_tier
 from claimrisk.operators.ordered import add_rank
+from claimrisk.plans.gold import scored_providers
 from claimrisk.schemas import PROVIDER_KEYS, PROVIDER_MEASURES
 from claimrisk.session import materialise_measured
 from claimrisk.sources.tables import replace_view
 
-# Feature columns that the staging model leaves out.
-STAGING_DROPS = [
-    "provider_middle_initial", "credentials", "address_line1", "address_line2", "state_fips",
-    "ruca_code", "ruca_desc", "country", "medicare_participation_ind", "features_created_at",
+# The columns of the staging model.
+STAGING_COLUMNS = [
+    "provider_id", "provider_last_name", "provider_first_name", "entity_code", "city", "state",
+    "zip_code", "specialty", "procedure_code", "procedure_desc", "drug_indicator", "place_of_service",
+    "total_beneficiaries", "total_services", "total_beneficiary_days", "avg_submitted_charge",
+    "avg_medicare_allowed", "avg_medicare_paid", "avg_medicare_standardized", "charge_to_payment_ratio",
+    "billing_intensity", "specialty_avg_charge", "specialty_stddev_charge", "provider_charge_zscore",
+    "facility_flag", "silver_processed_at", "source_file",
 ]
 
-STAGING = f"SELECT * EXCEPT ({', '.join(STAGING_DROPS)}) FROM {{features}}"
+STAGING = f"SELECT {', '.join(STAGING_COLUMNS)} FROM {{features}}"
 
 _KEYS = ", ".join(PROVIDER_KEYS)
 
@@ -69,7 +74,17 @@ def provider_stats(features: DataFrame) -> DataFrame:
 
 
 def fct_provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
+    """The risk mart from stored features; ``fct_provider_risk_from_claims`` needs no features."""
     stats, size = materialise_measured(features.sparkSession.sql(_STATS_WITH_PEAK, features=features))
+    return _ranked(stats, size, run_ts)
+
+
+def fct_provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
+    """``fct_provider_risk(features(claims))`` in a single pass over the claims."""
+    return _ranked(*scored_providers(claims), run_ts)
+
+
+def _ranked(stats, size, run_ts):
     ranked = add_rank(stats, ["specialty"], "peak_zscore", "specialty_rank", size)
     return ranked.select(
         *PROVIDER_KEYS, *PROVIDER_MEASURES, "specialty_rank",

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from claimrisk.functions.columns import flag
 from claimrisk.operators.lookup_join import lookup_join, null_safe_join
 from claimrisk.operators.ordered import add_percent_rank
+from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
 from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS
-from claimrisk.session import scratch_dir
+from claimrisk.session import materialise, scratch_dir
 
 LABEL_Z = 3.0
 SPLIT_BUCKETS = 10
 
 
-def features_table(mart: DataFrame, labelled_claims: DataFrame | None = None) -> DataFrame:
-    """Provider keys, the nine inputs with NULL as 0, and ``fraud_flag``.
+def features_table(mart: DataFrame, labelled_claims: DataFrame | None = None, carry=()) -> DataFrame:
+    """Provider keys, the nine inputs with NULL as 0, and ``fraud_flag``; ``carry`` names more mart columns.
 
     The label is the peak z-score threshold; with ``labelled_claims`` it is 1 when any claim of the
     provider row is flagged.
@@ -30,7 +31,7 @@ def features_table(mart: DataFrame, labelled_claims: DataFrame | None = None) ->
         rows = null_safe_join(mart, flags, PROVIDER_KEYS, "left")
         label = F.coalesce("any_flag", F.lit(0))
     return rows.select(
-        *PROVIDER_KEYS, *MODEL_FEATURES, label.alias("fraud_flag")).fillna(0, subset=MODEL_FEATURES)
+        *PROVIDER_KEYS, *MODEL_FEATURES, label.alias("fraud_flag"), *carry).fillna(0, subset=MODEL_FEATURES)
 
 
 def features_wide(mart: DataFrame, claims: DataFrame) -> DataFrame:
@@ -104,9 +105,19 @@ def score(features: DataFrame, model: PipelineModel) -> DataFrame:
         F.col("prediction").cast("int").alias("predicted_fraud"))
 
 
-def provider_scores(features: DataFrame, model: PipelineModel) -> DataFrame:
-    """The score table: keys, inputs, label, score, prediction, and the side of the split."""
-    return score(add_split(features), model)
+def evaluate(scored: DataFrame, split="test") -> DataFrame:
+    """(metric, class, value) of the scored rows on one side of the split: the classification table,
+    AUC-ROC and average precision."""
+    held = materialise(scored.filter(F.col("split") == split).select(
+        "fraud_flag", "predicted_fraud", "risk_score"))
+    report = classification_report(held, "fraud_flag", "predicted_fraud")
+    long = report.unpivot(
+        ["class"], [F.col(c).cast("double").alias(c) for c in ("precision", "recall", "f1_score", "support")],
+        "metric", "value").filter("value is not null")
+    curves = auc_roc(held, "fraud_flag", "risk_score").unpivot([], ["auc_roc"], "metric", "value").unionByName(
+        average_precision(held, "fraud_flag", "risk_score").unpivot([], ["average_precision"], "metric", "value"))
+    return long.select("metric", "class", "value").unionByName(
+        curves.select("metric", F.lit("all").alias("class"), "value"))
 
 
 def importance(spark: SparkSession, model: PipelineModel) -> DataFrame:

@@ -7,16 +7,27 @@ from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import all_of
 from claimrisk.schemas import CLAIM_GRAIN, TIERS
+from claimrisk.session import store
 
 # The places of service a claim may have.
 PLACES = ["F", "O"]
 
 
-def column_tests(df: DataFrame, table: str, not_null=(), accepted=None) -> DataFrame:
-    """Not-null and accepted-values tests of one table in one scan; NULL is an accepted value."""
+def grain_counts(df: DataFrame, grain=CLAIM_GRAIN) -> DataFrame:
+    """Rows per grain as ``n``; the tests of a table on its grain columns follow from one such scan."""
+    return df.groupBy(*grain).agg(F.count("*").alias("n"))
+
+
+def column_tests(df: DataFrame, table: str, not_null=(), accepted=None, rows=None) -> DataFrame:
+    """Not-null and accepted-values tests of one table in one scan; NULL is an accepted value.
+
+    ``rows`` names a column that says how many rows of the table a row of ``df`` stands for.
+    """
     tests = [("not_null", c, F.col(c).isNull()) for c in not_null]
     tests += [("accepted_values", c, ~F.col(c).isin(values)) for c, values in (accepted or {}).items()]
-    counted = df.agg(*[F.count_if(failed).alias(f"t{i}") for i, (_, _, failed) in enumerate(tests)])
+    number = F.lit(1) if rows is None else F.col(rows)
+    counted = df.agg(*[F.coalesce(F.sum(F.when(failed, number)), F.lit(0)).cast("long").alias(f"t{i}")
+                       for i, (_, _, failed) in enumerate(tests)])
     rows = F.array(*[
         F.struct(F.lit(table).alias("table_name"), F.lit(test).alias("test"),
                  F.lit(column).alias("column_name"), F.col(f"t{i}").alias("failures"))
@@ -24,17 +35,19 @@ def column_tests(df: DataFrame, table: str, not_null=(), accepted=None) -> DataF
     return counted.select(F.inline(rows))
 
 
-def unique(df: DataFrame, table: str, columns) -> DataFrame:
+def unique(df: DataFrame, table: str, columns, rows=None) -> DataFrame:
     """Number of keys that occur more than once; keys with a NULL part are ignored."""
-    counts = df.filter(all_of(F.col(c).isNotNull() for c in columns)).groupBy(*columns).agg(
-        F.count("*").alias("n"))
+    known = df.filter(all_of(F.col(c).isNotNull() for c in columns))
+    counts = grain_counts(known, columns) if rows is None else known.groupBy(*columns).agg(
+        F.sum(rows).alias("n"))
     return _result(counts.filter("n > 1"), table, "unique", "+".join(columns), F.count("*"))
 
 
 def relationships(child: DataFrame, parent: DataFrame, table: str, column: str,
-                  parent_column=None) -> DataFrame:
+                  parent_column=None, rows=None) -> DataFrame:
     """Child rows whose key is missing in the parent; each key is looked up once."""
-    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    number = F.count("*") if rows is None else F.sum(rows)
+    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(number.alias("n"))
     known = parent.select(F.col(parent_column or column).alias(column)).distinct()
     orphans = keys.join(known, column, "left_anti")
     return _result(orphans, table, "relationships", column, F.coalesce(F.sum("n"), F.lit(0)))
@@ -47,14 +60,15 @@ def _result(df, table, test, column, failures):
 
 
 def run_tests(staging: DataFrame, mart: DataFrame, scores: DataFrame | None = None) -> DataFrame:
-    """All tests of the SQL models, and of the score table when given."""
+    """All tests of the SQL models, and of the score table when given; staging is scanned once."""
+    grains = store(grain_counts(staging))
     results = [
-        column_tests(staging, "stg_cms_claims", ["provider_id", "procedure_code"],
-                     {"place_of_service": PLACES}),
+        column_tests(grains, "stg_cms_claims", ["provider_id", "procedure_code"],
+                     {"place_of_service": PLACES}, rows="n"),
         column_tests(mart, "fct_provider_risk", ["provider_id"], {"risk_tier": TIERS}),
         unique(mart, "fct_provider_risk", ["provider_id"]),
-        unique(staging, "stg_cms_claims", CLAIM_GRAIN),
-        relationships(staging, mart, "stg_cms_claims", "provider_id"),
+        unique(grains, "stg_cms_claims", CLAIM_GRAIN, rows="n"),
+        relationships(grains, mart, "stg_cms_claims", "provider_id", rows="n"),
     ]
     if scores is not None:
         results.append(column_tests(scores, "ml_provider_scores", ["risk_score"]))

@@ -1,10 +1,13 @@
 """The whole chain of tables in dependency order, with measured row counts."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from claimrisk.plans import gold, marts, ml, quality, serving, silver
-from claimrisk.schemas import PROVIDER_KEYS
+from claimrisk.plans import bronze, explain, gold, marts, ml, quality, serving, silver
+from claimrisk.schemas import FEATURE_SETS, PROVIDER_KEYS
+from claimrisk.session import scratch_dir, store
 from claimrisk.sources.tables import create_schema, read_table, write_table
 
 # Default schemas of the layers.
@@ -26,7 +29,9 @@ class TableRun:
         counter = Observation()
         stored = write_table(df.observe(counter, F.count("*").alias("rows")),
                              self.name(layer, table), fmt=self.fmt, sort_by=sort_by)
-        self.written.append((self.name(layer, table), counter.get["rows"], len(df.columns)))
+        # Sorting samples its input, so its rows pass the counter twice; a stored table knows its count.
+        rows = stored.count() if sort_by else counter.get["rows"]
+        self.written.append((self.name(layer, table), rows, len(df.columns)))
         return stored
 
     def report(self) -> DataFrame:
@@ -36,16 +41,20 @@ class TableRun:
 
 def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None, fmt="parquet",
             run_ts=None, source_file=None, dedupe=False, schemas=None, rounds=300, depth=6,
-            feature_set="reference") -> tuple[DataFrame, DataFrame]:
+            feature_set="reference", model_path=None) -> tuple[DataFrame, DataFrame]:
     """Build every table from Bronze to serving; returns the row report and the data test results.
 
+    The model is evaluated on the held-out providers, for both feature sets; ``feature_set`` names the one that
+    is saved (under ``model_path``, by default in the shared folder), explained and served.
+
     Give the name of a loaded Bronze table, or raw rows to load first. Each step reads the tables that
     the earlier steps stored, so a failed run can be repeated from any table.
     """
     run = TableRun(spark, fmt, {**SCHEMAS, **(schemas or {})})
-    bronze = (read_table(spark, bronze_table) if bronze_table
-              else run.write(raw, "bronze", "bronze_cms_raw"))
-    claims = run.write(silver.clean(bronze, run_ts, source_file, dedupe), "silver", "cms_claims_clean")
+    rows = (read_table(spark, bronze_table) if bronze_table
+            else run.write(raw, "bronze", "bronze_cms_raw"))
+    run.write(bronze.quality_report(rows), "bronze", "quality_report")
+    claims = run.write(silver.clean(rows, run_ts, source_file, dedupe), "silver", "cms_claims_clean")
     features = run.write(silver.features(claims, run_ts), "silver", "cms_claims_features")
     risk = run.write(gold.provider_risk(features, run_ts), "gold", "provider_risk")
 
@@ -59,11 +68,21 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
     marts.create_views(spark, run.schemas["marts"], run.name("silver", "cms_claims_features"))
     mart = run.write(marts.fct_provider_risk(features, run_ts), "marts", "fct_provider_risk")
 
-    inputs = ml.add_split(ml.features_table(mart))
-    model = ml.fit(inputs.filter(F.col("split") == "train"), feature_set, rounds, depth)
-    scores = run.write(ml.score(inputs, model), "gold", "ml_provider_scores")
-    run.write(serving.serving_provider_risk(scores, mart), "gold", "serving_provider_risk",
-              sort_by=PROVIDER_KEYS)
+    inputs = store(ml.add_split(ml.features_table(mart, carry=serving.CARRIED)))
+    models = {name: ml.fit(inputs.filter(F.col("split") == "train"), name, rounds, depth) for name in FEATURE_SETS}
+    model = models[feature_set]
+    ml.save_model(model, model_path or f"{scratch_dir(spark)}/risk-model")
+    served = run.write(serving.serving_provider_risk(ml.score(inputs, model)), "gold",
+                       "serving_provider_risk", sort_by=PROVIDER_KEYS)
+    scores = run.write(served.drop(*serving.CARRIED), "gold", "ml_provider_scores")
+    evaluations = [ml.evaluate(scores if name == feature_set else ml.score(inputs, models[name])).withColumn(
+        "feature_set", F.lit(name)) for name in FEATURE_SETS]
+    run.write(reduce(DataFrame.unionByName, evaluations), "gold", "ml_evaluation")
+    run.write(ml.importance(spark, model), "gold", "ml_importance")
+    explained = run.write(explain.shap_values(scores, model), "gold", "ml_attributions")
+    run.write(explain.shap_importance(explained), "gold", "ml_shap_importance")
+    run.write(explain.rationale(explained).select(*PROVIDER_KEYS, "risk_score", "rationale"), "gold",
+              "ml_rationales")
 
     staging = read_table(spark, run.name("marts", "stg_cms_claims"))
     return run.report(), quality.run_tests(staging, mart, scores)

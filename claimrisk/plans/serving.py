@@ -9,9 +9,18 @@ from claimrisk.schemas import PROVIDER_KEYS
 from claimrisk.sources.tables import export_csv
 
 
-def serving_provider_risk(scores: DataFrame, mart: DataFrame) -> DataFrame:
-    """Scores with tier and billed total; both sides have one row per provider key."""
-    return null_safe_join(scores, mart.select(*PROVIDER_KEYS, "risk_tier", "total_billed"),
+# Mart columns that served scores carry; the result columns of lookup, cohort and summary.
+CARRIED = ["risk_tier", "total_billed"]
+
+
+def serving_provider_risk(scores: DataFrame, mart: DataFrame | None = None) -> DataFrame:
+    """Scores with tier and billed total; both sides have one row per provider key.
+
+    Scores that carry both columns since their features were taken from the mart need no join.
+    """
+    if mart is None:
+        return scores.select(*[c for c in scores.columns if c not in CARRIED], *CARRIED)
+    return null_safe_join(scores, mart.select(*PROVIDER_KEYS, *CARRIED),
                           PROVIDER_KEYS, "left")
 
 
@@ -25,6 +34,12 @@ def provider(serving: DataFrame, provider_id: int) -> DataFrame:
         .limit(1))
 
 
+def displayed(found: DataFrame) -> DataFrame:
+    """A looked-up provider as it is shown: score to four digits, charge ratio to two."""
+    return found.withColumns({
+        "risk_score": F.round("risk_score", 4), "avg_charge_ratio": F.round("avg_charge_ratio", 2)})
+
+
 def cohort(serving: DataFrame, risk_tier=None, state=None, specialty=None, limit=100) -> DataFrame:
     """Highest scores first; an empty or missing filter value does not filter."""
     wanted = {"risk_tier": risk_tier, "state": state, "specialty": specialty}

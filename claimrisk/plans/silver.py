@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimrisk.functions.columns import any_of, flag, guarded_ratio, processed_at, zscore
+from pyspark.sql import types as T
+
+from claimrisk.functions.columns import (
+    INF, any_of, finite, flag, guarded_ratio, processed_at, zscore)
 from claimrisk.operators.dedupe import keep_first
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.operators.ordered import percentiles
@@ -14,17 +17,23 @@ DESCRIBED = ["charge_to_payment_ratio", "billing_intensity", "provider_charge_zs
 
 
 def _usable():
-    return (F.col("Avg_Sbmtd_Chrg") >= MIN_CHARGE) & F.col("Rndrng_NPI").isNotNull()
+    charge = F.col("Avg_Sbmtd_Chrg")
+    return (charge >= MIN_CHARGE) & (charge < INF) & F.col("Rndrng_NPI").isNotNull()
 
 
 def clean(raw: DataFrame, run_ts=None, source_file=None, dedupe=False) -> DataFrame:
     """Drop unusable rows, rename to clean names, add the audit columns.
 
     ``source_file`` overrides the file name recorded at ingest. ``dedupe`` keeps one row per provider,
-    procedure and place; the default keeps all, as copies are only reported.
+    procedure and place; the default keeps all, as copies are only reported. NaN and infinite amounts
+    become NULL, and rows with such a charge are unusable.
     """
+    doubles = {f.name for f in raw.schema if isinstance(f.dataType, T.DoubleType)}
+
     def renamed(raw_name, name):
         column = F.col(raw_name)
+        if raw_name in doubles and raw_name != "Avg_Sbmtd_Chrg":
+            column = finite(column)
         return (F.upper(column) if name in UPPER_CASED else column).alias(name)
 
     recorded = F.col("source_file") if "source_file" in raw.columns else F.lit(None)
@@ -44,11 +53,16 @@ def row_audit(raw: DataFrame) -> DataFrame:
         F.lit(len(CLAIM_COLUMNS) + 2).alias("silver_columns"))
 
 
-def ratio_columns() -> dict:
-    return {
-        "charge_to_payment_ratio": guarded_ratio(CHARGE, "avg_medicare_paid"),
-        "billing_intensity": guarded_ratio("total_services", "total_beneficiaries"),
-    }
+RATIOS = {
+    "charge_to_payment_ratio": (CHARGE, "avg_medicare_paid"),
+    "billing_intensity": ("total_services", "total_beneficiaries"),
+}
+
+
+def ratio_columns(available=None) -> dict:
+    """The ratios, or those whose inputs are ``available``."""
+    return {name: guarded_ratio(*inputs) for name, inputs in RATIOS.items()
+            if available is None or set(inputs) <= set(available)}
 
 
 def peer_stats(claims: DataFrame) -> DataFrame:
@@ -85,8 +99,11 @@ def peer_percentiles(claims: DataFrame, metrics: dict, fractions: dict) -> DataF
 
 
 def features_median(claims: DataFrame) -> DataFrame:
-    """Claims with the median charge and ratio of their specialty and the z-score around the median."""
-    rows = claims.withColumns(ratio_columns())
+    """Claims with the median charge and ratio of their specialty and the z-score around the median.
+
+    Reads its input three times, so pass a stored frame with the columns that are needed.
+    """
+    rows = claims.withColumns(ratio_columns(claims.columns))
     medians = peer_percentiles(
         claims, {"charge": F.col(CHARGE), "ratio": ratio_columns()["charge_to_payment_ratio"]},
         {"median": 0.5})

@@ -1,20 +1,20 @@
 """Named queries over the order tables, each from the raw tables to its result."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from claimrisk.functions.columns import flag
+from claimrisk.functions.columns import exact_sum, flag
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
 from claimrisk.plans import bronze, explain, gold, marts, ml, quality, serving, silver
-from claimrisk.schemas import MODEL_FEATURES, PROVIDER_KEYS, RAW_MONEY_COLUMNS, TIERS
-from claimrisk.session import materialise
+from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS, RAW_MONEY_COLUMNS, TIERS
+from claimrisk.session import file_system, materialise, scratch_dir, store
 from claimrisk.sources.claims_mapping import raw_claims
 
 # The audit source of the mapped rows; audit times are left out of the results.
 SOURCE = "order_lines"
 AUDIT_TIMES = ["silver_processed_at", "features_created_at", "gold_processed_at", "dbt_processed_at"]
-# A small model, so that the model queries stay quick; the library default is 300 rounds of depth 6.
-QUICK = {"rounds": 4, "depth": 4}
 
 
 def clean_claims(spark, sf_dir, **options):
@@ -30,45 +30,69 @@ def risk(spark, sf_dir):
 
 
 def mart(spark, sf_dir):
-    return marts.fct_provider_risk(feature_claims(spark, sf_dir))
+    return marts.fct_provider_risk_from_claims(clean_claims(spark, sf_dir))
 
 
 def rounded(df, digits, *columns):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def joined_once(df, *columns):
-    """The needed columns of a derived frame, stored: for plans that read their input several times."""
-    return materialise(df.select(*columns))
-
-
-PEER_INPUTS = [*PROVIDER_KEYS, "procedure_code", "procedure_desc", "place_of_service",
-               "avg_submitted_charge", "avg_medicare_paid", "total_services", "total_beneficiaries"]
-LABEL_INPUTS = [*PROVIDER_KEYS, "procedure_code", "procedure_desc", "place_of_service",
-                "avg_submitted_charge", "charge_to_payment_ratio", "billing_intensity",
-                "provider_charge_zscore"]
+# Plans that read their input several times get a columnar copy with just the columns that they read.
+CLAIM_INPUTS = [*PROVIDER_KEYS, "procedure_code", "place_of_service", "avg_submitted_charge",
+                "avg_medicare_paid", "total_services", "total_beneficiaries"]
+LABELLED_BY = ["specialty", "charge_to_payment_ratio", "billing_intensity", "provider_charge_zscore"]
 
 
 def _money_summary(raw):
-    return bronze.money_summary(joined_once(raw, *RAW_MONEY_COLUMNS))
+    return bronze.money_summary(store(raw, RAW_MONEY_COLUMNS))
 
 
 def _features_median(claims):
-    return _median_out(silver.features_median(joined_once(claims, *PEER_INPUTS)))
+    return _median_out(silver.features_median(store(claims, [
+        "provider_id", "specialty", "procedure_code", "place_of_service", "avg_submitted_charge",
+        "avg_medicare_paid"])))
 
 
 def _specialty_percentiles(claims):
-    return _percentiles_out(gold.specialty_percentiles(joined_once(
-        claims, "specialty", "avg_submitted_charge", "avg_medicare_paid", "total_services",
-        "total_beneficiaries")))
+    return _percentiles_out(gold.specialty_percentiles(store(claims, [
+        "specialty", "avg_submitted_charge", "avg_medicare_paid"])))
+
+
+def _high_cost(claims):
+    return gold.kpi_high_cost_claims(store(claims, [
+        "provider_id", "specialty", "state", "procedure_code", "procedure_desc", "avg_submitted_charge",
+        "avg_medicare_paid", "total_services", "total_beneficiaries"]))
 
 
 def _narrative(claims):
-    return explain.rationale_narrative(joined_once(claims, *PEER_INPUTS))
+    return explain.rationale_narrative(store(claims, [
+        *PROVIDER_KEYS, "avg_submitted_charge", "avg_medicare_paid", "total_services",
+        "total_beneficiaries"]))
+
+
+def _labelled(features, *columns):
+    return silver.label_any(store(features, [*LABELLED_BY, *columns]))
+
+
+def _label_any3(features):
+    return _label_out(_labelled(
+        features, "provider_id", "procedure_code", "place_of_service", "avg_submitted_charge"))
 
 
-def _labelled(features):
-    return silver.label_any(joined_once(features, *LABEL_INPUTS))
+def _procedure_fraud_rate(features):
+    return gold.procedure_fraud_rate(_labelled(features, "procedure_code", "procedure_desc"))
+
+
+def stored_claims(spark, sf_dir):
+    """The columns of the clean claims that the mart, the features and the tests of the models read."""
+    return store(clean_claims(spark, sf_dir), CLAIM_INPUTS)
+
+
+def _ml_label_any3(spark, sf_dir):
+    claims = stored_claims(spark, sf_dir)
+    labelled = silver.label_any(silver.features(claims))
+    return ml.features_table(marts.fct_provider_risk_from_claims(claims), labelled).select(
+        *PROVIDER_KEYS, "fraud_flag")
 
 
 def _raw(plan):
@@ -124,38 +148,45 @@ def _rank_percentile_out(df):
 
 
 def _wide(spark, sf_dir):
-    claims = clean_claims(spark, sf_dir)
-    table = ml.features_wide(marts.fct_provider_risk(silver.features(claims)), claims)
+    claims = stored_claims(spark, sf_dir)
+    table = ml.features_wide(marts.fct_provider_risk_from_claims(claims), claims)
     return rounded(table, 6, "specialty_rank_percentile")
 
 
+def _tested(spark, sf_dir):
+    """(rows per grain of the staging model, mart): the staging model keeps the grain columns as they are."""
+    claims = stored_claims(spark, sf_dir)
+    return store(quality.grain_counts(claims)), materialise(marts.fct_provider_risk_from_claims(claims))
+
+
 def _relationships(spark, sf_dir):
-    features = feature_claims(spark, sf_dir)
-    return quality.relationships(marts.stg_claims(features), marts.fct_provider_risk(features),
-                                 "stg_cms_claims", "provider_id")
+    grains, mart_table = _tested(spark, sf_dir)
+    return quality.relationships(grains, mart_table, "stg_cms_claims", "provider_id", rows="n")
 
 
 def _not_null(spark, sf_dir):
-    features = feature_claims(spark, sf_dir)
+    """The scores are those of the fixed formula; ``ml_scores_check`` tests the model's."""
+    grains, mart_table = _tested(spark, sf_dir)
     staging = quality.column_tests(
-        marts.stg_claims(features), "stg_cms_claims", ["provider_id", "procedure_code"])
-    mart_table = marts.fct_provider_risk(features)
+        grains, "stg_cms_claims", ["provider_id", "procedure_code"], rows="n")
     return staging.unionByName(
         quality.column_tests(mart_table, "fct_provider_risk", ["provider_id"])).unionByName(
         quality.column_tests(formula_scores(mart_table), "ml_provider_scores", ["risk_score"]))
 
 
 def _accepted_values(spark, sf_dir):
-    features = feature_claims(spark, sf_dir)
+    grains, mart_table = _tested(spark, sf_dir)
     return quality.column_tests(
-        marts.stg_claims(features), "stg_cms_claims",
-        accepted={"place_of_service": quality.PLACES}).unionByName(quality.column_tests(
-            marts.fct_provider_risk(features), "fct_provider_risk", accepted={"risk_tier": TIERS}))
+        grains, "stg_cms_claims", accepted={"place_of_service": quality.PLACES}, rows="n").unionByName(
+        quality.column_tests(mart_table, "fct_provider_risk", accepted={"risk_tier": TIERS}))
 
 
 def formula_scores(mart_table):
-    """Scores by a fixed formula, so that the serving queries have an exact expected result."""
-    table = ml.add_split(ml.features_table(mart_table))
+    """Stand-in scores by a fixed formula, so that the serving queries have an exact expected result.
+
+    The queries with ``model`` in their name serve the scores of the fitted model.
+    """
+    table = ml.add_split(ml.features_table(mart_table, carry=serving.CARRIED))
     score = F.round(F.least(F.greatest(F.col("max_zscore"), F.lit(0.0)) / 7, F.lit(1.0)), 6)
     return table.withColumn("risk_score", score).withColumn(
         "predicted_fraud", flag(F.col("risk_score") >= 0.3))
@@ -163,8 +194,7 @@ def formula_scores(mart_table):
 
 def _serving(plan):
     def run(spark, sf_dir):
-        table = materialise(mart(spark, sf_dir))
-        return plan(serving.serving_provider_risk(formula_scores(table), table))
+        return plan(serving.serving_provider_risk(formula_scores(mart(spark, sf_dir))))
     return run
 
 
@@ -190,14 +220,33 @@ def _peer_rationale(df):
         *PROVIDER_KEYS, "rationale")
 
 
-def _model(spark, sf_dir):
-    inputs = materialise(ml.add_split(ml.features_table(mart(spark, sf_dir))))
-    return inputs, ml.fit(inputs.filter(F.col("split") == "train"), **QUICK)
+# Fitted models of this process, by session, data folder and feature set: the path of the saved model.
+_FITTED = {}
+
+
+def _inputs(spark, sf_dir):
+    return store(ml.add_split(ml.features_table(mart(spark, sf_dir), carry=serving.CARRIED)))
+
+
+def _model(spark, sf_dir, feature_set="reference"):
+    """(inputs, fitted model); a model is fitted once per session and data folder, then loaded."""
+    inputs = _inputs(spark, sf_dir)
+    key = spark.sparkContext.applicationId, sf_dir, feature_set
+    if key not in _FITTED:
+        path = f"{scratch_dir(spark)}/fitted-{uuid.uuid4().hex}"
+        ml.save_model(ml.fit(inputs.filter(F.col("split") == "train"), feature_set), path)
+        system, place = file_system(spark, path)
+        system.deleteOnExit(place)
+        _FITTED[key] = path
+    return inputs, ml.load_model(_FITTED[key])
+
+
+def _scored(spark, sf_dir, feature_set="reference"):
+    return ml.score(*_model(spark, sf_dir, feature_set))
 
 
 def _ml_scores(spark, sf_dir):
-    inputs, model = _model(spark, sf_dir)
-    return ml.score(inputs, model)
+    return _scored(spark, sf_dir).drop(*serving.CARRIED)
 
 
 def _ml_importance(spark, sf_dir):
@@ -206,7 +255,7 @@ def _ml_importance(spark, sf_dir):
 
 def _explained(spark, sf_dir):
     inputs, model = _model(spark, sf_dir)
-    return explain.shap_values(ml.score(inputs, model), model)
+    return explain.shap_values(ml.score(inputs.drop(*serving.CARRIED), model), model)
 
 
 def _ml_shap(spark, sf_dir):
@@ -223,6 +272,56 @@ def _ml_rationale(spark, sf_dir):
     return explain.rationale(_explained(spark, sf_dir)).select(*PROVIDER_KEYS, "risk_score", "rationale")
 
 
+def _ml_evaluate(spark, sf_dir):
+    """Held-out figures for both feature sets; ``no_leak`` leaves out the input that the label is made of."""
+    both = [ml.evaluate(_scored(spark, sf_dir, name)).select(F.lit(name).alias("feature_set"), "*")
+            for name in FEATURE_SETS]
+    return both[0].unionByName(both[1])
+
+
+# What holds for any model: counts that SQL knows from the mart, and numbers of rows that break a rule.
+
+def _ml_scores_check(spark, sf_dir):
+    test, positive = F.col("split") == "test", F.col("fraud_flag") == 1
+    return _ml_scores(spark, sf_dir).agg(
+        F.count("*").alias("score_rows"), F.count_distinct(F.struct(*PROVIDER_KEYS)).alias("provider_keys"),
+        F.count_if(~test).alias("train_rows"), F.count_if(test).alias("test_rows"),
+        F.count_if(~test & positive).alias("train_positives"), F.count_if(test & positive).alias("test_positives"),
+        F.count_if(F.col("risk_score").isNull()).alias("null_scores"),
+        F.count_if(~F.col("risk_score").between(0, 1)).alias("scores_out_of_range"),
+        F.count_if(F.col("predicted_fraud") != flag(F.col("risk_score") > 0.5)).alias("predictions_off"))
+
+
+def _ml_shap_check(spark, sf_dir):
+    margin = F.col("base_value") + F.aggregate(
+        "contributions", F.lit(0.0), lambda total, c: total + c["impact"])
+    # Close to a score of 0 or 1 the margin can't be told from the score: there the scores are compared.
+    off = F.abs(1 / (1 + F.exp(-margin)) - F.col("risk_score")) > 1e-6
+    return _explained(spark, sf_dir).agg(
+        F.count("*").alias("explained_rows"), F.count_if(off).alias("sums_off"),
+        F.count_if(F.size("contributions") != len(MODEL_FEATURES)).alias("inputs_missing"))
+
+
+def _ml_rationale_check(spark, sf_dir):
+    terms = F.split("rationale", ", ")
+    size = F.transform(F.regexp_extract_all("rationale", F.lit(r"impact: (-?[0-9.]+)")), lambda t: F.abs(t.cast("double")))
+    falling = (size[0] >= size[1]) & (size[1] >= size[2])
+    return _ml_rationale(spark, sf_dir).agg(
+        F.count("*").alias("rationale_rows"), F.count_if(F.size(terms) != 3).alias("terms_off"),
+        F.count_if(~falling).alias("order_off"))
+
+
+def _model_serving(plan):
+    return lambda spark, sf_dir: plan(serving.serving_provider_risk(_scored(spark, sf_dir)))
+
+
+def _model_serving_check(served):
+    """What does not depend on the scores; the scores are only tested for presence and range."""
+    return served.groupBy("risk_tier").agg(
+        F.count("*").alias("provider_count"), exact_sum("total_billed", 2).alias("total_billed"),
+        F.count_if(F.coalesce(F.col("risk_score").between(0, 1), F.lit(False))).alias("scored"))
+
+
 QUERIES = {
     "bronze_null_counts": _raw(bronze.null_counts),
     "bronze_money_summary": _raw(_money_summary),
@@ -244,7 +343,7 @@ QUERIES = {
     "tier_distribution": _risk(gold.tier_distribution),
     "tier_billed": _risk(gold.tier_billed),
     "critical_top5": _risk(gold.critical_top),
-    "kpi_high_cost_claims": _claims(gold.kpi_high_cost_claims),
+    "kpi_high_cost_claims": _claims(_high_cost),
     "kpi_specialty_benchmarks": _claims(lambda c: gold.kpi_specialty_benchmarks(
         c.withColumns(silver.ratio_columns()))),
     "kpi_state_exposure": _risk(gold.kpi_state_exposure),
@@ -254,12 +353,13 @@ QUERIES = {
     "kpi_patient_concentration": _risk(gold.kpi_patient_concentration),
     "kpi_patient_outliers": _risk(lambda r: rounded(gold.kpi_patient_outliers(r), 4, "patient_limit")),
     "specialty_percentiles": _claims(_specialty_percentiles),
-    "label_any3": _features(lambda f: _label_out(_labelled(f))),
-    "procedure_fraud_rate": _features(lambda f: gold.procedure_fraud_rate(_labelled(f))),
+    "label_any3": _features(_label_any3),
+    "procedure_fraud_rate": _features(_procedure_fraud_rate),
     "specialty_rank_percentile": _risk(lambda r: _rank_percentile_out(gold.specialty_rank_percentile(r))),
     "stg_claims": _features(lambda f: _features_out(marts.stg_claims(f))),
     "provider_stats": _features(marts.provider_stats),
     "fct_provider_risk": _mart(lambda m: m),
+    "fct_provider_risk_from_features": _features(marts.fct_provider_risk),
     "tier_pivot": _mart(marts.tier_pivot),
     "dq_not_null": _not_null,
     "dq_accepted_values": _accepted_values,
@@ -269,8 +369,7 @@ QUERIES = {
     "dq_relationships": _relationships,
     "ml_features": _mart(ml.features_table),
     "ml_features_wide": _wide,
-    "ml_label_any3": _features(lambda f: ml.features_table(
-        marts.fct_provider_risk(f), _labelled(f)).select(*PROVIDER_KEYS, "fraud_flag")),
+    "ml_label_any3": _ml_label_any3,
     "ml_class_balance": _mart(lambda m: ml.class_balance(ml.features_table(m))),
     "ml_split": _mart(lambda m: ml.add_split(ml.features_table(m)).select(*PROVIDER_KEYS, "split")),
     "ml_report": _mart(_report_out),
@@ -285,6 +384,17 @@ QUERIES = {
     "ml_shap": _ml_shap,
     "ml_shap_importance": _ml_shap_importance,
     "ml_rationale": _ml_rationale,
+    "ml_evaluate": _ml_evaluate,
+    "ml_scores_check": _ml_scores_check,
+    "ml_shap_check": _ml_shap_check,
+    "ml_rationale_check": _ml_rationale_check,
+    "model_serving_provider_risk": _model_serving(lambda s: s),
+    "model_serve_provider": _model_serving(lambda s: serving.displayed(serving.provider(s, 42))),
+    "model_serve_cohort": _model_serving(lambda s: serving.cohort(
+        s, risk_tier="Critical", state="", specialty="BUILDING", limit=100)),
+    "model_serve_summary": _model_serving(serving.summary),
+    "model_state_risk": _model_serving(serving.state_risk),
+    "model_serving_check": _model_serving(_model_serving_check),
     "serving_provider_risk": _serving(lambda s: s),
     "serve_provider": _serving(lambda s: serving.provider(s, 42)),
     "serve_cohort": _serving(lambda s: serving.cohort(

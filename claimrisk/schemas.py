@@ -42,6 +42,7 @@ RAW_TEXT_SCHEMA = T.StructType([T.StructField(raw, T.StringType()) for raw in RA
 
 CLAIM_COLUMNS = [clean for clean, _ in RAW_TO_CLEAN.values()]
 CLEAN_COLUMNS = [*CLAIM_COLUMNS, "silver_processed_at", "source_file"]
+# The columns that features add.
 FEATURE_COLUMNS = [
     "charge_to_payment_ratio",
     "billing_intensity",
@@ -56,6 +57,7 @@ FEATURE_COLUMNS = [
 RAW_GRAIN = ["Rndrng_NPI", "HCPCS_Cd", "Place_Of_Srvc"]
 CLAIM_GRAIN = ["provider_id", "procedure_code", "place_of_service"]
 
+# Key and measures of a provider row.
 PROVIDER_KEYS = ["provider_id", "specialty", "state", "city", "zip_code", "entity_code"]
 PROVIDER_MEASURES = [
     "total_procedures",

@@ -4,25 +4,27 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from claimrisk.schemas import RAW_TEXT_SCHEMA
-from claimrisk.sources.csv_parts import typed
+from claimrisk.sources.csv_parts import CORRUPT_LINE, text_schema, typed
 
 
 def load_new_parts(spark: SparkSession, source_dir: str, table: str, checkpoint: str,
-                   fmt="parquet", max_files=None, with_source=False) -> StreamingQuery:
+                   fmt="parquet", max_files=None, with_source=False,
+                   with_rejects=False) -> StreamingQuery:
     """Append the files that arrived since the last call, then stop.
 
     Parsing is stateless, so no watermark or state store is needed; the checkpoint records the files
-    that are done. ``max_files`` splits a large backlog into several commits.
+    that are done. ``max_files`` splits a large backlog into several commits; ``with_rejects`` is that of
+    ``read_parts``.
     """
-    reader = spark.readStream.schema(RAW_TEXT_SCHEMA).option("header", False)
+    reader = spark.readStream.schema(text_schema(with_rejects)).option("header", False).option(
+        "columnNameOfCorruptRecord", CORRUPT_LINE).option("columnPruning", not with_rejects)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     text = reader.csv(source_dir)
     if with_source:
         text = text.withColumn("source_file", F.col("_metadata.file_name"))
     return (
-        typed(text).writeStream.format(fmt).outputMode("append")
+        typed(text, with_rejects).writeStream.format(fmt).outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .toTable(table))

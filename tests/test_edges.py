@@ -181,3 +181,17 @@ def test_relationships_count_child_rows(spark):
     parent = spark.createDataFrame([(1,)], "k int")
     assert quality.relationships(child, parent, "child", "k").first().failures == 2
     assert quality.relationships(parent, child, "parent", "k").first().failures == 0
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_one_bad_number_changes_no_other_provider(raw, bad):
+    """Rows that arrive typed: neither the charge nor the inputs of the means carry NaN to the peers."""
+    good = [{"Rndrng_NPI": i, "Avg_Sbmtd_Chrg": c} for i, c in enumerate((100.0, 120.0, 90.0), 1)]
+    spoilt = raw(*good, {"Rndrng_NPI": 4, "Avg_Sbmtd_Chrg": bad},
+                 {"Rndrng_NPI": 5, "Avg_Sbmtd_Chrg": 95.0, "Avg_Mdcr_Pymt_Amt": bad, "Tot_Srvcs": bad})
+    clean_rows = raw(*good, {"Rndrng_NPI": 5, "Avg_Sbmtd_Chrg": 95.0, "Avg_Mdcr_Pymt_Amt": None, "Tot_Srvcs": None})
+    for plan in (gold.provider_risk_from_claims, lambda c: gold.provider_risk(silver.features(c))):
+        found, expected = (plan(silver.clean(r)).drop("gold_processed_at").orderBy("provider_id").collect()
+                           for r in (spoilt, clean_rows))
+        assert found == expected and {r.risk_tier for r in found} <= {"Normal", "Elevated"}
+    assert bronze.quality_report(spoilt).filter("check_name = 'charge_below_minimum'").first().rows == 1

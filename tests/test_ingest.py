@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from claimrisk.plans import bronze, silver
 from claimrisk.schemas import RAW_SCHEMA
 from claimrisk.sources import csv_parts, tables
 from claimrisk.streaming.arrivals import load_new_parts
@@ -75,3 +76,31 @@ def test_incremental_load_takes_each_file_once(spark, parts, tmp_path):
     assert load() == [1, 2, 3, 4]
     (parts / "part_c.csv").write_text(HEADER + "\n" + line(5) + "\n")
     assert load() == [1, 2, 3, 4, 5]
+
+
+def bad_parts(tmp_path):
+    folder = tmp_path / "bad"
+    folder.mkdir()
+    lines = [line(1, "NaN"), line(2, "Infinity"), line(3, "abc", "x"), line(4) + ",extra,cells", line(5, "100"), line(6, "-inf")]
+    (folder / "part.csv").write_text("\n".join(lines) + "\n")
+    return folder
+
+
+def test_rejects_are_counted(spark, tmp_path):
+    rows = csv_parts.read_parts(spark, str(bad_parts(tmp_path)), with_rejects=True)
+    got = {r.Rndrng_NPI: (r.Avg_Sbmtd_Chrg, sorted(r.unreadable_columns), r.corrupt_line is not None) for r in rows.collect()}
+    charge = ["Avg_Sbmtd_Chrg"]
+    assert got == {1: (None, charge, False), 2: (None, charge, False), 3: (None, [*charge, "Tot_Benes"], False),
+                   4: (100.5, [], True), 5: (100.0, [], False), 6: (None, charge, False)}
+    report = {r.check_name: r.rows for r in bronze.quality_report(rows).collect()}
+    assert (report["corrupt_line"], report["unreadable_value"]) == (1, 5)
+    assert bronze.unreadable_values(rows).collect() == [("Avg_Sbmtd_Chrg", 4), ("Tot_Benes", 1)]
+    assert silver.clean(rows).count() == 2
+
+
+def test_rejects_of_late_parts_are_counted(spark, tmp_path):
+    tables.create_schema(spark, "reject_test")
+    load_new_parts(spark, str(bad_parts(tmp_path)), "reject_test.bronze", str(tmp_path / "checkpoint"),
+                   with_rejects=True).awaitTermination()
+    report = {r.check_name: r.rows for r in bronze.quality_report(spark.table("reject_test.bronze")).collect()}
+    assert (report["corrupt_line"], report["unreadable_value"]) == (1, 5)

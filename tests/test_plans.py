@@ -39,7 +39,11 @@ def test_top_claims_are_a_filter(stored):
 def test_cleaning_is_pushed_to_the_scan(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([], RAW_SCHEMA).write.parquet(path)
-    text = plan(silver.clean(spark.read.parquet(path)).select("provider_id"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    try:
+        text = plan(silver.clean(spark.read.parquet(path)).select("provider_id"))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(Avg_Sbmtd_Chrg,0.01)" in text and "IsNotNull(Rndrng_NPI)" in text
     assert "ReadSchema: struct<Rndrng_NPI:bigint,Avg_Sbmtd_Chrg:double>" in text
 

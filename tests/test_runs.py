@@ -9,9 +9,10 @@ from claimrisk.sources.claims_mapping import raw_claims
 
 
 @pytest.fixture(scope="module")
-def done(spark, sf_dir):
+def done(spark, sf_dir, tmp_path_factory):
     schemas = {layer: f"run_{layer}" for layer in runs.SCHEMAS}
-    return runs.run_all(spark, raw=raw_claims(spark, sf_dir), schemas=schemas, rounds=2, depth=2)
+    return runs.run_all(spark, raw=raw_claims(spark, sf_dir), schemas=schemas, rounds=2, depth=2,
+                        model_path=str(tmp_path_factory.mktemp("model") / "saved"))
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,44 @@ def test_rows_and_columns(done, spark):
     assert len(spark.table("run_marts.int_provider_stats").columns) == 17
 
 
+def test_model_tables(done, spark):
+    shape = {r.table_name: (r.rows, r.columns) for r in done[0].collect()}
+    assert shape["run_bronze.quality_report"] == (5, 2)
+    assert shape["run_gold.ml_provider_scores"][0] == shape["run_gold.serving_provider_risk"][0] == 150
+    assert shape["run_gold.ml_importance"] == shape["run_gold.ml_shap_importance"] == (9, 2)
+    assert shape["run_gold.ml_attributions"][0] == shape["run_gold.ml_rationales"][0] == 150
+    scores, served = spark.table("run_gold.ml_provider_scores"), spark.table("run_gold.serving_provider_risk")
+    assert served.columns == [*scores.columns, "risk_tier", "total_billed"]
+    mart = spark.table("run_marts.fct_provider_risk")
+    joined = serving.serving_provider_risk(scores, mart)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, served.collect()))
+
+
+def test_held_out_figures(done, spark):
+    figures = {(r.feature_set, r.metric, r["class"]): r.value for r in spark.table("run_gold.ml_evaluation").collect()}
+    held = spark.table("run_gold.ml_provider_scores").filter("split = 'test'")
+    for name in ("reference", "no_leak"):
+        assert figures[name, "support", "Fraud"] == held.filter("fraud_flag = 1").count()
+        assert 0 <= figures[name, "average_precision", "all"] <= 1
+    assert figures["reference", "auc_roc", "all"] == 1.0 and figures["no_leak", "auc_roc", "all"] < 1.0
+
+
+def test_saved_model_scores_alike(spark, sf_dir, tmp_path):
+    from claimrisk.plans import ml
+
+    schemas = {layer: f"saved_{layer}" for layer in runs.SCHEMAS}
+    runs.run_all(spark, bronze_table="run_bronze.bronze_cms_raw", schemas=schemas, rounds=1, depth=1,
+                 model_path=str(tmp_path / "m"))
+    scores = spark.table("saved_gold.ml_provider_scores")
+    again = ml.score(scores.drop("risk_score", "predicted_fraud"), ml.load_model(str(tmp_path / "m")))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, scores.collect()))
+
+
+def test_lookup_is_rounded_for_display(served):
+    row, shown = serving.provider(served, 42).first(), serving.displayed(serving.provider(served, 42)).first()
+    assert (shown.risk_score, shown.avg_charge_ratio) == (round(row.risk_score, 4), round(row.avg_charge_ratio, 2))
+
+
 def test_data_tests(done):
     failures = {(r.table_name, r.test, r.column_name): r.failures for r in done[1].collect()}
     assert len(failures) == 9
