@@ -229,26 +229,54 @@ def _link_buckets(distance):
     return run
 
 
+UNIT = ["pair", "key", "low", "high"]
+
+
+def _linked(units: DataFrame, distance) -> DataFrame:
+    """Links inside each unit (UNIT names it); units are dealt by hash and sorted by Gray rank."""
+    dealt = units.select(*UNIT, "rank", "fp", "node").repartition(*UNIT).sortWithinPartitions(*UNIT, "rank")
+    return dealt.mapInArrow(_link_buckets(distance), "a long, b long")
+
+
 def links(distinct: DataFrame, distance=4, chunk_rows=CHUNK_ROWS) -> DataFrame:
     """``a, b``: links between the nodes of distinct fingerprints (``fp, node``) that give the same
     components as all pairs within ``distance`` bits.
 
-    A bucket of more than ``chunk_rows`` fingerprints is cut into chunks and each two chunks meet in a
-    unit of their own, so no task holds more than two chunks of a bucket, and no pair is lost.
+    A bucket of more than ``chunk_rows`` fingerprints is cut into chunks that are searched by themselves.
+    Such a bucket comes from one large group of near copies, so its chunks are then mostly one component, in
+    which no more links are needed: only its other rows, in chunks too, meet every chunk. No task holds
+    more than two chunks of a bucket, and no link between different components is lost.
     """
     rows = _bucket_rows(distinct, distance)
-    large = rows.groupBy("pair", "key").agg(F.count("*").alias("size")).filter(
-        F.col("size") > chunk_rows)
+    large = store(rows.groupBy("pair", "key").agg(F.count("*").alias("size")).filter(
+        F.col("size") > chunk_rows))
+    if large.isEmpty():
+        return _linked(rows.withColumns({"low": F.lit(0), "high": F.lit(0)}), distance)
     rows = lookup_join(rows, large, ["pair", "key"])
     chunks = F.ceil(F.coalesce("size", F.lit(1)) / chunk_rows).cast("int")
-    own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
-    rows = rows.select("pair", "key", "rank", "fp", "node", own.alias("own"),
-                       F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
-    units = rows.select("pair", "key", F.least("own", "other").alias("low"),
-                        F.greatest("own", "other").alias("high"), "rank", "fp", "node")
-    dealt = units.repartition("pair", "key", "low", "high").sortWithinPartitions(
-        "pair", "key", "low", "high", "rank")
-    return dealt.mapInArrow(_link_buckets(distance), "a long, b long")
+    rows = rows.withColumns({"chunks": chunks, "own": F.pmod(F.xxhash64("fp"), chunks).cast("int")})
+    inner = store(_linked(rows.withColumns({"low": F.col("own"), "high": F.col("own")}), distance))
+    return inner.unionByName(_links_between_chunks(
+        rows.filter("chunks > 1"), connected_components(inner), distance, chunk_rows))
+
+
+def _links_between_chunks(rows, labels, distance, chunk_rows):
+    """Links of the rows of large buckets that are not in their bucket's largest component so far."""
+    bucket = ["pair", "key"]
+    labelled = store(rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    sizes = labelled.groupBy(*bucket, "label").agg(F.count("*").alias("n"))
+    main = sizes.groupBy(*bucket).agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
+    rows = lookup_join(labelled, main, bucket)
+    parts = F.ceil(F.col("others") / chunk_rows).cast("int")
+    met = rows.filter("others > 0").withColumn("parts", parts)
+    part = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int")
+    everyone = met.withColumns({
+        "low": F.col("own"), "high": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    others = met.filter(F.col("label") != F.col("main")).withColumns({
+        "low": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)), "high": part})
+    columns = [*UNIT, "rank", "fp", "node"]
+    return _linked(everyone.select(columns).unionByName(others.select(columns)), distance)
 
 
 def near_duplicates(docs: DataFrame, shingle=4, distance=4, chunk_rows=CHUNK_ROWS) -> DataFrame:

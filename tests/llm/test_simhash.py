@@ -57,7 +57,7 @@ def test_gray_ranks_are_in_gray_order():
     assert simhash.gray_rank(ranks ^ (ranks >> np.uint64(1))).tolist() == ranks.tolist()
 
 
-@pytest.mark.parametrize("chunk_rows", [4096, 3])
+@pytest.mark.parametrize("chunk_rows", [4096, 40, 3])
 def test_links_give_all_components(spark, chunk_rows):
     codes = clustered(400)
     rows = [(c - 2 ** 64 if c >= 2 ** 63 else c, i) for i, c in enumerate(codes)]
@@ -101,6 +101,15 @@ def test_hot_near_copies_in_small_chunks(docs, spark):
         assert [r.component_id for r in found.orderBy("doc_id").collect()] == expected
 
 
+def test_a_dense_group_is_not_multiplied(spark):
+    """Chunks of one component don't meet again: links and rows stay in proportion to the group."""
+    codes = sorted({a << 1 | b for a in range(64) for b in (0, 1)} | {1 << 40, 3 << 40, 2 ** 63 - 1})
+    table = spark.createDataFrame([(c, i) for i, c in enumerate(codes)], "fp long, node long")
+    found = simhash.links(table, 4, chunk_rows=8)
+    labels = {r.node: r.label for r in connected_components(found).collect()}
+    assert [labels.get(i, i) for i in range(len(codes))] == slow_components(codes)
+
+
 def test_odd_rows(odd, clashing, empty):
     found = simhash.near_duplicates(odd)
     by_id = {r.doc_id: r for r in found.collect()}
