@@ -10,7 +10,7 @@ import json
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,13 +146,16 @@ def lower_bound(sizes, counts, capacity):
 
 
 def _packer(capacity):
-    def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("row_id", ignore_index=True)
+    def pack_group(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("row_id")
         lengths = rows["length"].to_numpy()
         bins, places, fill = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(*np.unique(lengths, return_counts=True), capacity)
         tail = bins == (fill.argmin() if len(fill) else -1)
-        return rows.assign(bin=bins, offset=places, tail=tail, gap=len(fill) - bound)
+        gap = np.full(len(bins), len(fill) - bound, np.int64)
+        for name, values in (("bin", bins), ("offset", places), ("tail", tail), ("gap", gap)):
+            rows = rows.append_column(name, pa.array(values))
+        return rows
     return pack_group
 
 
@@ -162,7 +165,7 @@ def _deal(pool: DataFrame, count, turn, capacity, group_rows) -> DataFrame:
     group = F.pmod(F.xxhash64("row_id", F.lit(turn)), groups)
     dealt = pool.select(*PIECE_COLUMNS, (group + turn * (1 << 32)).alias("group")).repartitionByRange(
         groups, "group")
-    return store(dealt.groupBy("group").applyInPandas(
+    return store(dealt.groupBy("group").applyInArrow(
         _packer(capacity), f"{PIECE_SCHEMA}, group long, bin long, offset long, tail boolean, gap long"))
 
 

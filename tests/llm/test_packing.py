@@ -116,5 +116,7 @@ def test_odd_rows(odd, clashing, empty, library, docs):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert rows_of(packing.pack(clashing, BYTE_BPE).select(columns)) == rows_of(packed.select(columns))
     assert packing.pack(empty, BYTE_BPE).count() == 0
+    large = [(None, "no id"), (2 ** 60 + 1, "an id that no double holds"), (2 ** 60 + 2, "another")]
+    assert {r.doc_id for r in packing.pack(docs(large), BYTE_BPE).collect()} == {i for i, _ in large}
     same = packing.pack(docs([(i, "the same words") for i in range(600)]), BYTE_BPE)
     assert same.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n < 1020").count() <= 1
