@@ -22,6 +22,8 @@ LEXICON = 4096  # words with weights of their own, at most
 PER_LANGUAGE = 300  # sampled documents of a language, about
 MAX_LANGUAGES = 64  # the most frequent ones are learned
 BLOCK = 64
+# Texts are labelled in slices of about this many bytes: the arrays of features are many times as large.
+SLICE_BYTES = 250_000
 SEGMENT = 24  # words of one language in a row in training sequences
 SEQUENCE = 96  # words of a training sequence
 SEQUENCES = 4000  # training sequences, at most
@@ -334,7 +336,7 @@ def identify(docs: DataFrame, model: Model, keep=("doc_id",), lang="lang_pred",
             languages, scores = predict_texts(shared.value, texts)
             return {lang: languages, score: scores}
         return run
-    return map_texts(docs, kernel, f"`{lang}` string, `{score}` double", keep)
+    return map_texts(docs, kernel, f"`{lang}` string, `{score}` double", keep, slice_bytes=SLICE_BYTES)
 
 
 def language_id(docs: DataFrame, per_language=PER_LANGUAGE) -> DataFrame:

@@ -1,24 +1,29 @@
 """Small helpers for columns of texts inside Arrow batches."""
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Texts are handed to the kernels in slices of about this many bytes, so that the memory of a task does
 # not follow the number of rows in an Arrow batch. A longer text makes a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def text_slices(batch, column="text", slice_bytes=SLICE_BYTES):
-    """Yield (first row, list of bytes or None): the UTF-8 texts of an Arrow batch in bounded slices."""
-    values = batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
-    first, size = 0, 0
-    for row, value in enumerate(values):
-        if row > first and size + len(value or b"") > slice_bytes:
-            yield first, values[first:row]
-            first, size = row, 0
-        size += len(value or b"")
-    if len(values) > first:
-        yield first, values[first:]
+    """Yield (first row, list of bytes or None): the UTF-8 texts of an Arrow batch in bounded slices.
+
+    Only one slice at a time is held as Python objects.
+    """
+    values = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
+    first, total = 0, 0
+    for row, size in enumerate(sizes):
+        if row > first and total + size > slice_bytes:
+            yield first, values.slice(first, row - first).to_pylist()
+            first, total = row, 0
+        total += size
+    if len(sizes) > first:
+        yield first, values.slice(first).to_pylist()
 
 
 def map_texts(df: DataFrame, kernel, schema: str, keep=("doc_id",), text="text", slice_bytes=SLICE_BYTES):
