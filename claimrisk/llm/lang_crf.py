@@ -26,7 +26,7 @@ BLOCK = 64
 SLICE_BYTES = 250_000
 SEGMENT = 24  # words of one language in a row in training sequences
 SEQUENCE = 96  # words of a training sequence
-SEQUENCES = 4000  # training sequences, at most
+SEQUENCES = 4000  # training sequences, at most (more only for one run of each language)
 EPOCHS = 4
 
 # Bytes of words: letters in lower case and everything beyond ASCII; others separate words.
@@ -216,36 +216,68 @@ def _expected_moves(scores, marginal, inner, transitions):
     return expected
 
 
+def _runs_per_language(available, total):
+    """Runs of each language, ``total`` in all: alike, but what a language lacks goes to the others."""
+    quota, left, open_ = np.zeros(len(available), np.int64), total, np.argsort(available, kind="stable")
+    for i, language in enumerate(open_):
+        quota[language] = min(available[language], max(1, left // (len(open_) - i)))
+        left -= quota[language]
+    return quota
+
+
+def _training_rows(doc, truth, k, rng):
+    """Training sequences as rows of word numbers: runs of SEGMENT words of one language, shuffled.
+
+    The words of a language follow each other in pieces of SEGMENT words or fewer, so short texts and the ends of
+    long ones count as well. Every text gives a piece before any gives another. The last run is filled from the first.
+    """
+    head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    length = np.diff(np.append(head, len(doc)))
+    pieces = -(-length // SEGMENT)
+    text = np.repeat(np.arange(len(head)), pieces)
+    first = np.cumsum(pieces) - pieces
+    start = head[text] + (np.arange(len(text)) - first[text]) * SEGMENT
+    size = np.minimum(SEGMENT, (head + length)[text] - start)
+    mixed = np.lexsort((rng.random(len(text)), text))
+    turn = np.empty(len(text), np.int64)
+    turn[mixed] = np.arange(len(text)) - first[text[mixed]]
+    order = np.lexsort((rng.random(len(text)), turn))
+    language = truth[start]
+    per = SEQUENCE // SEGMENT
+    available = -(-np.bincount(truth, minlength=k) // SEGMENT)
+    runs = []
+    for i, quota in enumerate(_runs_per_language(available, SEQUENCES * per)):
+        chosen = order[language[order] == i]
+        within = np.cumsum(size[chosen]) - size[chosen]
+        at = np.repeat(start[chosen] - within, size[chosen]) + np.arange(size[chosen].sum())
+        runs.append(np.resize(at, (quota, SEGMENT)))
+    runs = rng.permutation(np.concatenate(runs))
+    return np.resize(runs, (-(-len(runs) // per) * per, SEGMENT)).reshape(-1, SEQUENCE)
+
+
 def fit(texts, labels, epochs=EPOCHS, seed=7) -> Model:
     """Train on whole texts (bytes) with one label each.
 
-    Training sequences are made of runs of words from different texts, so that transitions learn
-    how long a language lasts in code-switched text; each run has the label of its text.
+    Training sequences are made of runs of words of different languages, so that transitions learn
+    how long a language lasts in code-switched text.
     """
-    languages = sorted(set(labels))
-    k = len(languages)
     rng = np.random.default_rng(seed)
     words = split_words(texts)
+    languages = sorted({labels[d] for d in np.unique(words.doc)})  # texts without words teach nothing
+    k = len(languages)
     empty = Model(languages, np.zeros((TABLE, k), np.float32), np.zeros(0, np.uint64),
                   np.zeros((1, k), np.float32), np.zeros((k, k)))
-    if not len(words.start):
+    if not languages:
         return empty
-    of_text = np.array([languages.index(x) for x in labels])
+    number = {x: i for i, x in enumerate(languages)}
+    of_text = np.array([number.get(x, -1) for x in labels])
     truth = of_text[words.doc]
     hashes, counts = np.unique(word_hashes(words), return_counts=True)
     common = np.sort(np.argsort(-counts, kind="stable")[:LEXICON])
     lexicon = hashes[common][counts[common] >= 5]
     model = empty._replace(lexicon=lexicon, lexicon_weights=np.zeros((len(lexicon) + 1, k), np.float32))
 
-    head = np.flatnonzero(np.append(True, words.doc[1:] != words.doc[:-1]))
-    runs = np.concatenate([np.arange(a, b - SEGMENT + 1, SEGMENT) for a, b in zip(
-        head, np.append(head[1:], len(words.doc)))] or [np.zeros(0, int)])
-    if not len(runs):
-        return model
-    per = SEQUENCE // SEGMENT
-    runs = rng.permutation(runs)[:SEQUENCES * per]
-    runs = np.concatenate([runs, runs[:-len(runs) % per]]) if len(runs) >= per else np.resize(runs, per)
-    rows = (runs[:, None] + np.arange(SEGMENT)).reshape(-1, SEQUENCE)
+    rows = _training_rows(words.doc, truth, k, rng)
     grads = [np.full(w.shape, 1e-8) for w in (model.weights, model.lexicon_weights, model.transitions)]
     for _ in range(epochs):
         for batch in np.array_split(rng.permutation(rows), max(1, len(rows) // 64)):

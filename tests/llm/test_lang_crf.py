@@ -111,3 +111,33 @@ def test_kept_rows(clashing, table):
     kept = crf.keep_identified(table)
     assert kept.columns == table.columns and kept.count() >= 0.99 * table.count()
     assert crf.keep_identified(clashing).columns == clashing.columns
+
+
+SHORT = {"aa": ["baka duno", "miru kolo", "duno miru"], "zz": ["xefi wyq", "qyx fewi", "wyq xefi"],
+         "ja": ["\u3053\u308c\u306f\u672c\u3067\u3059", "\u672c\u3092\u8aad\u3080", "\u3053\u308c\u3092\u8aad\u3080"]}
+
+
+def test_short_texts_are_learned():
+    pairs = [(t.encode(), lang) for lang, texts in SHORT.items() for t in texts * 5]
+    model = crf.fit(*zip(*pairs))
+    languages, scores = crf.predict_texts(model, [t for t, _ in pairs])
+    assert languages == [lang for _, lang in pairs] and min(scores) > 0.5
+
+
+def test_short_texts_beside_long_ones_are_learned():
+    pairs = [(t.encode(), lang) for lang, texts in SHORT.items() if lang != "aa" for t in texts * 5]
+    pairs += [(b"baka duno miru kolo " * 20_000, "aa"), (b"baka duno miru kolo " * 30, "aa")]
+    model = crf.fit(*zip(*pairs))
+    assert crf.predict_texts(model, [t[:200] for t, _ in pairs])[0] == [lang for _, lang in pairs]
+
+
+def test_every_word_is_in_the_training_rows():
+    doc = np.repeat(np.arange(4), [3, 24, 61, 1])
+    truth = np.array([0, 1, 1, 2])[doc]
+    rows = crf._training_rows(doc, truth, 3, np.random.default_rng(0))
+    assert set(rows.ravel()) == set(range(len(doc))) and rows.shape[1] == crf.SEQUENCE
+    assert all(len(set(truth[run])) == 1 for run in rows.reshape(-1, crf.SEGMENT))
+
+
+def test_texts_without_words_teach_nothing():
+    assert crf.fit([b"123", None], ["en", "de"]).languages == []
