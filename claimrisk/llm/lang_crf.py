@@ -20,7 +20,8 @@ UNDETERMINED = "und"
 TABLE = 1 << 16  # hashed features
 LEXICON = 4096  # words with weights of their own, at most
 PER_LANGUAGE = 300  # sampled documents of a language, about
-MAX_LANGUAGES = 64  # the most frequent ones are learned
+SAMPLE = 64 * PER_LANGUAGE  # sampled documents, about; every language has one at least
+FEW = 64  # languages; with more, slices of texts are smaller
 BLOCK = 64
 # Texts are labelled in slices of about this many bytes: the arrays of features are many times as large.
 SLICE_BYTES = 250_000
@@ -28,6 +29,7 @@ SEGMENT = 24  # words of one language in a row in training sequences
 SEQUENCE = 96  # words of a training sequence
 SEQUENCES = 4000  # training sequences, at most (more only for one run of each language)
 EPOCHS = 4
+PLACES = 1 << 53  # of the hashes by which documents are sampled
 
 # Bytes of words: letters in lower case and everything beyond ASCII; others separate words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -341,18 +343,23 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.filter("lang is not null and text is not null").filter(remainder("doc_id", 3) != 1)
 
 
-def train(docs: DataFrame, per_language=PER_LANGUAGE, max_languages=MAX_LANGUAGES) -> Model:
-    """Fit on a bounded sample of ``docs``: about ``per_language`` whole documents of each of the most
-    frequent ``max_languages`` languages, chosen by a hash of their id, never from the held-out third."""
+def train(docs: DataFrame, per_language=PER_LANGUAGE, sample=SAMPLE) -> Model:
+    """Fit on a bounded sample of ``docs``: about ``per_language`` whole documents of each language, or fewer if
+    these are more than ``sample`` in all, but one of each at least; chosen by a hash of their id, never from the
+    held-out third. The model grows with the number of languages."""
     known = learnable(docs)
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()
     if not counts:
         return fit([], [])
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, per_language / r["count"]))])
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * F.try_element_at(rate, F.col("lang"))
-    sample = known.filter(chosen).select("doc_id", "text", "lang").toArrow().sort_by("doc_id")
-    texts = sample.column("text").cast("binary").to_pylist()
-    return fit(texts, sample.column("lang").to_pylist())
+    each = min(per_language, max(1, sample / len(counts)))
+    ends = [(r.lang, max(r.least + 1, int(PLACES * min(1.0, each / r.n)))) for r in counts]
+    lookup = docs.sparkSession.createDataFrame(ends, "lang string, __end long").withColumnRenamed("lang", "__lang")
+    named = known.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    chosen = named.join(F.broadcast(lookup), F.col("lang") == F.col("__lang")).filter(place < F.col("__end")).select(
+        "doc_id", "text", "lang").toArrow().sort_by("doc_id")
+    texts = chosen.column("text").cast("binary").to_pylist()
+    return fit(texts, chosen.column("lang").to_pylist())
 
 
 def identify(docs: DataFrame, model: Model, keep=("doc_id",), lang="lang_pred", score="score") -> DataFrame:
@@ -368,7 +375,9 @@ def identify(docs: DataFrame, model: Model, keep=("doc_id",), lang="lang_pred",
             languages, scores = predict_texts(shared.value, texts)
             return {lang: languages, score: scores}
         return run
-    return map_texts(docs, kernel, f"`{lang}` string, `{score}` double", keep, slice_bytes=SLICE_BYTES)
+    # The arrays of a slice grow with the square of the number of languages.
+    slice_bytes = SLICE_BYTES * FEW ** 2 // max(FEW, len(model.languages)) ** 2
+    return map_texts(docs, kernel, f"`{lang}` string, `{score}` double", keep, slice_bytes=slice_bytes)
 
 
 def language_id(docs: DataFrame, per_language=PER_LANGUAGE) -> DataFrame:

@@ -141,3 +141,14 @@ def test_every_word_is_in_the_training_rows():
 
 def test_texts_without_words_teach_nothing():
     assert crf.fit([b"123", None], ["en", "de"]).languages == []
+
+
+def test_every_language_is_learned(docs):
+    """More languages than 64, one of them rare, in a sample of fewer documents than languages."""
+    names = [f"l{i:02d}" for i in range(70)]
+    text = lambda i: f"{chr(97 + i % 26)}{chr(97 + i // 26)}x{chr(122 - i % 26)} " * 6
+    rows = [(10 * i + j, text(i), name, "web") for i, name in enumerate(names) for j in range(10 if i else 2)]
+    table = docs(rows)
+    assert crf.train(table, sample=20).languages == names
+    found = {r.doc_id: r.lang_pred for r in crf.identify(table, crf.train(table)).collect()}
+    assert all(found[i] == lang for i, _, lang, _ in rows)
