@@ -387,9 +387,12 @@ def language_id(docs: DataFrame, per_language=PER_LANGUAGE) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least_share=0.3, per_language=PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs`` with a language that has ``least_share`` of the words, columns as they were."""
-    columns = docs.columns
-    marked = identify(docs, train(docs, per_language), columns, "__lang_pred", "__lang_score")
-    return marked.filter((F.col("__lang_pred") != UNDETERMINED) & (F.col("__lang_score") >= least_share)
-                         ).select(*columns)
+def keep_identified(docs: DataFrame, per_language=PER_LANGUAGE) -> DataFrame:
+    """The rows of ``docs`` that are not ``und``, columns as they were. If nothing could be learned, those with a letter."""
+    columns, model = docs.columns, train(docs, per_language)
+    if not model.languages:
+        def kernel():
+            return lambda texts: {"__letters": [_has_letter(t) for t in texts]}
+        return map_texts(docs, kernel, "`__letters` boolean", columns).filter("__letters").select(*columns)
+    marked = identify(docs, model, columns, "__lang_pred", "__lang_score")
+    return marked.filter(F.col("__lang_pred") != UNDETERMINED).select(*columns)

@@ -9,7 +9,7 @@ from claimrisk.session import store
 
 
 def language_id(spark, docs, sf_dir):
-    """Documents whose language is known; texts without letters or without a leading language go."""
+    """Documents whose language is not undetermined: texts without letters go."""
     return lang_crf.keep_identified(docs)
 
 

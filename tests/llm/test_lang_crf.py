@@ -152,3 +152,16 @@ def test_every_language_is_learned(docs):
     assert crf.train(table, sample=20).languages == names
     found = {r.doc_id: r.lang_pred for r in crf.identify(table, crf.train(table)).collect()}
     assert all(found[i] == lang for i, _, lang, _ in rows)
+
+
+def test_texts_with_letters_are_kept(docs):
+    """Also texts in several languages alike, and tables without any language."""
+    words = {lang: f"{a}{b}{a} {b}{a}{b} " for lang, a, b in (("a", "k", "o"), ("b", "s", "e"), ("c", "t", "i"), ("d", "m", "u"))}
+    rows = [(10 * i + j, w * 10, lang, "web") for i, (lang, w) in enumerate(words.items()) for j in range(10)]
+    mixed = "".join(w * 10 for w in words.values())
+    table = docs([*rows, (100, mixed, None, "web"), (101, "123 —", "a", "web"), (102, None, "a", "web")])
+    mixed_score = crf.language_id(table).filter("doc_id = 100").first().score
+    assert mixed_score < 0.3
+    assert {r.doc_id for r in crf.keep_identified(table).collect()} == {r[0] for r in rows} | {100}
+    unlabelled = docs([(1, "some text", None), (2, "\u3053\u308c", None), (3, "12 — 3", None), (4, None, None)])
+    assert {r.doc_id for r in crf.keep_identified(unlabelled).collect()} == {1, 2}
