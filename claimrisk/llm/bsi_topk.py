@@ -22,12 +22,13 @@ ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def quantised(vectors: DataFrame, scale=SCALE, vec_id="vec_id", embedding="embedding") -> DataFrame:
     """``vec_id, v``: floor(scale * x) of each component. Rows without an id, and vectors that are NULL or hold NULL
-    or a non-finite component, are left out; of repeated ids the smallest vector counts."""
+    or a non-finite component, are left out. Rows with the same id and vector count once; other rows with a repeated
+    id stay, each with its own vector."""
     x = F.transform(F.col(embedding), lambda c: c.cast("double"))
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     return vectors.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & ~bad).select(
-        F.col(vec_id).cast("long").alias("vec_id"),
-        F.transform(x, lambda c: F.floor(c * scale)).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+        F.col(vec_id).cast("long").alias("vec_id"), x.alias("x")).distinct().select(
+        "vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
 
 
 def _matrix(vectors):
@@ -134,10 +135,11 @@ def search_block(ids, least, bits, slices, query_ids, queries, k):
     for query_id, query in zip(query_ids, queries):
         sums, constant = score_slices(query, least, bits, slices)
         candidates = valid
-        own = np.searchsorted(ids, query_id)
-        if own < len(ids) and ids[own] == query_id:
+        own = range(np.searchsorted(ids, query_id), np.searchsorted(ids, query_id, "right"))
+        if own:
             candidates = valid.copy()
-            candidates[own >> 6] &= ~(np.uint64(1) << np.uint64(own & 63))
+        for row in own:
+            candidates[row >> 6] &= ~(np.uint64(1) << np.uint64(row & 63))
         for row in top_rows(sums, candidates, k).tolist():
             score = _score_of(sums, constant, row)
             yield int(query_id), int(ids[row]), max(-2 ** 63, min(2 ** 63 - 1, score))
@@ -152,8 +154,8 @@ def _index_block(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
-    """The bit-sliced index of ``quantised`` vectors: a row per block, dealt by a hash of the id."""
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long"))
+    """The bit-sliced index of ``quantised`` vectors: a row per block, dealt by a hash of id and vector."""
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("long"))
     return dealt.groupBy("block").applyInPandas(
         _index_block, "block long, ids binary, least binary, bits binary, slices binary")
 
@@ -175,7 +177,7 @@ def _search(k):
 def top_k(vectors: DataFrame, queries: DataFrame, k=5, block_rows=BLOCK_ROWS, query_rows=QUERY_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` highest inner products of each query with all other rows.
 
-    Both frames are ``quantised``. Each block of the index meets the queries in blocks of about ``query_rows``; only the
+    Both frames are ``quantised``. A query meets no row of its own id; queries of one id share their ``k`` results. Each block of the index meets the queries in blocks of about ``query_rows``; only the
     best ``k`` of a block are passed on. Ties go to the smaller id. Vectors of different lengths are
     filled up with zeros. Scores beyond a long are cut to its range. With one row or none there is no result.
     """
@@ -183,7 +185,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k=5, block_rows=BLOCK_ROWS, qu
     blocks = max(1, -(-count // block_rows))
     query_blocks = max(1, -(-queries.count() // query_rows))
     index = build_index(vectors, blocks)
-    asked = queries.groupBy(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(query_blocks)).alias("query_block")).agg(
+    asked = queries.groupBy(F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.lit(query_blocks)).alias("query_block")).agg(
         F.collect_list("vec_id").alias("query_ids"), F.collect_list("v").alias("queries"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     units = index.join(asked, "block").repartition("block", "query_block")

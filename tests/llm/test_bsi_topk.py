@@ -58,3 +58,25 @@ def test_same_as_sql(spark, sf_dir):
     from claimrisk.llm.queries import ORACLES, QUERIES
 
     assert differences(QUERIES["op3_topk"](spark, sf_dir), connect(sf_dir), ORACLES["op3_topk"]) == ""
+
+
+def test_repeated_ids_with_other_vectors(spark):
+    from claimrisk.llm.queries import TOPK_SQL
+
+    rng = np.random.default_rng(3)
+    rows = [(i % 60, [float(x) for x in rng.normal(0, 1, 4)], 0) for i in range(150)]
+    table = spark.createDataFrame(rows, VECTORS)
+    con = connect_rows(table)
+    assert differences(bsi.top_k_of_table(table), con, TOPK_SQL) == ""
+    vectors = bsi.quantised(table)
+    found = bsi.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5, block_rows=16, query_rows=1)
+    assert differences(found, con, TOPK_SQL) == ""
+
+
+def connect_rows(table):
+    import duckdb
+
+    con = duckdb.connect()
+    embeddings = table.toArrow()  # noqa: F841
+    con.execute("CREATE TABLE embeddings AS SELECT * FROM embeddings")
+    return con
