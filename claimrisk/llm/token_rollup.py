@@ -106,8 +106,10 @@ def bpe_counts(docs: DataFrame, tokenizer, keep=("doc_id", "source", "lang")) ->
 
 def rollup_of_table(docs: DataFrame, tokenizer, version: str) -> DataFrame:
     """Totals of ``docs`` through three batches: all are inserted with their numbers of words, as ``words``, and of
-    tokens, as ``version``; exact copies of a text with a smaller id are deleted; and documents with words that have
-    neither letter nor digit are revised to their number of other words."""
+    tokens, as ``version``; exact copies of a text are deleted but for one; and documents with words that have
+    neither letter nor digit are revised to their number of other words. Every row is a document, also without an id
+    or with that of another, so the rollup's ids are numbers of rows. Copies are told by SHA-256; of copies the smallest
+    by id, source and language stays, those without an id last."""
     spark = docs.sparkSession
     rollup = TokenRollup(spark, f"{scratch_dir(spark)}/rollup-{uuid.uuid4().hex}")
     system, place = file_system(spark, rollup.path)
@@ -116,9 +118,9 @@ def rollup_of_table(docs: DataFrame, tokenizer, version: str) -> DataFrame:
     n_words = F.size(F.filter(words, lambda w: w != "")).cast("long")
     spoken = F.size(F.filter(words, lambda w: w.rlike(r"[\p{L}\p{N}]"))).cast("long")
     counted = store(bpe_counts(docs.select(
-        "doc_id", "source", "lang", "text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"),
-        n_words.alias("n_words"), spoken.alias("n_spoken")), tokenizer,
-        ("doc_id", "source", "lang", "hash", "size", "n_words", "n_spoken")))
+        F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").alias("id"), "source", "lang", "text",
+        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("hash"), n_words.alias("n_words"), spoken.alias("n_spoken")), tokenizer,
+        ("doc_id", "id", "source", "lang", "hash", "n_words", "n_spoken")))
 
     def changes(rows, op, name, tokens):
         return rows.select(F.lit(op).alias("op"), "doc_id", "source", "lang", F.lit(name).alias(
@@ -128,10 +130,10 @@ def rollup_of_table(docs: DataFrame, tokenizer, version: str) -> DataFrame:
         return changes(rows, op, "words", "n_words").unionByName(changes(rows, op, version, "tokens"))
 
     rollup.commit(1, both(counted, "insert"))
-    first = counted.groupBy("hash", "size").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    again = first.filter("copies > 1").withColumnsRenamed({"hash": "hash_", "size": "size_"})
-    copies = counted.join(again, counted["hash"].eqNullSafe(again["hash_"]) & counted["size"].eqNullSafe(
-        again["size_"])).filter("doc_id <> first")
+    order = F.struct(F.col("id").isNull(), "id", "source", "lang", "doc_id")
+    first = counted.groupBy("hash").agg(F.min(order)["doc_id"].alias("first"), F.count("*").alias("copies"))
+    again = first.filter("copies > 1").withColumnRenamed("hash", "hash_")
+    copies = counted.join(again, counted["hash"].eqNullSafe(again["hash_"])).filter("doc_id <> first")
     rollup.commit(2, both(copies, "delete"))
     kept = counted.join(copies.select("doc_id"), "doc_id", "left_anti")
     rollup.commit(3, changes(kept.filter("n_spoken <> n_words"), "revise", "words", "n_spoken"))

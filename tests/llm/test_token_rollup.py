@@ -91,3 +91,13 @@ def test_odd_rows(odd, clashing, empty):
     assert found == slow_table(rows, BYTE_BPE)
     assert rows_of(rollup_of_table(clashing, BYTE_BPE, "bpe")) == found
     assert rollup_of_table(empty, BYTE_BPE, "bpe").count() == 0
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_count(docs):
+    from claimrisk.llm.queries import BYTE_BPE
+
+    table = docs([(None, "one two"), (None, "three"), (4, "five six seven"), (4, "eight"), (4, "eight"), (None, "eight")])
+    totals = {r.tokenizer_version: (r.documents, r.tokens) for r in rollup_of_table(table, BYTE_BPE, "bpe").collect()}
+    assert totals["words"] == (4, 7)
+    texts = ["one two", "three", "five six seven", "eight"]
+    assert totals["bpe"] == (4, sum(len(token_ids(BYTE_BPE, t)) for t in texts))
