@@ -299,16 +299,44 @@ def near_duplicates(docs: DataFrame, shingle=4, distance=4, chunk_rows=CHUNK_ROW
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _representatives(marked: DataFrame, distance) -> DataFrame:
+    """``kept_id, kept_fp``: the smallest doc_id of each component of fingerprints, and its smallest fingerprint there.
+
+    The nodes are the fingerprints themselves, so unlike texts that repeat an id don't link by it."""
+    distinct = store(marked.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")))
+    labels = connected_components(links(distinct.select("fp", F.col("fp").alias("node")), distance))
+    return distinct.join(labels, distinct["fp"] == labels["node"], "left").groupBy(
+        F.coalesce("label", "fp").alias("component")).agg(
+        F.min("id").alias("kept_id"), F.min_by("fp", F.struct("id", "fp")).alias("kept_fp")).drop("component")
+
+
 def one_of_each(docs: DataFrame, shingle=4, distance=4) -> DataFrame:
     """The rows of ``docs`` that stand for their component: those with its smallest doc_id.
 
-    Repeated rows of one id are one document and stay once. Rows without an id can't be named and stay.
+    Of rows that repeat an id, those with unlike texts are documents of their own; of those with one fingerprint
+    the smallest row by all columns stays. Rows without an id can't be named and stay.
     The ids to keep grow with the table, so they are never broadcast: texts meet them in a shuffled hash
     join, which does not sort the texts.
     """
-    found = near_duplicates(docs, shingle, distance)
-    kept = store(found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).count())
+    marked = store(fingerprints(docs, shingle))
+    kept = store(_representatives(marked, distance))
     rows = docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == kept["kept_id"], "left_semi")
-    if not kept.filter("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
+    repeated = store(marked.filter("doc_id is not null").groupBy(F.col("doc_id").alias("repeated_id")).count().filter(
+        "count > 1").select("repeated_id"))
+    if not repeated.isEmpty():
+        single = rows.join(repeated, rows["doc_id"] == repeated["repeated_id"], "left_anti")
+        several = rows.join(repeated, rows["doc_id"] == repeated["repeated_id"], "left_semi")
+        rows = single.unionByName(_one_per_fingerprint(several, kept, shingle))
     return rows.unionByName(docs.filter("doc_id is null"))
+
+
+def _one_per_fingerprint(docs, kept, shingle):
+    """The smallest of the rows of ``docs`` with each id and fingerprint of ``kept``."""
+    columns = docs.columns
+
+    def kernel():
+        return lambda texts: {"__fp": fingerprints_of(texts, shingle).view(np.int64)}
+    marked = map_texts(docs, kernel, "`__fp` long", columns)
+    marked = marked.join(kept, (marked["doc_id"] == kept["kept_id"]) & (marked["__fp"] == kept["kept_fp"]), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return marked.groupBy(F.col("doc_id").alias("__id"), "__fp").agg(F.min(whole).alias("__row")).select("__row.*")

@@ -146,3 +146,12 @@ def test_whole_table(spark, sf_dir):
     found = QUERIES["op1_simhash"](spark, sf_dir).orderBy("doc_id").collect()
     assert [int(r.fingerprint, 16) for r in found] == codes
     assert [r.component_id for r in found] == slow_components(codes)
+
+
+def test_unlike_texts_that_repeat_an_id_stay(docs):
+    first, second, third = ("the quick brown fox jumps over it", "lorem ipsum dolor sit amet et cetera", "one more text")
+    table = docs([(3, first, "en"), (5, first, "en"), (5, second, "en"), (5, second, "de"), (7, second, "en"),
+                  (9, third, "en"), (9, third, "en")])
+    for rows in (table, table.orderBy("lang").repartition(3)):
+        kept = simhash.one_of_each(rows)
+        assert rows_of(kept.select("doc_id", "text", "lang")) == [(3, first, "en"), (5, second, "de"), (9, third, "en")]
