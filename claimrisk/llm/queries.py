@@ -12,6 +12,7 @@ from claimrisk.llm import (
     quality,
     sharding,
     simhash,
+    threshold_clusters,
     token_rollup,
     toxicity,
 )
@@ -24,6 +25,10 @@ def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
 
@@ -68,9 +73,13 @@ def op10_bpe(spark, sf_dir):
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_threshold_clusters(spark, sf_dir):
+    return threshold_clusters.cluster(embeddings(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_license_scan, op3_topk, op4_language_id, op5_toxicity, op6_quality_rules,
-    op7_token_counts, op8_packing, op9_sharding, op10_bpe)}
+    op7_token_counts, op8_packing, op9_sharding, op10_bpe, op11_threshold_clusters)}
 
 # Nearest neighbours over the whole table, vectors kept as lists; the other operators have no SQL form.
 TOPK_SQL = """
@@ -85,4 +94,5 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 WHERE rank <= 5"""
 
-ORACLES = {"op3_topk": TOPK_SQL, "op9_sharding": sharding.oracle_sql()}
+ORACLES = {"op3_topk": TOPK_SQL, "op9_sharding": sharding.oracle_sql(),
+           "op11_threshold_clusters": threshold_clusters.oracle_sql()}
