@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from claimrisk.llm import (
+    anchor_tree,
     bpe_cuts,
     bsi_topk,
     lang_crf,
@@ -77,9 +78,20 @@ def op11_threshold_clusters(spark, sf_dir):
     return threshold_clusters.cluster(embeddings(spark, sf_dir))
 
 
+def hard_negative_labels(rows):
+    """The labels of the mining task: those of rows whose id is divisible by 7 are moved on by one, modulo ten."""
+    label = F.col("label").cast("long")
+    return rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return anchor_tree.mine(hard_negative_labels(embeddings(spark, sf_dir)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_license_scan, op3_topk, op4_language_id, op5_toxicity, op6_quality_rules,
-    op7_token_counts, op8_packing, op9_sharding, op10_bpe, op11_threshold_clusters)}
+    op7_token_counts, op8_packing, op9_sharding, op10_bpe, op11_threshold_clusters,
+    op13_hard_negatives)}
 
 # Nearest neighbours over the whole table, vectors kept as lists; the other operators have no SQL form.
 TOPK_SQL = """
@@ -95,4 +107,4 @@ SELECT query_id, rank, vec_id, score FROM (
 WHERE rank <= 5"""
 
 ORACLES = {"op3_topk": TOPK_SQL, "op9_sharding": sharding.oracle_sql(),
-           "op11_threshold_clusters": threshold_clusters.oracle_sql()}
+           "op11_threshold_clusters": threshold_clusters.oracle_sql(), "op13_hard_negatives": anchor_tree.ORACLE_SQL}
