@@ -9,6 +9,7 @@ from claimrisk.llm import (
     bsi_topk,
     lang_crf,
     license_scan,
+    multi_index,
     packing,
     quality,
     sharding,
@@ -78,6 +79,10 @@ def op11_threshold_clusters(spark, sf_dir):
     return threshold_clusters.cluster(embeddings(spark, sf_dir))
 
 
+def op12_multi_index(spark, sf_dir):
+    return multi_index.search(embeddings(spark, sf_dir), every=50, k=5)
+
+
 def hard_negative_labels(rows):
     """The labels of the mining task: those of rows whose id is divisible by 7 are moved on by one, modulo ten."""
     label = F.col("label").cast("long")
@@ -91,7 +96,7 @@ def op13_hard_negatives(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_license_scan, op3_topk, op4_language_id, op5_toxicity, op6_quality_rules,
     op7_token_counts, op8_packing, op9_sharding, op10_bpe, op11_threshold_clusters,
-    op13_hard_negatives)}
+    op12_multi_index, op13_hard_negatives)}
 
 # Nearest neighbours over the whole table, vectors kept as lists; the other operators have no SQL form.
 TOPK_SQL = """
