@@ -26,18 +26,29 @@ def guarded_ratio(numerator, denominator) -> Column:
     return F.try_divide(as_column(numerator), as_column(denominator))
 
 
+def exact_parts(value) -> tuple[Column, Column]:
+    """Whole units and millionths of money in doubles, as integers: their sums don't depend on row order, and
+    sums of sums merge exactly."""
+    amount = as_column(value)
+    whole = F.floor(amount)
+    return whole, F.floor((amount - whole) * 1_000_000 + 0.5)
+
+
+def exact_total(whole, millionths, digits=None) -> Column:
+    """The amount of summed ``exact_parts``."""
+    total = (as_column(whole).cast("decimal(25,6)")
+             + as_column(millionths).cast("decimal(25,0)") * F.lit(Decimal("0.000001")))
+    return (F.round(total, digits) if digits is not None else total).cast("double")
+
+
 def exact_sum(value, digits=None) -> Column:
     """Sum of money in doubles that does not depend on row order, exact to a millionth per row.
 
     Whole units and millionths are summed as integers, which is cheaper than decimal sums; only the
     final value of a group is a decimal.
     """
-    amount = as_column(value)
-    whole = F.floor(amount)
-    parts = F.floor((amount - whole) * 1_000_000 + 0.5)
-    total = (F.sum(whole).cast("decimal(25,6)")
-             + F.sum(parts).cast("decimal(25,0)") * F.lit(Decimal("0.000001")))
-    return (F.round(total, digits) if digits is not None else total).cast("double")
+    whole, millionths = exact_parts(value)
+    return exact_total(F.sum(whole), F.sum(millionths), digits)
 
 
 def claim_value(charge="avg_submitted_charge", services="total_services") -> Column:

@@ -284,6 +284,8 @@ _QUERIES = {
         FROM clean c JOIN counts p ON c.provider_id = p.provider_id""",
     "provider_risk": "SELECT * FROM risk",
     "provider_risk_from_features": "SELECT * FROM risk",
+    "risk_from_parts": "SELECT * FROM risk",
+    "mart_from_parts": "SELECT * FROM mart",
     "tier_distribution": "SELECT risk_tier, count(*) AS providers FROM risk GROUP BY 1",
     "tier_billed": f"""
         SELECT risk_tier, count(*) AS providers, {_money("total_billed")} AS total_billed_usd

@@ -37,7 +37,7 @@ def provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
         "avg_zscore": F.round(F.avg("provider_charge_zscore"), 4),
         "facility_rate": F.round(F.avg("facility_flag"), 4),
     })
-    return _rank_and_tier(*materialise_measured(stats), run_ts)
+    return rank_and_tier(*materialise_measured(stats), run_ts)
 
 
 def scored_providers(claims: DataFrame) -> tuple[DataFrame, Size]:
@@ -72,7 +72,7 @@ def scored_providers(claims: DataFrame) -> tuple[DataFrame, Size]:
 def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
     """``provider_risk(features(claims))`` in a single pass over the claims."""
     scored, size = scored_providers(claims)
-    return _rank_and_tier(scored.drop("peak_zscore"), size, run_ts)
+    return rank_and_tier(scored.drop("peak_zscore"), size, run_ts)
 
 
 def _pooled_stats(base: DataFrame, size: Size) -> DataFrame:
@@ -102,7 +102,7 @@ def _pooled_stats(base: DataFrame, size: Size) -> DataFrame:
         spread.alias("specialty_stddev_charge"))
 
 
-def _rank_and_tier(stats: DataFrame, size: Size, run_ts) -> DataFrame:
+def rank_and_tier(stats: DataFrame, size: Size, run_ts) -> DataFrame:
     ranked = add_rank(stats, ["specialty"], "max_zscore", "specialty_rank", size)
     return ranked.select(
         *PROVIDER_KEYS, *PROVIDER_MEASURES, "specialty_rank",

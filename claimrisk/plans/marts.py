@@ -76,15 +76,15 @@ def provider_stats(features: DataFrame) -> DataFrame:
 def fct_provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
     """The risk mart from stored features; ``fct_provider_risk_from_claims`` needs no features."""
     stats, size = materialise_measured(features.sparkSession.sql(_STATS_WITH_PEAK, features=features))
-    return _ranked(stats, size, run_ts)
+    return rank_and_tier_by_peak(stats, size, run_ts)
 
 
 def fct_provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
     """``fct_provider_risk(features(claims))`` in a single pass over the claims."""
-    return _ranked(*scored_providers(claims), run_ts)
+    return rank_and_tier_by_peak(*scored_providers(claims), run_ts)
 
 
-def _ranked(stats, size, run_ts):
+def rank_and_tier_by_peak(stats, size, run_ts):
     ranked = add_rank(stats, ["specialty"], "peak_zscore", "specialty_rank", size)
     return ranked.select(
         *PROVIDER_KEYS, *PROVIDER_MEASURES, "specialty_rank",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.plans import bronze, explain, gold, marts, ml, quality, serving, silver
+from claimrisk.plans.provider_state import ProviderState
 from claimrisk.schemas import FEATURE_SETS, PROVIDER_KEYS
 from claimrisk.session import scratch_dir, store
 from claimrisk.sources.tables import create_schema, read_table, write_table
@@ -60,10 +61,8 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
 
     run.write(gold.kpi_high_cost_claims(features), "gold", "kpi_high_cost_claims")
     run.write(gold.kpi_specialty_benchmarks(features, ordered=False), "gold", "kpi_specialty_benchmarks")
-    run.write(gold.kpi_state_exposure(risk, ordered=False), "gold", "kpi_state_exposure")
     run.write(gold.kpi_procedure_analysis(features, ordered=False), "gold", "kpi_procedure_analysis")
-    run.write(gold.kpi_critical_providers(risk, ordered=False), "gold", "kpi_critical_providers")
-    run.write(gold.kpi_patient_concentration(risk, ordered=False), "gold", "kpi_patient_concentration")
+    _write_provider_kpis(run, risk)
 
     marts.create_views(spark, run.schemas["marts"], run.name("silver", "cms_claims_features"))
     mart = run.write(marts.fct_provider_risk(features, run_ts), "marts", "fct_provider_risk")
@@ -72,9 +71,7 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
     models = {name: ml.fit(inputs.filter(F.col("split") == "train"), name, rounds, depth) for name in FEATURE_SETS}
     model = models[feature_set]
     ml.save_model(model, model_path or f"{scratch_dir(spark)}/risk-model")
-    served = run.write(serving.serving_provider_risk(ml.score(inputs, model)), "gold",
-                       "serving_provider_risk", sort_by=PROVIDER_KEYS)
-    scores = run.write(served.drop(*serving.CARRIED), "gold", "ml_provider_scores")
+    scores = _write_scores(run, ml.score(inputs, model))
     evaluations = [ml.evaluate(scores if name == feature_set else ml.score(inputs, models[name])).withColumn(
         "feature_set", F.lit(name)) for name in FEATURE_SETS]
     run.write(reduce(DataFrame.unionByName, evaluations), "gold", "ml_evaluation")
@@ -86,3 +83,31 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
 
     staging = read_table(spark, run.name("marts", "stg_cms_claims"))
     return run.report(), quality.run_tests(staging, mart, scores)
+
+
+def _write_provider_kpis(run: TableRun, risk: DataFrame) -> None:
+    run.write(gold.kpi_state_exposure(risk, ordered=False), "gold", "kpi_state_exposure")
+    run.write(gold.kpi_critical_providers(risk, ordered=False), "gold", "kpi_critical_providers")
+    run.write(gold.kpi_patient_concentration(risk, ordered=False), "gold", "kpi_patient_concentration")
+
+
+def _write_scores(run: TableRun, scored: DataFrame) -> DataFrame:
+    served = run.write(serving.serving_provider_risk(scored), "gold", "serving_provider_risk", sort_by=PROVIDER_KEYS)
+    return run.write(served.drop(*serving.CARRIED), "gold", "ml_provider_scores")
+
+
+def run_part(state: ProviderState, name: str, raw: DataFrame, model_path: str, fmt="parquet", run_ts=None,
+             schemas=None) -> DataFrame:
+    """Bring the provider tables, from Gold to serving, up to date with a late part; returns the row report.
+
+    Only the part's claims are read: the tables follow from the states of all parts in ``state``, the scores from the
+    model saved under ``model_path``. A part that is in already changes nothing, but the tables are written, so that a run
+    that broke off can be repeated. Bronze is appended to by ``streaming.arrivals``; tables with a row per claim are rebuilt by ``run_all``.
+    """
+    state.add_part(name, silver.clean(raw, run_ts))
+    run = TableRun(state.spark, fmt, {**SCHEMAS, **(schemas or {})})
+    _write_provider_kpis(run, run.write(state.provider_risk(run_ts), "gold", "provider_risk"))
+    mart = run.write(state.fct_provider_risk(run_ts), "marts", "fct_provider_risk")
+    inputs = ml.add_split(ml.features_table(mart, carry=serving.CARRIED))
+    _write_scores(run, ml.score(inputs, ml.load_model(model_path)))
+    return run.report()

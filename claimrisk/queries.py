@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimrisk.functions.columns import exact_sum, flag
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
-from claimrisk.plans import bronze, explain, gold, marts, ml, quality, serving, silver
+from claimrisk.plans import bronze, explain, gold, marts, ml, provider_state, quality, serving, silver
 from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS, RAW_MONEY_COLUMNS, TIERS
 from claimrisk.session import file_system, materialise, scratch_dir, store
 from claimrisk.sources.claims_mapping import raw_claims
@@ -95,6 +95,32 @@ def _ml_label_any3(spark, sf_dir):
         *PROVIDER_KEYS, "fraud_flag")
 
 
+# The claims dealt to parts, the order in which the parts come in (one of them twice), and when they are folded.
+PARTS = 5
+ARRIVALS = [3, 1, "fold", 4, 0, 1, 2]
+
+
+def state_of_parts(spark, sf_dir):
+    """The provider state after all claims came in as parts; the raw tables are read once, to write the parts."""
+    folder = f"{scratch_dir(spark)}/arrived-{uuid.uuid4().hex}"
+    system, place = file_system(spark, folder)
+    system.deleteOnExit(place)
+    claims = clean_claims(spark, sf_dir).select(*provider_state.INPUTS)
+    claims.withColumn("part", F.pmod(F.xxhash64(*claims.columns), F.lit(PARTS))).write.partitionBy("part").parquet(
+        f"{folder}/claims")
+    state = provider_state.ProviderState(spark, f"{folder}/state")
+    for part in ARRIVALS:
+        if part == "fold":
+            state.fold()
+        else:
+            state.add_part(f"part {part}", spark.read.schema(claims.schema).parquet(f"{folder}/claims/part={part}"))
+    return state
+
+
+def _from_parts(plan):
+    return lambda spark, sf_dir: plan(state_of_parts(spark, sf_dir)).drop(*AUDIT_TIMES)
+
+
 def _raw(plan):
     return lambda spark, sf_dir: plan(raw_claims(spark, sf_dir))
 
@@ -340,6 +366,8 @@ QUERIES = {
     "claims_unique_procedures": _claims(lambda c: _unique_out(silver.with_unique_procedures(c))),
     "provider_risk": _risk(lambda r: r),
     "provider_risk_from_features": _features(gold.provider_risk),
+    "risk_from_parts": _from_parts(lambda state: state.provider_risk()),
+    "mart_from_parts": _from_parts(lambda state: state.fct_provider_risk()),
     "tier_distribution": _risk(gold.tier_distribution),
     "tier_billed": _risk(gold.tier_billed),
     "critical_top5": _risk(gold.critical_top),
