@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimrisk.llm.texts import map_texts
+from claimrisk.llm.texts import map_texts, quoted
 
 UNDETERMINED = "und"
 TABLE = 1 << 16  # hashed features
@@ -393,6 +393,6 @@ def keep_identified(docs: DataFrame, per_language=PER_LANGUAGE) -> DataFrame:
     if not model.languages:
         def kernel():
             return lambda texts: {"__letters": [_has_letter(t) for t in texts]}
-        return map_texts(docs, kernel, "`__letters` boolean", columns).filter("__letters").select(*columns)
+        return map_texts(docs, kernel, "`__letters` boolean", columns).filter("__letters").select(*map(quoted, columns))
     marked = identify(docs, model, columns, "__lang_pred", "__lang_score")
-    return marked.filter(F.col("__lang_pred") != UNDETERMINED).select(*columns)
+    return marked.filter(F.col("__lang_pred") != UNDETERMINED).select(*map(quoted, columns))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimrisk.llm.texts import map_texts
+from claimrisk.llm.texts import map_texts, quoted
 from claimrisk.session import store
 
 WHITE = b" \t\n\r\x0b\x0c"
@@ -167,5 +167,7 @@ def keep_good(docs: DataFrame, threshold=0.5) -> DataFrame:
     are cheaper than a join that shuffles every text.
     """
     model = fit_model(votes(measures(docs)))
-    packed = docs.select("text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return _verdicts(votes(measures(packed, ("row",))), model, threshold).filter("kept").select("row.*")
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select("text", F.struct(F.lit(0).alias("__any"), *map(quoted, others)).alias("row"))
+    good = _verdicts(votes(measures(packed, ("row", "text"))), model, threshold).filter("kept")
+    return good.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

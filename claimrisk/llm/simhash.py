@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimrisk.llm.components import connected_components
-from claimrisk.llm.texts import map_texts
+from claimrisk.llm.texts import map_texts, quoted
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.session import store
 
@@ -279,64 +279,79 @@ def _links_between_chunks(rows, labels, distance, chunk_rows):
     return _linked(everyone.select(columns).unionByName(others.select(columns)), distance)
 
 
+def _components(marked: DataFrame, distance, chunk_rows=CHUNK_ROWS) -> DataFrame:
+    """``fp, component, id, rows`` for each fingerprint of ``marked`` (``doc_id, fp``): ``id`` is its smallest doc_id.
+
+    The nodes are the fingerprints themselves, those of rows without an id too: they link others, and unlike texts that
+    repeat an id don't link by it.
+    """
+    distinct = store(marked.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows")))
+    labels = connected_components(links(distinct.select("fp", F.col("fp").alias("node")), distance, chunk_rows))
+    return store(distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
+        "fp", F.coalesce("label", "fp").alias("component"), "id", "rows"))
+
+
 def near_duplicates(docs: DataFrame, shingle=4, distance=4, chunk_rows=CHUNK_ROWS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
     Fingerprints link at ``distance`` or fewer differing bits; a component's id is the smallest doc_id
     in it. Texts without words (NULL, empty, white space) have fingerprint zero and link like any other.
-    Repeated rows are kept, each with the same component. A NULL doc_id has a fingerprint and the
-    component of its fingerprint, NULL if no row of the component has an id. An empty table gives an
-    empty result. Other columns are ignored.
+    Repeated rows are kept, each with the same component; rows that repeat an id with another text have the component of
+    their own fingerprint. A row without an id links like any other and has the id of its component, NULL if no row
+    there has one. An empty table gives an empty result. Other columns are ignored.
     """
     marked = store(fingerprints(docs, shingle))
-    distinct = store(marked.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null"))
-    # A fingerprint may have the same smallest id as another only if rows repeat an id: they link then,
-    # which is right, for a document stands in one component.
-    labels = connected_components(links(distinct, distance, chunk_rows))
-    of_fp = distinct.join(labels, "node", "left").select(
-        F.col("fp").alias("fp_"), F.coalesce("label", "node").alias("component_id"))
-    return marked.join(of_fp, marked["fp"].eqNullSafe(of_fp["fp_"]), "left").select(
+    nodes = _components(marked, distance, chunk_rows)
+    smallest = nodes.groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("members"))
+    of_fp = lookup_join(nodes, smallest, ["component"], rows="members").select("fp", "component_id", "rows")
+    return lookup_join(marked, of_fp, ["fp"], rows="rows").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def _representatives(marked: DataFrame, distance) -> DataFrame:
-    """``kept_id, kept_fp``: the smallest doc_id of each component of fingerprints, and its smallest fingerprint there.
-
-    The nodes are the fingerprints themselves, so unlike texts that repeat an id don't link by it."""
-    distinct = store(marked.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")))
-    labels = connected_components(links(distinct.select("fp", F.col("fp").alias("node")), distance))
-    return distinct.join(labels, distinct["fp"] == labels["node"], "left").groupBy(
-        F.coalesce("label", "fp").alias("component")).agg(
-        F.min("id").alias("kept_id"), F.min_by("fp", F.struct("id", "fp")).alias("kept_fp")).drop("component")
+    """``kept_id, kept_fp`` of each component: its smallest doc_id and the smallest fingerprint with that id; without
+    any id, its smallest fingerprint."""
+    return _components(marked, distance).groupBy("component").agg(
+        F.min("id").alias("kept_id"), F.min_by("fp", F.struct(F.col("id").isNull(), "id", "fp")).alias("kept_fp")
+    ).drop("component")
 
 
 def one_of_each(docs: DataFrame, shingle=4, distance=4) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with its smallest doc_id.
+    """One row of ``docs`` for each component: that with its smallest doc_id.
 
     Of rows that repeat an id, those with unlike texts are documents of their own; of those with one fingerprint
-    the smallest row by all columns stays. Rows without an id can't be named and stay.
+    the smallest row by all columns stays. Of a component without any id the smallest row of its smallest fingerprint stays.
+    Maps are compared by their JSON text. Empty tables give empty results; columns stay as they are, whatever their names.
     The ids to keep grow with the table, so they are never broadcast: texts meet them in a shuffled hash
     join, which does not sort the texts.
     """
     marked = store(fingerprints(docs, shingle))
     kept = store(_representatives(marked, distance))
-    rows = docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == kept["kept_id"], "left_semi")
+    named = kept.filter("kept_id is not null")
+    rows = docs.join(named.hint("shuffle_hash"), docs["doc_id"] == named["kept_id"], "left_semi")
     repeated = store(marked.filter("doc_id is not null").groupBy(F.col("doc_id").alias("repeated_id")).count().filter(
         "count > 1").select("repeated_id"))
     if not repeated.isEmpty():
         single = rows.join(repeated, rows["doc_id"] == repeated["repeated_id"], "left_anti")
         several = rows.join(repeated, rows["doc_id"] == repeated["repeated_id"], "left_semi")
-        rows = single.unionByName(_one_per_fingerprint(several, kept, shingle))
-    return rows.unionByName(docs.filter("doc_id is null"))
+        rows = single.unionByName(_one_per_fingerprint(several, named, shingle))
+    if not kept.filter("kept_id is null").isEmpty():
+        rows = rows.unionByName(_one_per_fingerprint(
+            docs.filter("doc_id is null"), kept.filter("kept_id is null"), shingle))
+    return rows
 
 
 def _one_per_fingerprint(docs, kept, shingle):
-    """The smallest of the rows of ``docs`` with each id and fingerprint of ``kept``."""
+    """The smallest of the rows of ``docs`` with each id (or none) and fingerprint of ``kept``."""
     columns = docs.columns
 
     def kernel():
         return lambda texts: {"__fp": fingerprints_of(texts, shingle).view(np.int64)}
     marked = map_texts(docs, kernel, "`__fp` long", columns)
-    marked = marked.join(kept, (marked["doc_id"] == kept["kept_id"]) & (marked["__fp"] == kept["kept_fp"]), "left_semi")
-    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
-    return marked.groupBy(F.col("doc_id").alias("__id"), "__fp").agg(F.min(whole).alias("__row")).select("__row.*")
+    marked = marked.join(
+        kept, marked["doc_id"].eqNullSafe(kept["kept_id"]) & (marked["__fp"] == kept["kept_fp"]), "left_semi")
+    order = [F.to_json(F.struct(quoted(f.name))) if "map" in f.dataType.simpleString() else quoted(f.name)
+             for f in docs.schema]
+    whole = F.struct(*map(quoted, columns))
+    return marked.groupBy(F.col("doc_id").alias("__id"), "__fp").agg(
+        F.min_by(whole, F.struct(*order)).alias("__row")).select("__row.*")

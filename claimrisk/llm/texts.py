@@ -2,13 +2,19 @@
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Texts are handed to the kernels in slices of about this many bytes, so that the memory of a task does
 # not follow the number of rows in an Arrow batch. A longer text makes a slice of its own.
 SLICE_BYTES = 500_000
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, also where the name holds dots or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_slices(batch, column="text", slice_bytes=SLICE_BYTES):
     """Yield (first row, list of bytes or None): the UTF-8 texts of an Arrow batch in bounded slices.
 
@@ -37,18 +43,21 @@ def map_texts(df: DataFrame, kernel, schema: str, keep=("doc_id",), text="text",
     from pyspark.sql.types import StructType
 
     added = StructType.fromDDL(schema)
-    kept = df.select(*keep).schema if keep else StructType([])
+    kept = StructType([df.schema[c] for c in keep])
     out = StructType([*kept.fields, *added.fields])
     arrow = to_arrow_schema(added)
+    # Python gets the columns by place: it can't name those with dots or backticks.
+    sent = list(dict.fromkeys([*keep, text]))
+    places, of_text = [sent.index(c) for c in keep], f"c{sent.index(text)}"
 
     def run(batches):
         work = kernel()
         for batch in batches:
-            for first, texts in text_slices(batch, text, slice_bytes):
+            for first, texts in text_slices(batch, of_text, slice_bytes):
                 made = work(texts)
                 part = batch.slice(first, len(texts))
-                columns = [part.column(part.schema.get_field_index(c)) for c in keep]
+                columns = [part.column(i) for i in places]
                 columns += [pa.array(made[f.name], f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, names=out.fieldNames())
 
-    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, out)
+    return df.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(sent)]).mapInArrow(run, out)

@@ -4,7 +4,8 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use themselves, for columns of the input.
 CLASHING = {"score": "double", "label": "string", "node": "long", "fp": "long", "votes": "string", "slot": "string",
             "ids": "string", "n_words": "string", "group": "int", "bin": "int", "kept": "string", "size": "string",
-            "held_out": "string", "component_id": "string", "sequence_id": "string", "hash": "string"}
+            "held_out": "string", "component_id": "string", "sequence_id": "string", "hash": "string", "row": "string",
+            "a.b": "string", "doc_id.text": "string", "back`tick": "string"}
 
 LONG = " ".join(f"word{i % 977} and" for i in range(30_000))
 TEXTS = [None, "", " \t\n", "a", "One two Three", "one two three", "the quick brown fox jumps over the dog " * 9,
@@ -33,7 +34,8 @@ def clashing(odd):
     """``odd`` with extra columns that have the names of results and of inner columns."""
     from pyspark.sql import functions as F
 
-    return odd.withColumns({n: F.lit("1").cast(t) for n, t in CLASHING.items()})
+    return odd.withColumns({n: F.lit("1").cast(t) for n, t in CLASHING.items()}).withColumn(
+        "tags", F.create_map(F.lit("k"), F.col("source")))
 
 
 @pytest.fixture

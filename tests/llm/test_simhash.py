@@ -127,7 +127,41 @@ def test_one_of_each(odd, clashing):
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
     component = {r.doc_id: r.component_id for r in simhash.near_duplicates(odd).collect()}
     assert sorted(i for i in ids if i is not None) == sorted({c for i, c in component.items() if i is not None})
-    assert ids.count(None) == 1
+    assert ids.count(None) == 1  # the one text without an id that is like no other
+
+
+def slow_rows(rows, distance=4):
+    """(id, fingerprint, smallest id reachable) of each (id, fingerprint), by all pairs of fingerprints."""
+    codes = sorted({fp for _, fp in rows})
+    label = dict(zip(codes, slow_components(codes, distance)))
+    ids = {}
+    for i, fp in rows:
+        ids.setdefault(label[fp], []).append(i)
+    return [(i, fp, min((x for x in ids[label[fp]] if x is not None), default=None)) for i, fp in rows]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_rows_without_or_with_repeated_ids(docs, monkeypatch, small):
+    """Fingerprints are the nodes: rows without an id link others, an id that is repeated links nothing."""
+    from claimrisk.operators import lookup_join
+
+    if small:
+        monkeypatch.setattr(lookup_join, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(simhash, "fingerprints", lambda df, shingle: df.selectExpr("doc_id", "cast(text AS long) AS fp"))
+    rows = [(1, 0), (None, 0x0F), (2, 0xFF), (3, 0), (5, 1), (5, 2 ** 60 - 1), (None, 2 ** 40 * 0xFFFF), (None, 2 ** 40 * 0xFFFF),
+            (8, 2 ** 62 - 1), (9, 2 ** 62 - 2 ** 3), (9, 2 ** 62 - 2 ** 3)]
+    rows += [(i % 7, int(c) >> 1) for i, c in enumerate(clustered(80))]
+    rows += [(None, int(c) >> 1) for c in clustered(30, seed=9)]
+    found = simhash.near_duplicates(docs([(i, str(fp), "en") for i, fp in rows]))
+    assert rows_of(found) == sorted(((i, f"{fp:016x}", c) for i, fp, c in slow_rows(rows)), key=repr)
+
+
+def test_one_row_of_components_without_ids(docs):
+    first, second, third = ("the quick brown fox jumps over it", "lorem ipsum dolor sit amet et cetera", "one more text")
+    kept = simhash.one_of_each(docs([(None, first, "en"), (None, first, "de"), (None, first, "en"), (7, second, "en"),
+                                     (None, second, "en"), (None, third, None)]))
+    assert rows_of(kept.select("doc_id", "text", "lang")) == sorted(
+        [(None, first, "de"), (7, second, "en"), (None, third, None)], key=repr)
 
 
 def test_components_of_chains_and_stars(spark):
