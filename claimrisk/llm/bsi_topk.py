@@ -7,36 +7,26 @@ downward, and rows that tie at the boundary are resolved by their ids.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimrisk.llm.vectors import matrix, meet, meetings, usable
 from claimrisk.session import store
 
 SCALE = 256
+# Rows of a block at most, and at least (but for small tables).
 BLOCK_ROWS = 65_536
-QUERY_ROWS = 128
+LEAST_ROWS = 4_096
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def quantised(vectors: DataFrame, scale=SCALE, vec_id="vec_id", embedding="embedding") -> DataFrame:
-    """``vec_id, v``: floor(scale * x) of each component. Rows without an id, and vectors that are NULL or hold NULL
-    or a non-finite component, are left out. Rows with the same id and vector count once; other rows with a repeated
-    id stay, each with its own vector."""
-    x = F.transform(F.col(embedding), lambda c: c.cast("double"))
-    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    return vectors.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & ~bad).select(
-        F.col(vec_id).cast("long").alias("vec_id"), x.alias("x")).distinct().select(
-        "vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
-
-
-def _matrix(vectors):
-    width = max((len(v) for v in vectors), default=0)
-    out = np.zeros((len(vectors), width), np.int64)
-    for row, v in enumerate(vectors):
-        out[row, :len(v)] = v
-    return out
+    """``row, vec_id, v``: floor(scale * x) of each component. Rows without an id, and vectors that are NULL or hold NULL
+    or a non-finite component, are left out. ``row`` tells rows apart that repeat an id, or all; store the result."""
+    named = vectors.filter(F.col(vec_id).isNotNull())
+    return usable(named, vec_id=vec_id, embedding=embedding).select(
+        "row", "vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
 
 
 def build_slices(values):
@@ -127,75 +117,72 @@ def _score_of(sums, constant, row):
     return constant + sum(1 << w for w, s in enumerate(sums) if s is not None and s[word] >> bit & np.uint64(1))
 
 
-def search_block(ids, least, bits, slices, query_ids, queries, k):
-    """Top ``k`` of a block for each query: (query id, row id, score). ``ids`` ascend."""
+def search_block(numbers, ids, least, bits, slices, queries, k):
+    """Top ``k`` of a block for each query (row, id, vector): (query's row, query id, row, id, score). The block's rows
+    are ordered by id, then row; a query does not meet its own row."""
     valid = np.zeros(slices.shape[1] * 64 if len(slices) else -(-len(ids) // 64) * 64, np.uint8)
     valid[:len(ids)] = 1
     valid = np.packbits(valid, bitorder="little").view(np.uint64)
-    for query_id, query in zip(query_ids, queries):
+    for query_row, query_id, query in queries:
         sums, constant = score_slices(query, least, bits, slices)
         candidates = valid
-        own = range(np.searchsorted(ids, query_id), np.searchsorted(ids, query_id, "right"))
-        if own:
+        same = slice(np.searchsorted(ids, query_id), np.searchsorted(ids, query_id, "right"))
+        own = np.flatnonzero(numbers[same] == query_row) + same.start
+        if len(own):
             candidates = valid.copy()
-        for row in own:
-            candidates[row >> 6] &= ~(np.uint64(1) << np.uint64(row & 63))
+            candidates[own[0] >> 6] &= ~(np.uint64(1) << np.uint64(own[0] & 63))
         for row in top_rows(sums, candidates, k).tolist():
             score = _score_of(sums, constant, row)
-            yield int(query_id), int(ids[row]), max(-2 ** 63, min(2 ** 63 - 1, score))
-
-
-def _index_block(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("vec_id")
-    least, bits, slices = build_slices(_matrix(rows["v"].tolist()))
-    return pd.DataFrame({
-        "block": [rows["block"].iloc[0]], "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()],
-        "least": [least.tobytes()], "bits": [bits.tobytes()], "slices": [slices.tobytes()]})
-
-
-def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
-    """The bit-sliced index of ``quantised`` vectors: a row per block, dealt by a hash of id and vector."""
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("long"))
-    return dealt.groupBy("block").applyInPandas(
-        _index_block, "block long, ids binary, least binary, bits binary, slices binary")
+            yield query_row, query_id, int(numbers[row]), int(ids[row]), max(-2 ** 63, min(2 ** 63 - 1, score))
 
 
 def _search(k):
+    """Build the slices of the block that a task holds, then search them for the queries that stream past."""
     def run(batches):
-        for batch in batches:
-            for unit in batch.to_pylist():
-                ids = np.frombuffer(unit["ids"], np.int64)
-                least, bits = np.frombuffer(unit["least"], np.int64), np.frombuffer(unit["bits"], np.int64)
-                slices = np.frombuffer(unit["slices"], np.uint64).reshape(int(bits.sum()), -(-len(ids) // 64))
-                found = list(search_block(ids, least, bits, slices, unit["query_ids"], unit["queries"], k))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], [], []))],
-                    names=["query_id", "vec_id", "score"])
+        last = None
+        for held, asked in meetings(batches, "block", "part"):
+            if held is not last:
+                last, numbers, ids = held, held.column("row").to_numpy(), held.column("vec_id").to_numpy()
+                order = np.lexsort((numbers, ids))
+                numbers, ids = numbers[order], ids[order]
+                index = build_slices(matrix(held.column("v"), dtype=np.int64)[order])
+            queries = zip(*(asked.column(c).to_pylist() for c in ("row", "vec_id", "v")))
+            found = list(search_block(numbers, ids, *index, queries, k))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in (zip(*found) if found else ((),) * 5)],
+                names=["query", "query_id", "row", "vec_id", "score"])
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k=5, block_rows=BLOCK_ROWS, query_rows=QUERY_ROWS) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k=5, block_rows=None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` highest inner products of each query with all other rows.
 
-    Both frames are ``quantised``. A query meets no row of its own id; queries of one id share their ``k`` results. Each block of the index meets the queries in blocks of about ``query_rows``; only the
-    best ``k`` of a block are passed on. Ties go to the smaller id. Vectors of different lengths are
+    Both frames are stored ``quantised`` rows; each row of ``queries`` is a query of its own, which meets every row but itself. Rows
+    are dealt to blocks evenly, each block is held by one task and all queries stream past it; only the
+    best ``k`` of a block are passed on. Ties go to the smaller id, then row. Vectors of different lengths are
     filled up with zeros. Scores beyond a long are cut to its range. With one row or none there is no result.
     """
     count = vectors.count()
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block_rows = block_rows or min(BLOCK_ROWS, max(LEAST_ROWS, -(-count // tasks)))
     blocks = max(1, -(-count // block_rows))
-    query_blocks = max(1, -(-queries.count() // query_rows))
-    index = build_index(vectors, blocks)
-    asked = queries.groupBy(F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.lit(query_blocks)).alias("query_block")).agg(
-        F.collect_list("vec_id").alias("query_ids"), F.collect_list("v").alias("queries"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    units = index.join(asked, "block").repartition("block", "query_block")
-    found = units.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    columns = ["block", F.lit(0).alias("part"), "row", "vec_id", "v"]
+    held = vectors.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).select(columns)
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))
+    asked = queries.withColumn("block", everywhere).select(columns)
+    found = meet(held, asked, "block", "part", blocks).mapInArrow(
+        _search(k), "query long, query_id long, row long, vec_id long, score long")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 
 def top_k_of_table(embeddings: DataFrame, every=50, k=5) -> DataFrame:
-    """``top_k`` with the rows whose id is divisible by ``every`` as queries."""
+    """``top_k`` with the rows whose id is divisible by ``every`` as queries.
+
+    Rows that repeat an id, or are equal, are queries and candidates of their own. Rows without an id, NULL vectors and those with a
+    NULL or non-finite component take no part; empty vectors score zero. An empty table, or one without queries, gives no
+    rows. Other columns are ignored, whatever their names.
+    """
     vectors = store(quantised(embeddings))
     return top_k(vectors, vectors.filter(F.col("vec_id") % every == 0), k)
