@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from claimrisk.llm.packing import token_ids
 from claimrisk.llm.texts import map_texts
+from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.session import file_system, scratch_dir, store
 
 KEY = ["doc_id", "tokenizer_version"]
@@ -132,8 +133,9 @@ def rollup_of_table(docs: DataFrame, tokenizer, version: str) -> DataFrame:
     rollup.commit(1, both(counted, "insert"))
     order = F.struct(F.col("id").isNull(), "id", "source", "lang", "doc_id")
     first = counted.groupBy("hash").agg(F.min(order)["doc_id"].alias("first"), F.count("*").alias("copies"))
-    again = first.filter("copies > 1").withColumnRenamed("hash", "hash_")
-    copies = counted.join(again, counted["hash"].eqNullSafe(again["hash_"])).filter("doc_id <> first")
+    # A text may have very many copies, so they are not gathered by it.
+    copies = store(lookup_join(counted, first.filter("copies > 1"), ["hash"], rows="copies").filter(
+        "doc_id <> first").select("doc_id", "source", "lang", "n_words", "tokens"))
     rollup.commit(2, both(copies, "delete"))
     kept = counted.join(copies.select("doc_id"), "doc_id", "left_anti")
     rollup.commit(3, changes(kept.filter("n_spoken <> n_words"), "revise", "words", "n_spoken"))
