@@ -1,87 +1,147 @@
 """Path-dependent Shapley values of regression trees (Lundberg et al., 2018), one batch at a time.
 
 A leaf's prediction depends on x only through which features satisfy all their splits on the way to
-it. A leaf with d such features therefore has 2^d outcomes, whose contributions are tabulated once;
-explaining a batch is a few comparisons and one table lookup per leaf.
+it. Over coalitions of the features on the path its expectation is a product, so the sums over all coalitions of a
+size are the coefficients of a polynomial: it is extended by one feature after another, and a feature is unwound from it to get
+the sums of the others, in time quadratic in the path. That is done once for each pattern of satisfied
+features that a batch shows.
 """
 
 from math import factorial
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 
+# Leaves that go to the tasks at once, in bytes.
+SLICE_BYTES = 64 * 1024 * 1024
+# Up to this many features on a path the patterns of a batch are counted, beyond they are sorted.
+COUNTED = 12
 
-def compile_trees(nodes, tree_weights) -> tuple[list, float]:
+
+class Leaves(NamedTuple):
+    """Leaves with their paths one after another: features ``start[i]`` to ``start[i + 1]`` are those of leaf i.
+
+    A value satisfies a feature of a path within ``low < x <= high``, a missing one where ``missing`` says so; ``share`` is the
+    part of the training weight that does.
+    """
+
+    start: np.ndarray
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    missing: np.ndarray
+    share: np.ndarray
+    value: np.ndarray
+
+    def bytes(self):
+        return sum(a.nbytes for a in self)
+
+    def part(self, first, stop):
+        inner = slice(self.start[first], self.start[stop])
+        return Leaves(self.start[first:stop + 1] - self.start[first], *[a[inner] for a in self[1:6]], self.value[first:stop])
+
+    def slices(self, limit=SLICE_BYTES):
+        """The leaves in parts of no more than about ``limit`` bytes."""
+        count = max(1, -(-self.bytes() // limit))
+        cuts = np.linspace(0, len(self.value), count + 1).astype(int).tolist()
+        return [self.part(a, b) for a, b in zip(cuts, cuts[1:]) if b > a] or [self]
+
+
+def compile_trees(nodes, tree_weights) -> tuple[Leaves, float]:
     """Leaves and base value of a weighted sum of trees.
 
-    ``nodes``: rows (treeID, id, prediction, leftChild, rightChild, feature, threshold, cover).
-    A leaf is (feature numbers, their low ends, their high ends, contributions per pattern).
+    ``nodes``: rows (treeID, id, prediction, leftChild, rightChild, feature, threshold, cover, missing_left).
     """
     trees = {}
     for node in nodes:
         trees.setdefault(node.treeID, {})[node.id] = node
-    leaves, base = [], 0.0
+    paths, values, base = [], [], 0.0
     for tree_id, tree in trees.items():
         for leaf, path in _leaf_paths(tree):
             value = leaf.prediction * tree_weights[tree_id]
-            shares = np.array([share for _, _, share in path.values()])
-            base += value * shares.prod()
+            base += value * float(np.prod([share for *_, share in path.values()]))
             if path:
-                bounds = np.array([(low, high) for low, high, _ in path.values()])
-                leaves.append((np.array(list(path)), bounds[:, 0], bounds[:, 1],
-                               value * _pattern_table(shares)))
-    return leaves, float(base)
+                paths.append(path)
+                values.append(value)
+    steps = [(feature, *step) for path in paths for feature, step in path.items()]
+    columns = list(zip(*steps)) if steps else [()] * 5
+    kinds = (np.int32, float, float, bool, float)
+    return Leaves(np.cumsum([0, *map(len, paths)]), *[np.array(c, k) for c, k in zip(columns, kinds)], np.array(values, float)), base
 
 
 def _leaf_paths(tree):
-    """Each leaf with {feature: (low, high, share of the training weight that satisfies it)}."""
+    """Each leaf with {feature: (low, high, whether missing values satisfy it, share of the training weight that does)}."""
     todo = [(tree[0], {})]
     while todo:
         node, path = todo.pop()
         if node.leftChild < 0:
             yield node, path
             continue
-        low, high, share = path.get(node.feature, (-np.inf, np.inf, 1.0))
+        low, high, missing, share = path.get(node.feature, (-np.inf, np.inf, True, 1.0))
         left, right = tree[node.leftChild], tree[node.rightChild]
-        for child, bounds in ((left, (low, min(high, node.threshold))),
-                              (right, (max(low, node.threshold), high))):
+        for child, bounds in ((left, (low, min(high, node.threshold), missing and node.missing_left)),
+                              (right, (max(low, node.threshold), high, missing and not node.missing_left))):
             todo.append((child, {**path, node.feature: (*bounds, share * child.cover / node.cover)}))
 
 
-def _pattern_table(shares):
-    """Shapley values of a unit leaf for every pattern of satisfied features, shape (2^d, d)."""
-    d = len(shares)
-    satisfied = (np.arange(2 ** d)[:, None] >> np.arange(d)) & 1
-    table = np.empty((2 ** d, d))
-    for j in range(d):
-        # Coefficient s: sum over coalitions of s other features of the product of their factors.
-        by_size = np.zeros((2 ** d, d))
-        by_size[:, 0] = 1.0
-        for i in range(d):
-            if i != j:
-                joined = by_size[:, :-1] * satisfied[:, [i]]
-                by_size *= shares[i]
-                by_size[:, 1:] += joined
-        weights = [factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)]
-        table[:, j] = (by_size @ np.array(weights)) * (satisfied[:, j] - shares[j])
-    return table
-
-
-def batch_explainer(compiled, names):
-    """A ``mapInPandas`` function that adds ``base_value`` and ``shap``; ``compiled`` is a broadcast.
-
-    It is a closure over plain arrays, so workers need not have this package installed.
-    """
+def unit_contributions(shares, satisfied):
+    """Shapley values of a leaf of value one, a row per pattern of satisfied features: shape (patterns, d)."""
+    d, ones = len(shares), satisfied.astype(float)
+    # Coefficient s: sum over coalitions of s features of the product of their factors.
+    by_size = np.zeros((len(ones), d + 1))
+    by_size[:, 0] = 1.0
+    for i in range(d):  # extend by feature i
+        longer = by_size * shares[i]
+        longer[:, 1:] += by_size[:, :-1] * ones[:, [i]]
+        by_size = longer
+    weights = [factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)]
+    out = np.zeros((len(ones), d))
+    for j in range(d):  # unwind feature j
+        inside, share = ones[:, j] > 0, shares[j]
+        total, rest = np.zeros(len(ones)), np.zeros(len(ones))
+        for s in range(d - 1, -1, -1):
+            rest = np.where(inside, by_size[:, s + 1] - share * rest, by_size[:, s] / (share if share else 1.0))
+            total += rest * weights[s]
+        out[:, j] = total * (ones[:, j] - share)
+    return out
+
+
+def add_contributions(leaves, columns, missing, values):
+    """Add the contributions of ``leaves`` for a batch to ``values`` (inputs by rows), like ``columns`` and ``missing``."""
+    for i in range(len(leaves.value)):
+        path = range(leaves.start[i], leaves.start[i + 1])
+        pattern = np.zeros(columns.shape[1], np.int64)
+        for place, step in enumerate(path):
+            x, feature = columns[leaves.feature[step]], leaves.feature[step]
+            inside = (x > leaves.low[step]) & (x <= leaves.high[step])
+            if leaves.missing[step]:
+                inside |= missing[feature]
+            pattern |= inside.astype(np.int64) << place
+        if len(path) <= COUNTED:
+            seen = np.flatnonzero(np.bincount(pattern, minlength=1 << len(path)))
+            number = np.zeros(1 << len(path), np.int64)
+            number[seen] = np.arange(len(seen))
+            number = number[pattern]
+        else:
+            seen, number = np.unique(pattern, return_inverse=True)
+        table = unit_contributions(leaves.share[path.start:path.stop], (seen[:, None] >> np.arange(len(path))) & 1)
+        for place, step in enumerate(path):
+            values[leaves.feature[step]] += leaves.value[i] * table[number, place]
+
+
+def batch_explainer(shared, names, base, before=None):
+    """A ``mapInPandas`` function that adds ``base_value`` and ``shap``; ``shared`` is a broadcast of leaves. With ``before``, the name of
+    the ``shap`` column of other leaves, their contributions are added up."""
     def explain(batches):
-        leaves, base = compiled.value
+        leaves = shared.value
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            values = np.zeros(x.shape)
-            for features, low, high, table in leaves:
-                columns = x[:, features]
-                inside = (columns > low) & (columns <= high)
-                values[:, features] += table[inside @ (1 << np.arange(len(features)))]
-            added = pd.DataFrame({"base_value": base, "shap": list(values)}, index=batch.index)
-            yield pd.concat([batch, added], axis=1)
+            columns = np.ascontiguousarray(batch[names].to_numpy(dtype=float).T)
+            values = np.zeros(columns.shape)
+            if before and len(batch):
+                values += np.array(batch[before].tolist(), float).T
+            add_contributions(leaves, columns, np.isnan(columns), values)
+            added = pd.DataFrame({"base_value": base, "shap": list(values.T)}, index=batch.index)
+            yield pd.concat([batch.drop(columns=["base_value", "shap"]) if before else batch, added], axis=1)
 
     return explain

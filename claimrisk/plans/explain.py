@@ -1,23 +1,44 @@
 """Per-provider attributions of the tree model and the texts made from them."""
 
 import uuid
+from typing import NamedTuple
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimrisk.functions.columns import guarded_ratio
 from claimrisk.operators.lookup_join import lookup_join
+from claimrisk.operators.newton_trees import NewtonModel
 from claimrisk.operators.ordered import add_percent_rank
 from claimrisk.operators.shapley import batch_explainer, compile_trees
+from claimrisk.plans import ml
 from claimrisk.plans.silver import features_median
 from claimrisk.schemas import PROVIDER_KEYS
 from claimrisk.session import file_system, materialise, scratch_dir
 
 
-def tree_nodes(spark: SparkSession, model: PipelineModel) -> list:
-    """Nodes of all trees, from the saved form of the model; bounded by rounds x 2^(depth + 1)."""
+class Node(NamedTuple):
+    """A node of a tree; a leaf has no children (-1)."""
+
+    treeID: int
+    id: int
+    prediction: float
+    leftChild: int
+    rightChild: int
+    feature: int
+    threshold: float
+    cover: float
+    missing_left: bool = False
+
+
+def tree_nodes(spark: SparkSession, model) -> list:
+    """Nodes of all trees; of an MLlib model from its saved form. Bounded by rounds x 2^(depth + 1)."""
+    if isinstance(model, NewtonModel):
+        number = {name: i for i, name in enumerate(model.inputs)}
+        return [Node(tree, node, value, *((-1, -1, -1) if name is None else (2 * node + 1, 2 * node + 2, number[name])),
+                     threshold, cover, missing_left)
+                for tree, node, name, threshold, missing_left, value, cover, _ in model.rows()]
     path = f"{scratch_dir(spark)}/model-{uuid.uuid4()}"
     model.stages[-1].write().save(path)
     nodes = spark.read.parquet(f"{path}/data")
@@ -28,27 +49,32 @@ def tree_nodes(spark: SparkSession, model: PipelineModel) -> list:
         F.get("nodeData.impurityStats", F.lit(0)).alias("cover")).collect()
     system, place = file_system(spark, path)
     system.delete(place, True)
-    return rows
+    return [Node(*row) for row in rows]
 
 
-def shap_values(features: DataFrame, model: PipelineModel) -> DataFrame:
+def shap_values(features: DataFrame, model) -> DataFrame:
     """Add ``base_value`` and ``contributions`` (name, value): path-dependent Shapley values.
 
     They are in log-odds and sum up to the model's margin. Every partition of ``features`` is
-    processed on its own; only the compiled trees are broadcast: their size follows from rounds and
-    depth (some 60 MB at 300 x 6), never from the data.
+    processed on its own; only the leaves and their paths are broadcast. Their size is in proportion to the nodes and known before they are
+    sent: what exceeds a slice goes in several passes.
     """
     spark = features.sparkSession
-    assembler, trees = model.stages
-    names = assembler.getInputCols()
+    names = ml.model_inputs(model)
+    nodes = tree_nodes(spark, model)
     # MLlib's probability is the logistic function of twice the margin.
-    compiled = compile_trees(tree_nodes(spark, model), [2 * w for w in trees.treeWeights])
-    shared = spark.sparkContext.broadcast(compiled)
+    weights = ([1.0] * len(model.trees) if isinstance(model, NewtonModel)
+               else [2 * w for w in model.stages[-1].treeWeights])
+    leaves, base = compile_trees(nodes, weights)
     schema = T.StructType([
         *features.schema.fields,
         T.StructField("base_value", T.DoubleType()),
         T.StructField("shap", T.ArrayType(T.DoubleType()))])
-    explained = features.mapInPandas(batch_explainer(shared, names), schema)
+    explained = features
+    for number, part in enumerate(leaves.slices()):
+        shared = spark.sparkContext.broadcast(part)
+        explained = explained.mapInPandas(
+            batch_explainer(shared, names, base, before="shap" if number else None), schema)
     named = [F.struct(F.lit(n).alias("feature"), F.col("shap")[i].alias("impact"))
              for i, n in enumerate(names)]
     return explained.withColumn("contributions", F.array(*named)).drop("shap")

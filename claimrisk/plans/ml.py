@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import flag
+from claimrisk.operators import newton_trees
 from claimrisk.operators.lookup_join import lookup_join, null_safe_join
+from claimrisk.operators.newton_trees import NewtonModel
 from claimrisk.operators.ordered import add_percent_rank
 from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
 from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS
-from claimrisk.session import materialise, scratch_dir
+from claimrisk.session import file_system, materialise, scratch_dir
 
 LABEL_Z = 3.0
 SPLIT_BUCKETS = 10
@@ -67,20 +69,24 @@ def add_split(features: DataFrame, test_buckets=2, salt="42") -> DataFrame:
     return features.withColumn("split", F.when(bucket < test_buckets, "test").otherwise("train"))
 
 
+def _weighted(train: DataFrame) -> DataFrame:
+    """The training rows with ``weight``: positives count by the class ratio of these rows."""
+    balance = class_balance(train).first()
+    if not balance.positives or not balance.negatives:
+        raise ValueError("training rows need both classes")
+    weight = F.when(F.col("fraud_flag") == 1, balance.negatives / balance.positives).otherwise(1.0)
+    return train.withColumn("weight", weight)
+
+
 def fit(train: DataFrame, feature_set="reference", rounds=300, depth=6, step=0.05, seed=42,
         max_bins=128) -> PipelineModel:
     """Boosted trees on the given rows, positives weighted by the class ratio of these rows.
 
     Training is MLlib's distributed histogram algorithm; its per-round state is checkpointed.
     """
-    balance = class_balance(train).first()
-    if not balance.positives or not balance.negatives:
-        raise ValueError("training rows need both classes")
     scratch_dir(train.sparkSession)
-    weight = F.when(F.col("fraud_flag") == 1, balance.negatives / balance.positives).otherwise(1.0)
-    rows = train.select(
-        *FEATURE_SETS[feature_set], F.col("fraud_flag").cast("double").alias("label"),
-        weight.alias("weight"))
+    rows = _weighted(train).select(
+        *FEATURE_SETS[feature_set], F.col("fraud_flag").cast("double").alias("label"), "weight")
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth,
         stepSize=step, seed=seed, maxBins=max_bins, checkpointInterval=10, cacheNodeIds=True)
@@ -88,16 +94,40 @@ def fit(train: DataFrame, feature_set="reference", rounds=300, depth=6, step=0.0
     return Pipeline(stages=[assembler, trees]).fit(rows)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def fit_newton(train: DataFrame, feature_set="reference", rounds=300, depth=6, step=0.05, **settings) -> NewtonModel:
+    """Second-order boosted trees on the given rows: gradients and curvatures, shrunk leaves, a side for missing inputs."""
+    return newton_trees.fit(
+        _weighted(train), FEATURE_SETS[feature_set], "fraud_flag", "weight", rounds, depth, step, **settings)
+
+
+# Second-order trees are the kind of the reference results; MLlib's first-order trees are kept beside them.
+LEARNERS = {"second_order": fit_newton, "first_order": fit}
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_model(model, path: str) -> None:
+    if isinstance(model, NewtonModel):
+        newton_trees.save(SparkSession.active(), model, path)
+    else:
+        model.write().overwrite().save(path)
+
 
+def load_model(path: str):
+    """A model of either learner, told by what its folder holds."""
+    spark = SparkSession.active()
+    system, place = file_system(spark, f"{path}/stages")
+    return PipelineModel.load(path) if system.exists(place) else newton_trees.load(spark, path)
 
-def score(features: DataFrame, model: PipelineModel) -> DataFrame:
+
+def model_inputs(model) -> list:
+    return list(model.inputs) if isinstance(model, NewtonModel) else model.stages[0].getInputCols()
+
+
+def score(features: DataFrame, model) -> DataFrame:
     """Add ``risk_score`` and ``predicted_fraud``; works on a batch or a stream of feature rows."""
+    if isinstance(model, NewtonModel):
+        margin = newton_trees.margin_column(features.sparkSession, model)
+        scored = features.withColumn("__margin", margin).withColumn("risk_score", 1 / (1 + F.exp(-F.col("__margin"))))
+        return scored.select(*features.columns, "risk_score", flag(F.col("risk_score") > 0.5).alias("predicted_fraud"))
     scored = model.transform(features)
     return scored.select(
         *features.columns,
@@ -120,9 +150,12 @@ def evaluate(scored: DataFrame, split="test") -> DataFrame:
         curves.select("metric", F.lit("all").alias("class"), "value"))
 
 
-def importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def importance(spark: SparkSession, model) -> DataFrame:
     """Importance per model input, highest first; one row per input."""
-    assembler, trees = model.stages
-    rows = list(zip(assembler.getInputCols(), map(float, trees.featureImportances.toArray())))
+    if isinstance(model, NewtonModel):
+        rows = list(model.importance().items())
+    else:
+        assembler, trees = model.stages
+        rows = list(zip(assembler.getInputCols(), map(float, trees.featureImportances.toArray())))
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature")

@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from claimrisk.operators import shapley
 from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
-from claimrisk.operators.shapley import compile_trees
 from claimrisk.plans import explain, ml
 from claimrisk.queries import formula_scores, mart
 from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS
@@ -25,6 +25,11 @@ def model(inputs):
     return ml.fit(inputs.filter("split = 'train'"), "no_leak", rounds=3, depth=3)
 
 
+@pytest.fixture(scope="module")
+def newton(inputs):
+    return ml.fit_newton(inputs.filter("split = 'train'"), "no_leak", rounds=3, depth=3)
+
+
 @pytest.fixture(scope="module")
 def explained(inputs, model):
     return materialise(explain.shap_values(ml.score(inputs, model), model))
@@ -119,42 +124,103 @@ def test_contributions_add_up_to_the_score(explained):
         assert 1 / (1 + exp(-margin)) == pytest.approx(row.risk_score, abs=1e-9)
 
 
-def test_contributions_against_all_coalitions(spark, model, explained):
-    names = FEATURE_SETS["no_leak"]
+def all_coalitions(nodes, weights, x, n):
+    """(base value, Shapley values) of a row by all coalitions of its ``n`` inputs."""
     trees = {}
-    for node in explain.tree_nodes(spark, model):
+    for node in nodes:
         trees.setdefault(node.treeID, {})[node.id] = node
-    weights = model.stages[-1].treeWeights
 
-    def expected(node, tree, x, known):
+    def expected(node, tree, known):
         if node.leftChild < 0:
             return node.prediction
         left, right = tree[node.leftChild], tree[node.rightChild]
         if node.feature in known:
-            return expected(left if x[node.feature] <= node.threshold else right, tree, x, known)
-        return sum(c.cover / node.cover * expected(c, tree, x, known) for c in (left, right))
-
-    def margin(x, known):
-        return sum(2 * weights[i] * expected(t[0], t, x, known) for i, t in trees.items())
-
-    n = len(names)
-    for row in explained.limit(3).collect():
-        x = [row[c] for c in names]
-        value = {s: margin(x, set(s)) for k in range(n + 1) for s in combinations(range(n), k)}
-        assert row.base_value == pytest.approx(value[()])
-        for j in range(n):
-            shapley = sum(
-                factorial(len(s)) * factorial(n - len(s) - 1) / factorial(n)
-                * (value[tuple(sorted((*s, j)))] - v)
-                for s, v in value.items() if j not in s)
-            assert row.contributions[j].impact == pytest.approx(shapley, abs=1e-9)
+            goes_left = node.missing_left if np.isnan(x[node.feature]) else x[node.feature] <= node.threshold
+            return expected(left if goes_left else right, tree, known)
+        return sum(c.cover / node.cover * expected(c, tree, known) for c in (left, right))
+
+    value = {s: sum(weights[i] * expected(t[0], t, set(s)) for i, t in trees.items())
+             for k in range(n + 1) for s in combinations(range(n), k)}
+    return value[()], [sum(
+        factorial(len(s)) * factorial(n - len(s) - 1) / factorial(n) * (value[tuple(sorted((*s, j)))] - v)
+        for s, v in value.items() if j not in s) for j in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["model", "newton"])
+def test_contributions_against_all_coalitions(spark, kind, request, inputs):
+    model = request.getfixturevalue(kind)
+    names = ml.model_inputs(model)
+    weights = [1.0] * len(model.trees) if kind == "newton" else [2 * w for w in model.stages[-1].treeWeights]
+    for row in explain.shap_values(ml.score(inputs.limit(3), model), model).collect():
+        base, values = all_coalitions(explain.tree_nodes(spark, model), weights, [row[c] for c in names], len(names))
+        assert row.base_value == pytest.approx(base)
+        assert [c.impact for c in row.contributions] == pytest.approx(values, abs=1e-9)
+        assert 1 / (1 + exp(-row.base_value - sum(values))) == pytest.approx(row.risk_score, abs=1e-9)
+
+
+def random_tree(rng, depth, inputs, tree=0):
+    """Nodes of a full tree as a heap, with random splits, covers and sides of missing values."""
+    nodes, todo = [], [(0, 100.0)]
+    while todo:
+        node, cover = todo.pop()
+        if node >= 2 ** depth - 1:
+            nodes.append(explain.Node(tree, node, float(rng.normal()), -1, -1, -1, 0.0, cover))
+            continue
+        left = cover * float(rng.uniform(0.02, 0.98))
+        nodes.append(explain.Node(tree, node, 0.0, 2 * node + 1, 2 * node + 2, int(rng.integers(0, inputs)),
+                                  float(rng.normal()), cover, bool(rng.integers(0, 2))))
+        todo += [(2 * node + 1, left), (2 * node + 2, cover - left)]
+    return nodes
+
+
+@pytest.mark.parametrize("depth", [2, 3, 4, 6, 8, 10])
+def test_deep_trees_against_all_coalitions(depth, monkeypatch):
+    rng = np.random.default_rng(depth)
+    inputs = 6 if depth > 6 else 8
+    nodes = random_tree(rng, depth, inputs) + random_tree(rng, 2, inputs, tree=1)
+    x = rng.normal(0, 1, (4, inputs))
+    x[2, ::2] = np.nan
+    leaves, base = shapley.compile_trees(nodes, [1.0, 0.5])
+    assert leaves.bytes() < 200 * len(nodes) * min(depth, inputs)
+    for counted in (shapley.COUNTED, 0):
+        monkeypatch.setattr(shapley, "COUNTED", counted)
+        for parts in ([leaves], leaves.slices(2000)):
+            values = np.zeros((inputs, len(x)))
+            for part in parts:
+                shapley.add_contributions(part, np.ascontiguousarray(x.T), np.isnan(x.T), values)
+            for row in range(len(x)):
+                expected, contributions = all_coalitions(nodes, [1.0, 0.5], x[row], inputs)
+                assert base == pytest.approx(expected)
+                assert values[:, row] == pytest.approx(contributions, abs=1e-9)
+
+
+def test_slices_of_leaves_add_up(spark, model, explained, inputs, monkeypatch):
+    monkeypatch.setattr(shapley.Leaves.slices, "__defaults__", (400,))
+    again = explain.shap_values(ml.score(inputs, model), model)
+    key = lambda r: tuple(str(r[k]) for k in PROVIDER_KEYS)
+    for a, b in zip(sorted(explained.collect(), key=key), sorted(again.collect(), key=key)):
+        assert [c.impact for c in a.contributions] == pytest.approx([c.impact for c in b.contributions])
 
 
 def test_single_leaf_tree_has_only_a_base_value():
-    class Node:
-        treeID, id, prediction, leftChild, rightChild, feature, threshold, cover = 0, 0, 2.0, -1, -1, -1, 0, 1
+    leaves, base = shapley.compile_trees([explain.Node(0, 0, 2.0, -1, -1, -1, 0, 1)], [0.5])
+    assert (len(leaves.value), base) == (0, 1.0)
+
 
-    assert compile_trees([Node], [0.5]) == ([], 1.0)
+def test_newton_scores_save_load_and_stream(spark, inputs, newton, tmp_path):
+    scored = ml.score(inputs, newton)
+    assert scored.columns == [*inputs.columns, "risk_score", "predicted_fraud"]
+    assert scored.filter("predicted_fraud <> cast(risk_score > 0.5 as int)").isEmpty()
+    ml.save_model(newton, str(tmp_path / "model"))
+    model = ml.load_model(str(tmp_path / "model"))
+    assert sorted(scored.collect(), key=str) == sorted(ml.score(inputs, model).collect(), key=str)
+    assert {r.feature for r in ml.importance(spark, model).collect()} == set(FEATURE_SETS["no_leak"])
+    inputs.write.parquet(str(tmp_path / "in"))
+    stream = ml.score(spark.readStream.schema(inputs.schema).parquet(str(tmp_path / "in")), model)
+    query = (stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+             .trigger(availableNow=True).start(str(tmp_path / "out")))
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == inputs.count()
 
 
 def test_shap_importance_is_the_mean_absolute_value(explained):
