@@ -21,6 +21,8 @@ TABLE = 1 << 16  # hashed features
 LEXICON = 4096  # words with weights of their own, at most
 PER_LANGUAGE = 300  # sampled documents of a language, about
 SAMPLE = 64 * PER_LANGUAGE  # sampled documents, about; every language has one at least
+MOST_LANGUAGES = 256  # learned languages, at most: the model has TABLE weights for each
+SAMPLE_CHARS = 32_000_000  # characters of the sampled documents together, at most, about
 FEW = 64  # languages; with more, slices of texts are smaller
 BLOCK = 64
 # Texts are labelled in slices of about this many bytes: the arrays of features are many times as large.
@@ -343,21 +345,29 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.filter("lang is not null and text is not null").filter(remainder("doc_id", 3) != 1)
 
 
-def train(docs: DataFrame, per_language=PER_LANGUAGE, sample=SAMPLE) -> Model:
-    """Fit on a bounded sample of ``docs``: about ``per_language`` whole documents of each language, or fewer if
-    these are more than ``sample`` in all, but one of each at least; chosen by a hash of their id, never from the
-    held-out third. The model grows with the number of languages."""
+def train(docs: DataFrame, per_language=PER_LANGUAGE, sample=SAMPLE, most=MOST_LANGUAGES, chars=SAMPLE_CHARS) -> Model:
+    """Fit on a bounded sample of ``docs``, never from the held-out third.
+
+    Of the ``most`` most frequent languages (ties by name) about ``per_language`` documents each are drawn by a hash of their id, or fewer
+    if these are more than ``sample`` in all, but one of each at least. Rows that repeat an id teach by one of their texts.
+    A text teaches by its beginning: all texts together by ``chars`` characters at most, about. So the driver's sample
+    has a bound in rows and in bytes, and the model grows with ``most`` alone.
+    """
     known = learnable(docs)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).orderBy(
+        F.desc("n"), "lang").limit(most).collect()
     if not counts:
         return fit([], [])
     each = min(per_language, max(1, sample / len(counts)))
     ends = [(r.lang, max(r.least + 1, int(PLACES * min(1.0, each / r.n)))) for r in counts]
     lookup = docs.sparkSession.createDataFrame(ends, "lang string, __end long").withColumnRenamed("lang", "__lang")
     named = known.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    chosen = named.join(F.broadcast(lookup), F.col("lang") == F.col("__lang")).filter(place < F.col("__end")).select(
-        "doc_id", "text", "lang").toArrow().sort_by("doc_id")
+    drawn = named.join(F.broadcast(lookup), F.col("lang") == F.col("__lang")).filter(place < F.col("__end"))
+    length = max(1, int(chars / (each * len(counts))))
+    chosen = drawn.groupBy("lang", "doc_id").agg(
+        F.min_by(F.substring("text", 1, length), F.xxhash64("text")).alias("text")).toArrow().sort_by(
+        [("doc_id", "ascending"), ("lang", "ascending")])
     texts = chosen.column("text").cast("binary").to_pylist()
     return fit(texts, chosen.column("lang").to_pylist())
 
@@ -366,7 +376,8 @@ def identify(docs: DataFrame, model: Model, keep=("doc_id",), lang="lang_pred",
     """Columns ``keep`` with the predicted language and its share of the words.
 
     NULL texts, and texts without a letter, are ``und`` with score 0; so is everything if nothing
-    could be learned. Empty tables give empty results; repeated rows are predicted alike.
+    could be learned. Empty tables give empty results; repeated rows are predicted alike. Very long texts are read
+    whole. Other columns are ignored, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -381,7 +392,11 @@ def identify(docs: DataFrame, model: Model, keep=("doc_id",), lang="lang_pred",
 
 
 def language_id(docs: DataFrame, per_language=PER_LANGUAGE) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every document; a NULL id is not held out."""
+    """``doc_id, held_out, lang_pred, score`` for every row; a NULL id is not held out.
+
+    NULL and empty texts, and texts without a letter, are ``und`` with score 0. Ties go to the language whose name comes
+    first. Repeated rows are predicted alike; an empty table gives no rows. Other columns are ignored.
+    """
     held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
     return identify(docs, train(docs, per_language)).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")

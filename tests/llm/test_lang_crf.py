@@ -154,6 +154,19 @@ def test_every_language_is_learned(docs):
     assert all(found[i] == lang for i, _, lang, _ in rows)
 
 
+def test_the_sample_has_a_bound(spark, monkeypatch):
+    """20,000 rows of one id teach by one text, long texts by their beginnings, rare languages beyond the most not."""
+    fitted = []
+    monkeypatch.setattr(crf, "fit", lambda texts, labels: fitted.append((texts, labels)))
+    rows = spark.range(20_000).selectExpr("0L AS doc_id", "concat('text number ', id) AS text", "'en' AS lang").unionByName(
+        spark.range(40).selectExpr("10 + 3 * id AS doc_id", "repeat('word ', 30000) AS text", "'de' AS lang")).unionByName(
+        spark.range(3).selectExpr("1000 + id AS doc_id", "'mot' AS text", "'fr' AS lang"))
+    crf.train(rows, most=2, chars=400_000)
+    texts, labels = fitted[0]
+    assert labels.count("en") == 1 and set(labels) == {"en", "de"}
+    assert sum(map(len, texts)) <= 400_000
+
+
 def test_texts_with_letters_are_kept(docs):
     """Also texts in several languages alike, and tables without any language."""
     words = {lang: f"{a}{b}{a} {b}{a}{b} " for lang, a, b in (("a", "k", "o"), ("b", "s", "e"), ("c", "t", "i"), ("d", "m", "u"))}
