@@ -7,6 +7,7 @@ instead of down.
 """
 
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -17,8 +18,10 @@ from claimrisk.llm.texts import map_texts
 
 POSITIVES = 2000  # sampled toxic documents, about
 UNLABELLED = 4000  # sampled unlabelled documents, about
-FEATURES = 500
+SAMPLE_WORDS = 4000  # different words that a sampled document teaches by, at most
+FEATURES = 500  # features of the model, at most
 STEMS = range(4, 10)  # lengths of beginnings, in bytes
+# A feature needs this much support among the sampled texts.
 LEAST_DOCUMENTS = 4  # toxic texts of the sample that hold a feature
 LEAST_SHARE = 0.005
 LEAST_EVIDENCE = 15.0  # log-likelihood ratio of a feature
@@ -89,6 +92,29 @@ def choose_features(positive, unlabelled, size=FEATURES):
     return sorted(chosen.values())
 
 
+def sigmoid_loss(margin):
+    """Loss of a margin that should be large: 1 / (1 + e^margin)."""
+    return 1 / (1 + np.exp(np.clip(margin, -500, 500)))
+
+
+def risk_and_gradients(w, bias, xp, xu, prior):
+    """(clean risk, its gradient, gradient of the toxic risk) of weights ``w`` on toxic rows ``xp`` and unlabelled rows ``xu``.
+
+    The clean risk is that of calling clean texts toxic: the risk of all texts less the toxic ones' part. The toxic
+    risk is ``prior`` times the mean loss of the toxic rows.
+    """
+    zp, zu = xp @ w + bias, xu @ w + bias
+    slope = lambda margin: sigmoid_loss(margin) * sigmoid_loss(-margin)
+    clean_risk = sigmoid_loss(-zu).mean() - prior * sigmoid_loss(-zp).mean()
+    clean = slope(zu) @ xu / len(zu) - prior * slope(zp) @ xp / len(zp)
+    return clean_risk, clean, -prior * slope(zp) @ xp / len(zp)
+
+
+def direction(clean_risk, clean, toxic, climb):
+    """The gradient to step against. Below zero the clean risk can only be overfitted: climb back a little instead."""
+    return clean * (1 if clean_risk >= 0 else -climb) + toxic
+
+
 def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=2e-4, climb=0.1) -> Model:
     """Non-negative PU learning with the sigmoid loss; texts are sets of words.
 
@@ -116,16 +142,8 @@ def fit(positive, unlabelled, prior, steps=STEPS, rate=0.1, penalty=2e-4, climb=
     clean = np.maximum(all_texts - prior * toxic, 0.02 * all_texts) / (1 - prior)
     w = start = np.clip(np.log(toxic / clean), 0, 6)
     first, second = np.zeros(len(names)), np.zeros(len(names))
-    loss = lambda margin: 1 / (1 + np.exp(np.clip(margin, -500, 500)))
-    slope = lambda margin: loss(margin) * loss(-margin)
     for step in range(1, steps + 1):
-        zp, zu = xp @ w + bias, xu @ w + bias
-        # Risk of calling clean texts toxic: that of all texts less the toxic ones' part.
-        clean_risk = loss(-zu).mean() - prior * loss(-zp).mean()
-        clean_grad = slope(zu) @ xu / len(zu) - prior * slope(zp) @ xp / len(zp)
-        # Below zero that risk can only be overfitted: climb back a little instead.
-        grad = clean_grad * (1 if clean_risk >= 0 else -climb)
-        grad = grad - prior * slope(zp) @ xp / len(zp) + penalty * (w - start)
+        grad = direction(*risk_and_gradients(w, bias, xp, xu, prior), climb) + penalty * (w - start)
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad * grad
         w = w - rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
@@ -138,10 +156,12 @@ def _sample(ids: DataFrame, size, count):
         1.0, size / max(count, 1)))
 
 
-def train(docs: DataFrame, labels: DataFrame, positives=POSITIVES, unlabelled=UNLABELLED) -> Model:
-    """Fit on bounded samples of whole documents outside the held-out quarter.
+def sampled_words(docs: DataFrame, labels: DataFrame, positives=POSITIVES, unlabelled=UNLABELLED, words=SAMPLE_WORDS):
+    """(Arrow table ``doc_id, part, words``, class prior): the bounded sample that the classifier is fitted on.
 
-    Only ``toxic = 1`` labels are read as examples; the class prior is the share of toxic labels.
+    About ``positives`` toxic (part p) and ``unlabelled`` other documents (part u) outside the held-out quarter, drawn by a hash of their
+    id; rows that repeat an id give one text. A document teaches by its different words, of more than ``words`` by those
+    with the smallest hashes. So rows and bytes that go to the driver have a bound.
     """
     known = labels.filter("toxic is not null and doc_id is not null").filter(
         remainder("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -153,11 +173,26 @@ def train(docs: DataFrame, labels: DataFrame, positives=POSITIVES, unlabelled=UN
     texts = outside.select("doc_id", "text")
     marked = _sample(texts, unlabelled, n_outside).withColumn("part", F.lit("u")).unionByName(
         texts.join(F.broadcast(chosen), "doc_id", "left_semi").withColumn("part", F.lit("p")))
-    rows = marked.toArrow().sort_by([("doc_id", "ascending"), ("part", "ascending")])
-    sets = [words_of(t) for t in rows.column("text").cast("binary").to_pylist()]
+    single = marked.groupBy("doc_id", "part").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+    def kernel():
+        def run(part):
+            sets = [sorted(words_of(t)) for t in part]
+            return {"words": [s if len(s) <= words else sorted(s, key=lambda w: (crc32(w), w))[:words] for s in sets]}
+        return run
+    rows = map_texts(single, kernel, "words array<binary>", ("doc_id", "part")).toArrow()
+    return rows.sort_by([("doc_id", "ascending"), ("part", "ascending")]), ((toxic or 0) / total if total else 0.0)
+
+
+def train(docs: DataFrame, labels: DataFrame, positives=POSITIVES, unlabelled=UNLABELLED) -> Model:
+    """Fit on bounded samples of whole documents outside the held-out quarter (``sampled_words``).
+
+    Only ``toxic = 1`` labels are read as examples; the class prior is the share of toxic labels.
+    """
+    rows, prior = sampled_words(docs, labels, positives, unlabelled)
+    sets = [set(w) for w in rows.column("words").to_pylist()]
     parts = rows.column("part").to_pylist()
-    return fit([s for s, p in zip(sets, parts) if p == "p"], [s for s, p in zip(sets, parts) if p == "u"],
-               (toxic or 0) / total if total else 0.0)
+    return fit([s for s, p in zip(sets, parts) if p == "p"], [s for s, p in zip(sets, parts) if p == "u"], prior)
 
 
 def score(docs: DataFrame, model: Model, keep=("doc_id",)) -> DataFrame:
@@ -172,7 +207,8 @@ def score(docs: DataFrame, model: Model, keep=("doc_id",)) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every document; a NULL id is not held out.
 
-    Without labels the prior is zero and every score is near zero. Repeated rows score alike.
+    Without labels the prior is zero and every score is near zero. NULL and empty texts score as texts without any
+    feature. Very long texts are read whole. Repeated rows score alike; an empty table gives no rows. Other columns are ignored.
     """
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     return score(docs, train(docs, labels)).select(

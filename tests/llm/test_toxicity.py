@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pytest
 from llm.conftest import rows_of
+from pyspark.sql import functions as F
 
 from claimrisk.llm import toxicity as tox
 
@@ -58,6 +59,63 @@ def test_held_out_labels_and_clean_labels_teach_nothing(world, spark):
     assert first.weights == again.weights and first.bias == again.bias
 
 
+def slow_risks(w, bias, xp, xu, prior):
+    """The clean and the toxic risk, example by example."""
+    loss = lambda z: 1 / (1 + np.exp(z))
+    margins = lambda rows: [sum(a * b for a, b in zip(row, w)) + bias for row in rows]
+    mean = lambda values: sum(values) / len(values)
+    zp, zu = margins(xp), margins(xu)
+    return mean([loss(-z) for z in zu]) - prior * mean([loss(-z) for z in zp]), prior * mean([loss(z) for z in zp])
+
+
+def test_risk_and_gradients_against_differences():
+    rng = np.random.default_rng(4)
+    xp, xu = rng.random((7, 3)), rng.random((11, 3))
+    for _ in range(5):
+        w, bias, prior = rng.normal(0, 2, 3), float(rng.normal()), float(rng.random())
+        risk, clean, toxic = tox.risk_and_gradients(w, bias, xp, xu, prior)
+        assert risk == pytest.approx(slow_risks(w, bias, xp, xu, prior)[0])
+        for i in range(3):
+            step = np.eye(3)[i] * 1e-6
+            up, down = (slow_risks(w + s, bias, xp, xu, prior) for s in (step, -step))
+            assert clean[i] == pytest.approx((up[0] - down[0]) / 2e-6, abs=1e-6)
+            assert toxic[i] == pytest.approx((up[1] - down[1]) / 2e-6, abs=1e-6)
+
+
+def test_a_negative_clean_risk_makes_the_step_climb():
+    """The toxic rows show a feature that the few unlabelled rows hardly show: the estimate falls below zero."""
+    xp, xu, w = np.array([[1.0, 0], [1, 1]]), np.array([[0.0, 0], [0, 1], [1, 0]]), np.array([4.0, 0.0])
+    risk, clean, toxic = tox.risk_and_gradients(w, -2.0, xp, xu, 0.6)
+    assert risk < 0 and risk == pytest.approx(slow_risks(w, -2.0, xp, xu, 0.6)[0])
+    assert tox.direction(risk, clean, toxic, 0.1) == pytest.approx(-0.1 * clean + toxic)
+    assert tox.direction(-risk, clean, toxic, 0.1) == pytest.approx(clean + toxic)
+    # A small step against the climbing part alone brings the clean risk back up.
+    after = tox.risk_and_gradients(w - 0.1 * (-0.1 * clean), -2.0, xp, xu, 0.6)[0]
+    assert risk < after
+
+
+def test_fit_takes_the_climbing_branch(monkeypatch):
+    taken = []
+    real = tox.direction
+    monkeypatch.setattr(tox, "direction", lambda risk, *rest: taken.append(risk < 0) or real(risk, *rest))
+    rng = np.random.default_rng(1)
+    text = lambda bad: {b"w%d" % w for w in rng.integers(0, 60, 12)} | ({b"scum"} if bad else set())
+    tox.fit([text(True) for _ in range(60)], [text(rng.random() < 0.1) for _ in range(60)], 0.5)
+    assert any(taken)
+
+
+def test_the_sample_has_a_bound(spark):
+    """20,000 rows of one id, and a text with very many words, teach no more than the parameters say."""
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(9000)), lambda i: F.concat(F.lit("w"), F.chr(97 + i % 26), F.hex(i))))
+    docs = spark.range(20_000).select(F.lit(4).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("scum"), "id").alias("text"))
+    docs = docs.unionByName(spark.range(1).select(F.lit(6).cast("long").alias("doc_id"), words.alias("text")))
+    labels = spark.createDataFrame([(4, 1, 1), (6, 1, 1), (8, 1, 0)], LABELS)
+    rows, prior = tox.sampled_words(docs, labels)
+    assert sorted(zip(rows["doc_id"].to_pylist(), rows["part"].to_pylist())) in (
+        [(4, "p"), (4, "u"), (6, "p"), (6, "u")], [(4, "p"), (6, "p")], [(4, "p"), (4, "u"), (6, "p")], [(4, "p"), (6, "p"), (6, "u")])
+    assert max(map(len, rows["words"].to_pylist())) <= tox.SAMPLE_WORDS and prior == pytest.approx(2 / 3)
+
+
 def test_risk_stays_non_negative():
     """With toxic texts among the unlabelled, weights of harmless words stay small."""
     rng = np.random.default_rng(0)
