@@ -458,6 +458,17 @@ _QUERIES = {
         FROM mart GROUP BY risk_tier""",
 }
 
+_QUERIES["ml_importance_check"] = f"""
+    SELECT CAST({len(MODEL_FEATURES)} AS BIGINT) AS inputs, CAST(0 AS BIGINT) AS negative,
+        CAST(1 AS DOUBLE) AS total"""
+for _check in ("scores", "shap", "rationale", "importance"):
+    _QUERIES[f"newton_{_check}_check"] = _QUERIES[f"ml_{_check}_check"]
+_QUERIES["ml_evaluate_check"] = """
+    SELECT learner, feature_set, class, support, CAST(0 AS BIGINT) AS figures_off
+    FROM (SELECT count(*) FILTER (fraud_flag = 0) AS n, count(*) FILTER (fraud_flag = 1) AS p
+        FROM scores WHERE split = 'test'),
+        (VALUES ('first_order'), ('second_order')) l(learner), (VALUES ('reference'), ('no_leak')) f(feature_set),
+        LATERAL (VALUES ('Normal', n), ('Fraud', p), ('accuracy', n + p)) c(class, support)"""
 _QUERIES["fct_provider_risk_from_features"] = _QUERIES["fct_provider_risk"]
 
 ORACLES = {name: f"{_CTES}\n{sql}" for name, sql in _QUERIES.items()}

@@ -1,7 +1,9 @@
 """Named queries over the order tables, each from the raw tables to its result."""
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import exact_sum, flag
@@ -10,7 +12,7 @@ from claimrisk.operators.scoring_metrics import auc_roc, average_precision, clas
 from claimrisk.plans import bronze, explain, gold, marts, ml, provider_state, quality, serving, silver
 from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS, RAW_MONEY_COLUMNS, TIERS
 from claimrisk.session import file_system, materialise, scratch_dir, store
-from claimrisk.sources.claims_mapping import raw_claims
+from claimrisk.sources.claims_mapping import TABLES, raw_claims
 
 # The audit source of the mapped rows; audit times are left out of the results.
 SOURCE = "order_lines"
@@ -246,70 +248,107 @@ def _peer_rationale(df):
         *PROVIDER_KEYS, "rationale")
 
 
-# Fitted models of this process, by session, data folder and feature set: the path of the saved model.
+# Fitted models of this process: the path of the saved model by session, tables, feature set and learner.
 _FITTED = {}
 
 
+def _version(spark, sf_dir):
+    """Place, sizes and times of the tables that claims come from: new data under an old name is another version."""
+    marks = []
+    for name in TABLES:
+        system, place = file_system(spark, f"{sf_dir}/{name}.parquet")
+        status = system.getFileStatus(place)
+        marks.append((name, system.getContentSummary(place).getLength(), status.getModificationTime()))
+    return sf_dir, tuple(marks)
+
+
 def _inputs(spark, sf_dir):
     return store(ml.add_split(ml.features_table(mart(spark, sf_dir), carry=serving.CARRIED)))
 
 
-def _model(spark, sf_dir, feature_set="reference"):
-    """(inputs, fitted model); a model is fitted once per session and data folder, then loaded."""
-    inputs = _inputs(spark, sf_dir)
-    key = spark.sparkContext.applicationId, sf_dir, feature_set
+def _fitted(spark, sf_dir, inputs, feature_set, learner):
+    """A model is fitted once per session and version of the tables, then loaded."""
+    key = spark.sparkContext.applicationId, _version(spark, sf_dir), feature_set, learner
     if key not in _FITTED:
         path = f"{scratch_dir(spark)}/fitted-{uuid.uuid4().hex}"
-        ml.save_model(ml.fit(inputs.filter(F.col("split") == "train"), feature_set), path)
+        ml.save_model(ml.LEARNERS[learner](inputs.filter(F.col("split") == "train"), feature_set), path)
         system, place = file_system(spark, path)
         system.deleteOnExit(place)
         _FITTED[key] = path
-    return inputs, ml.load_model(_FITTED[key])
+    return ml.load_model(_FITTED[key])
+
+
+def _model(spark, sf_dir, learner):
+    """(inputs, fitted model) of the reference feature set."""
+    inputs = _inputs(spark, sf_dir)
+    return inputs, _fitted(spark, sf_dir, inputs, "reference", learner)
+
 
+def _scored(spark, sf_dir, learner="first_order"):
+    return ml.score(*_model(spark, sf_dir, learner))
 
-def _scored(spark, sf_dir, feature_set="reference"):
-    return ml.score(*_model(spark, sf_dir, feature_set))
 
+def _of_model(plan, learner="first_order"):
+    return lambda spark, sf_dir: plan(spark, sf_dir, learner)
 
-def _ml_scores(spark, sf_dir):
-    return _scored(spark, sf_dir).drop(*serving.CARRIED)
 
+def _ml_scores(spark, sf_dir, learner):
+    return _scored(spark, sf_dir, learner).drop(*serving.CARRIED)
 
-def _ml_importance(spark, sf_dir):
-    return ml.importance(spark, _model(spark, sf_dir)[1])
 
+def _ml_importance(spark, sf_dir, learner):
+    return ml.importance(spark, _model(spark, sf_dir, learner)[1])
 
-def _explained(spark, sf_dir):
-    inputs, model = _model(spark, sf_dir)
+
+def _explained(spark, sf_dir, learner):
+    inputs, model = _model(spark, sf_dir, learner)
     return explain.shap_values(ml.score(inputs.drop(*serving.CARRIED), model), model)
 
 
-def _ml_shap(spark, sf_dir):
+def _ml_shap(spark, sf_dir, learner):
     impact = {f"shap_{c}": F.col("contributions")[i]["impact"] for i, c in enumerate(MODEL_FEATURES)}
-    return _explained(spark, sf_dir).select(
+    return _explained(spark, sf_dir, learner).select(
         *PROVIDER_KEYS, "risk_score", "base_value", *[c.alias(name) for name, c in impact.items()])
 
 
-def _ml_shap_importance(spark, sf_dir):
-    return explain.shap_importance(_explained(spark, sf_dir))
+def _ml_shap_importance(spark, sf_dir, learner):
+    return explain.shap_importance(_explained(spark, sf_dir, learner))
 
 
-def _ml_rationale(spark, sf_dir):
-    return explain.rationale(_explained(spark, sf_dir)).select(*PROVIDER_KEYS, "risk_score", "rationale")
+def _ml_rationale(spark, sf_dir, learner):
+    return explain.rationale(_explained(spark, sf_dir, learner)).select(*PROVIDER_KEYS, "risk_score", "rationale")
 
 
 def _ml_evaluate(spark, sf_dir):
-    """Held-out figures for both feature sets; ``no_leak`` leaves out the input that the label is made of."""
-    both = [ml.evaluate(_scored(spark, sf_dir, name)).select(F.lit(name).alias("feature_set"), "*")
-            for name in FEATURE_SETS]
-    return both[0].unionByName(both[1])
+    """Held-out figures of both learners for both feature sets; ``no_leak`` leaves out the input that the label is made of."""
+    inputs = _inputs(spark, sf_dir)
+    figures = [ml.evaluate(ml.score(inputs, _fitted(spark, sf_dir, inputs, name, learner))).select(
+        F.lit(learner).alias("learner"), F.lit(name).alias("feature_set"), "*")
+        for learner in ml.LEARNERS for name in FEATURE_SETS]
+    return reduce(DataFrame.unionByName, figures)
 
 
 # What holds for any model: counts that SQL knows from the mart, and numbers of rows that break a rule.
 
-def _ml_scores_check(spark, sf_dir):
+def _ml_evaluate_check(spark, sf_dir):
+    """Supports of the classes, which SQL knows, and numbers of figures out of range; accuracy from the stored counts."""
+    figures = _ml_evaluate(spark, sf_dir)
+    wanted = (F.col("metric") == "support") & F.col("class").isin("Normal", "Fraud", "accuracy")
+    supports = F.sum(F.when(wanted, F.col("value"))).cast("long")
+    off = ~F.col("value").between(0, 1) & (F.col("metric") != "support")
+    return figures.groupBy("learner", "feature_set", "class").agg(
+        supports.alias("support"), F.count_if(off).alias("figures_off")).filter("support IS NOT NULL")
+
+
+def _ml_importance_check(spark, sf_dir, learner):
+    return _ml_importance(spark, sf_dir, learner).agg(
+        F.count_distinct("feature").alias("inputs"), F.count_if(F.col("importance") < 0).alias("negative"),
+        F.round(F.sum("importance"), 6).alias("total"))
+
+
+def _ml_scores_check(spark, sf_dir, learner):
     test, positive = F.col("split") == "test", F.col("fraud_flag") == 1
-    return _ml_scores(spark, sf_dir).agg(
+    return _ml_scores(spark, sf_dir, learner).agg(
         F.count("*").alias("score_rows"), F.count_distinct(F.struct(*PROVIDER_KEYS)).alias("provider_keys"),
         F.count_if(~test).alias("train_rows"), F.count_if(test).alias("test_rows"),
         F.count_if(~test & positive).alias("train_positives"), F.count_if(test & positive).alias("test_positives"),
@@ -318,21 +357,21 @@ def _ml_scores_check(spark, sf_dir):
         F.count_if(F.col("predicted_fraud") != flag(F.col("risk_score") > 0.5)).alias("predictions_off"))
 
 
-def _ml_shap_check(spark, sf_dir):
+def _ml_shap_check(spark, sf_dir, learner):
     margin = F.col("base_value") + F.aggregate(
         "contributions", F.lit(0.0), lambda total, c: total + c["impact"])
     # Close to a score of 0 or 1 the margin can't be told from the score: there the scores are compared.
     off = F.abs(1 / (1 + F.exp(-margin)) - F.col("risk_score")) > 1e-6
-    return _explained(spark, sf_dir).agg(
+    return _explained(spark, sf_dir, learner).agg(
         F.count("*").alias("explained_rows"), F.count_if(off).alias("sums_off"),
         F.count_if(F.size("contributions") != len(MODEL_FEATURES)).alias("inputs_missing"))
 
 
-def _ml_rationale_check(spark, sf_dir):
+def _ml_rationale_check(spark, sf_dir, learner):
     terms = F.split("rationale", ", ")
     size = F.transform(F.regexp_extract_all("rationale", F.lit(r"impact: (-?[0-9.]+)")), lambda t: F.abs(t.cast("double")))
     falling = (size[0] >= size[1]) & (size[1] >= size[2])
-    return _ml_rationale(spark, sf_dir).agg(
+    return _ml_rationale(spark, sf_dir, learner).agg(
         F.count("*").alias("rationale_rows"), F.count_if(F.size(terms) != 3).alias("terms_off"),
         F.count_if(~falling).alias("order_off"))
 
@@ -407,15 +446,24 @@ QUERIES = {
         average_precision(_ranked_inputs(m), "fraud_flag", "avg_zscore"), 6, "average_precision")),
     "rationale_top3": _mart(_peer_rationale),
     "rationale_narrative": _claims(_narrative),
-    "ml_scores": _ml_scores,
-    "ml_importance": _ml_importance,
-    "ml_shap": _ml_shap,
-    "ml_shap_importance": _ml_shap_importance,
-    "ml_rationale": _ml_rationale,
+    "ml_scores": _of_model(_ml_scores),
+    "ml_importance": _of_model(_ml_importance),
+    "ml_shap": _of_model(_ml_shap),
+    "ml_shap_importance": _of_model(_ml_shap_importance),
+    "ml_rationale": _of_model(_ml_rationale),
     "ml_evaluate": _ml_evaluate,
-    "ml_scores_check": _ml_scores_check,
-    "ml_shap_check": _ml_shap_check,
-    "ml_rationale_check": _ml_rationale_check,
+    "ml_scores_check": _of_model(_ml_scores_check),
+    "ml_shap_check": _of_model(_ml_shap_check),
+    "ml_rationale_check": _of_model(_ml_rationale_check),
+    "ml_importance_check": _of_model(_ml_importance_check),
+    "ml_evaluate_check": _ml_evaluate_check,
+    "newton_scores": _of_model(_ml_scores, "second_order"),
+    "newton_importance": _of_model(_ml_importance, "second_order"),
+    "newton_shap": _of_model(_ml_shap, "second_order"),
+    "newton_scores_check": _of_model(_ml_scores_check, "second_order"),
+    "newton_shap_check": _of_model(_ml_shap_check, "second_order"),
+    "newton_rationale_check": _of_model(_ml_rationale_check, "second_order"),
+    "newton_importance_check": _of_model(_ml_importance_check, "second_order"),
     "model_serving_provider_risk": _model_serving(lambda s: s),
     "model_serve_provider": _model_serving(lambda s: serving.displayed(serving.provider(s, 42))),
     "model_serve_cohort": _model_serving(lambda s: serving.cohort(

@@ -15,6 +15,7 @@ def duck(sf_dir):
 def test_only_model_queries_lack_sql():
     assert set(QUERIES) - set(ORACLES) == {
         "ml_scores", "ml_importance", "ml_shap", "ml_shap_importance", "ml_rationale", "ml_evaluate",
+        "newton_scores", "newton_importance", "newton_shap",
         "model_serving_provider_risk", "model_serve_provider", "model_serve_cohort", "model_serve_summary",
         "model_state_risk"}
     assert set(ORACLES) <= set(QUERIES)
