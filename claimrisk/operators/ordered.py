@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import any_of
 from claimrisk.operators.lookup_join import lookup_join
-from claimrisk.session import Size, materialise, materialise_measured
+from claimrisk.session import Size, materialise, materialise_measured, store
 
 # Rows a single window task may hold; frames above it are range partitioned.
 ONE_TASK_ROWS = 1_000_000
@@ -188,7 +188,23 @@ def top_fraction_cut(df: DataFrame, value, fraction, bracket=BRACKET):
     return found.value
 
 
-def top_fraction(df: DataFrame, value: Column, fraction) -> DataFrame:
-    """Rows with ``percent_rank() >= fraction`` by ``value``: a filter, no shuffle of the rows."""
-    cut = top_fraction_cut(df, value, fraction)
-    return df.filter(F.lit(False) if cut is None else value > F.lit(cut))
+def top_fraction(df: DataFrame, value: Column, fraction, bracket=BRACKET) -> DataFrame:
+    """Rows with ``percent_rank() >= fraction`` by ``value``, without a shuffle or a copy of the other rows.
+
+    ``df`` is read twice. A sketch of the values gives a lower bound of the cut; then only rows that reach it are stored, and the
+    exact cut is found among them, as the number of rows below is known. If the bound misses, all values are counted.
+    """
+    count, low = df.agg(F.count("*"), F.percentile_approx(
+        F.coalesce(as_double(value), F.lit(-INF)), max(0.0, float(fraction) - bracket), SKETCH_ACCURACY)).first()
+    smaller = ceil(Fraction(str(fraction)) * (count - 1))
+    if smaller <= 0:
+        return df.filter(F.lit(count > 1) & (value > -INF))
+    kept = store(df if count <= SMALL_GROUP or low == -INF else df.filter(value >= low))
+    ranked = kept.select(F.coalesce(as_double(value), F.lit(-INF)).alias("v"))
+    histogram = materialise(prefix_sums(value_counts(ranked, [], "v"), [], "v", ["rows"]))
+    above = histogram.agg(F.sum("rows")).first()[0] or 0
+    found = histogram.select(F.col("v").alias("value"), "rows", "rows_before").filter(
+        _holds(F.lit(smaller - 1 - (count - above)))).first()
+    if found is None:
+        return df.filter(value > F.lit(top_fraction_cut(df, value, fraction, bracket=None)))
+    return kept.filter(value > F.lit(found.value))

@@ -140,10 +140,10 @@ def _sorted(df, ordered, *order):
 def kpi_high_cost_claims(features: DataFrame, fraction=0.99, measure=None) -> DataFrame:
     """Claims at or above the percent rank ``fraction`` by value (charge x services by default)."""
     value = claim_value() if measure is None else F.col(measure)
-    return top_fraction(features, value, fraction).select(
-        "provider_id", "specialty", "state", "procedure_code", "procedure_desc",
-        "avg_submitted_charge", "avg_medicare_paid", "total_services", "total_beneficiaries",
-        claim_value().alias("total_claim_value"))
+    columns = ["provider_id", "specialty", "state", "procedure_code", "procedure_desc", CHARGE, "avg_medicare_paid",
+               "total_services", "total_beneficiaries"]
+    ranked = features.select(*columns, *([] if measure in (None, *columns) else [measure]))
+    return top_fraction(ranked, value, fraction).select(*columns, claim_value().alias("total_claim_value"))
 
 
 def kpi_specialty_benchmarks(features: DataFrame, ordered=True) -> DataFrame:

@@ -105,3 +105,13 @@ def test_lookup_join(spark, path, rows, counted):
     actual = joins.lookup_join(big, small, ["g"], rows="n" if counted else None)
     expected = big.join(small.withColumnRenamed("g", "k"), F.col("g").eqNullSafe(F.col("k")), "left")
     same(actual, expected)
+
+
+def test_top_fraction_when_the_sketch_misses(spark, monkeypatch):
+    """A bound above the cut: the rows below it are looked at again."""
+    monkeypatch.setattr(ordered, "SMALL_GROUP", 10)
+    df = spark.range(1000).selectExpr("cast(id % 500 AS double) AS v")
+    exact = ordered.top_fraction(df, F.col("v"), 0.9)
+    missed = ordered.top_fraction(df, F.col("v"), 0.9, bracket=-0.05)
+    assert sorted(r.v for r in exact.collect()) == sorted(r.v for r in missed.collect()) == sorted(
+        r.v for r in df.collect() if r.v >= 450)
