@@ -96,7 +96,12 @@ def tier_pivot(mart: DataFrame) -> DataFrame:
     return mart.sparkSession.sql(TIER_PIVOT, mart=mart)
 
 
+def views(features_table: str) -> dict:
+    """The two models that are views, as SQL; they are expanded where they are used."""
+    return {"stg_cms_claims": STAGING.format(features=features_table),
+            "int_provider_stats": STATS.format(features=features_table)}
+
+
 def create_views(spark: SparkSession, schema: str, features_table: str) -> None:
-    """The two models that are views; they are expanded where they are used."""
-    replace_view(spark, f"{schema}.stg_cms_claims", STAGING.format(features=features_table))
-    replace_view(spark, f"{schema}.int_provider_stats", STATS.format(features=features_table))
+    for name, select_sql in views(features_table).items():
+        replace_view(spark, f"{schema}.{name}", select_sql)

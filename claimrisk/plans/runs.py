@@ -1,5 +1,6 @@
 """The whole chain of tables in dependency order, with measured row counts."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -8,18 +9,23 @@ from pyspark.sql import functions as F
 from claimrisk.plans import bronze, explain, gold, marts, ml, quality, serving, silver
 from claimrisk.plans.provider_state import ProviderState
 from claimrisk.schemas import FEATURE_SETS, PROVIDER_KEYS
-from claimrisk.session import scratch_dir, store
-from claimrisk.sources.tables import create_schema, read_table, write_table
+from claimrisk.session import materialise, scratch_dir, store
+from claimrisk.sources.tables import create_schema, publish, read_table, version_name, write_version
 
 # Default schemas of the layers.
 SCHEMAS = {"bronze": "bronze", "silver": "silver", "gold": "gold", "marts": "marts"}
 
 
 class TableRun:
-    """Writes tables and records what was written; counting happens while writing."""
+    """Writes tables and records what was written; counting happens while writing.
+
+    A run writes versions of its own, which readers don't see. ``publish`` shows all of them at the end, so a run that
+    breaks off leaves the former tables as they were, and can be repeated.
+    """
 
     def __init__(self, spark: SparkSession, fmt: str, schemas: dict):
-        self.spark, self.fmt, self.schemas, self.written = spark, fmt, schemas, []
+        self.spark, self.fmt, self.schemas, self.written, self.views = spark, fmt, schemas, [], {}
+        self.version = f"v{uuid.uuid4().hex[:12]}"
         for schema in schemas.values():
             create_schema(spark, schema)
 
@@ -28,13 +34,23 @@ class TableRun:
 
     def write(self, df: DataFrame, layer, table, sort_by=None) -> DataFrame:
         counter = Observation()
-        stored = write_table(df.observe(counter, F.count("*").alias("rows")),
-                             self.name(layer, table), fmt=self.fmt, sort_by=sort_by)
+        stored = write_version(df.observe(counter, F.count("*").alias("rows")),
+                               self.name(layer, table), self.version, fmt=self.fmt, sort_by=sort_by)
         # Sorting samples its input, so its rows pass the counter twice; a stored table knows its count.
         rows = stored.count() if sort_by else counter.get["rows"]
         self.written.append((self.name(layer, table), rows, len(df.columns)))
         return stored
 
+    def add_view(self, layer, view, select_sql) -> DataFrame:
+        self.views[self.name(layer, view)] = select_sql
+        return self.spark.sql(select_sql)
+
+    def publish(self) -> None:
+        for name, _, _ in self.written:
+            publish(self.spark, name, self.version)
+        for name, select_sql in self.views.items():
+            publish(self.spark, name, self.version, select_sql)
+
     def report(self) -> DataFrame:
         return self.spark.createDataFrame(
             self.written, "table_name string, rows bigint, columns int")
@@ -42,14 +58,14 @@ class TableRun:
 
 def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None, fmt="parquet",
             run_ts=None, source_file=None, dedupe=False, schemas=None, rounds=300, depth=6,
-            feature_set="reference", model_path=None) -> tuple[DataFrame, DataFrame]:
+            feature_set="reference", model_path=None, learner="second_order") -> tuple[DataFrame, DataFrame]:
     """Build every table from Bronze to serving; returns the row report and the data test results.
 
-    The model is evaluated on the held-out providers, for both feature sets; ``feature_set`` names the one that
+    The model of ``learner`` is evaluated on the held-out providers, for both feature sets; ``feature_set`` names the one that
     is saved (under ``model_path``, by default in the shared folder), explained and served.
 
     Give the name of a loaded Bronze table, or raw rows to load first. Each step reads the tables that
-    the earlier steps stored, so a failed run can be repeated from any table.
+    the earlier steps stored. Readers see the new tables when all are written: a run that fails leaves the former ones, and can be repeated.
     """
     run = TableRun(spark, fmt, {**SCHEMAS, **(schemas or {})})
     rows = (read_table(spark, bronze_table) if bronze_table
@@ -64,11 +80,13 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
     run.write(gold.kpi_procedure_analysis(features, ordered=False), "gold", "kpi_procedure_analysis")
     _write_provider_kpis(run, risk)
 
-    marts.create_views(spark, run.schemas["marts"], run.name("silver", "cms_claims_features"))
+    features_table = version_name(run.name("silver", "cms_claims_features"), run.version)
+    staging = [run.add_view("marts", name, sql) for name, sql in marts.views(features_table).items()][0]
     mart = run.write(marts.fct_provider_risk(features, run_ts), "marts", "fct_provider_risk")
 
     inputs = store(ml.add_split(ml.features_table(mart, carry=serving.CARRIED)))
-    models = {name: ml.fit(inputs.filter(F.col("split") == "train"), name, rounds, depth) for name in FEATURE_SETS}
+    train = inputs.filter(F.col("split") == "train")
+    models = {name: ml.LEARNERS[learner](train, name, rounds, depth) for name in FEATURE_SETS}
     model = models[feature_set]
     ml.save_model(model, model_path or f"{scratch_dir(spark)}/risk-model")
     scores = _write_scores(run, ml.score(inputs, model))
@@ -81,8 +99,9 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
     run.write(explain.rationale(explained).select(*PROVIDER_KEYS, "risk_score", "rationale"), "gold",
               "ml_rationales")
 
-    staging = read_table(spark, run.name("marts", "stg_cms_claims"))
-    return run.report(), quality.run_tests(staging, mart, scores)
+    tests = materialise(quality.run_tests(staging, mart, scores))
+    run.publish()
+    return run.report(), tests
 
 
 def _write_provider_kpis(run: TableRun, risk: DataFrame) -> None:
@@ -110,4 +129,5 @@ def run_part(state: ProviderState, name: str, raw: DataFrame, model_path: str, f
     mart = run.write(state.fct_provider_risk(run_ts), "marts", "fct_provider_risk")
     inputs = ml.add_split(ml.features_table(mart, carry=serving.CARRIED))
     _write_scores(run, ml.score(inputs, ml.load_model(model_path)))
+    run.publish()
     return run.report()

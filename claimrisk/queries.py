@@ -1,6 +1,7 @@
 """Named queries over the order tables, each from the raw tables to its result."""
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -316,9 +317,13 @@ def _ml_rationale(spark, sf_dir, learner):
 def _ml_evaluate(spark, sf_dir):
     """Held-out figures of both learners for both feature sets; ``no_leak`` leaves out the input that the label is made of."""
     inputs = _inputs(spark, sf_dir)
-    figures = [ml.evaluate(ml.score(inputs, _fitted(spark, sf_dir, inputs, name, learner))).select(
+    pairs = [(name, learner) for learner in ml.LEARNERS for name in FEATURE_SETS]
+    # Boosting takes many short jobs one after another; those of different models run side by side.
+    with ThreadPoolExecutor(len(pairs)) as pool:
+        models = pool.map(lambda pair: _fitted(spark, sf_dir, inputs, *pair), pairs)
+    figures = [ml.evaluate(ml.score(inputs, model)).select(
         F.lit(learner).alias("learner"), F.lit(name).alias("feature_set"), "*")
-        for learner in ml.LEARNERS for name in FEATURE_SETS]
+        for (name, learner), model in zip(pairs, models)]
     return reduce(DataFrame.unionByName, figures)
 
 

@@ -40,6 +40,41 @@ def replace_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
     return spark.table(name)
 
 
+def version_name(name: str, version: str) -> str:
+    return f"{name}__{version}"
+
+
+def write_version(df: DataFrame, name: str, version: str, fmt="parquet", sort_by=None) -> DataFrame:
+    """Write ``df`` as a table of its own, which readers of ``name`` don't see before ``publish``."""
+    return write_table(df, version_name(name, version), fmt=fmt, sort_by=sort_by)
+
+
+def published_version(spark: SparkSession, name: str) -> str | None:
+    """The version that the view ``name`` shows; None if there is no such view."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter("key = 'version'").first()
+    return found.value if found else None
+
+
+def publish(spark: SparkSession, name: str, version: str, select_sql: str | None = None) -> None:
+    """Let the view ``name`` show a written version (or ``select_sql``), by one change of the catalog.
+
+    A plain table of that name from earlier gives way to the view. Of other versions the one shown before stays, for queries
+    that still read it; older ones, and those of runs that broke off, are dropped.
+    """
+    before = published_version(spark, name)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    select_sql = select_sql or f"SELECT * FROM {version_name(name, version)}"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('version' = '{version}') AS {select_sql}")
+    schema, _, table = name.rpartition(".")
+    kept = {version_name(table, v) for v in (version, before) if v}
+    for row in spark.sql(f"SHOW TABLES IN {schema} LIKE '{version_name(table, '*')}'").collect():
+        if row.tableName not in kept:
+            spark.sql(f"DROP TABLE IF EXISTS {schema}.{row.tableName}")
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with header; one file per partition, written by the executors."""
     df.write.mode("overwrite").option("header", True).csv(path)

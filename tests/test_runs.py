@@ -130,3 +130,48 @@ def test_null_keys_join(spark, served):
     scores = served.limit(1).drop("risk_tier", "total_billed").withColumns(keys)
     mart = served.limit(1).withColumns(keys)
     assert serving.serving_provider_risk(scores, mart).first().risk_tier is not None
+
+
+def test_a_run_that_fails_leaves_the_former_tables(spark, sf_dir, tmp_path, monkeypatch):
+    from claimrisk.sources import tables
+
+    schemas = {layer: f"fails_{layer}" for layer in runs.SCHEMAS}
+    raw = raw_claims(spark, sf_dir)
+
+    def run(rows, **options):
+        return runs.run_all(spark, raw=rows, schemas=schemas, rounds=1, depth=1, model_path=str(tmp_path / "m"), **options)
+
+    def names():
+        return {(s, t.name) for s in schemas.values() for t in spark.catalog.listTables(s)}
+
+    run(raw)
+    first, before = names(), sorted(map(tuple, spark.table("fails_gold.serving_provider_risk").collect()))
+    version = tables.published_version(spark, "fails_gold.provider_risk")
+    with monkeypatch.context() as broken:
+        broken.setattr(runs.explain, "rationale", None)
+        with pytest.raises(TypeError):
+            run(raw.filter("Rndrng_NPI % 2 = 0"))
+    assert tables.published_version(spark, "fails_gold.provider_risk") == version
+    assert sorted(map(tuple, spark.table("fails_gold.serving_provider_risk").collect())) == before
+    assert spark.table("fails_marts.stg_cms_claims").count() == 6000
+    run(raw.filter("Rndrng_NPI % 2 = 0"))
+    assert spark.table("fails_gold.serving_provider_risk").count() < len(before)
+    assert tables.published_version(spark, "fails_gold.provider_risk") != version
+    # Of each table its view, this version and the one before are there; those of the broken run are not.
+    assert len(names()) == len(first) + len([n for n in first if "__" in n[1]])
+
+
+def test_a_plain_table_gives_way_to_the_view(spark):
+    from claimrisk.sources import tables
+
+    tables.create_schema(spark, "publish_test")
+    tables.write_table(spark.range(3), "publish_test.t")
+    tables.write_version(spark.range(5), "publish_test.t", "a")
+    assert tables.published_version(spark, "publish_test.t") is None and spark.table("publish_test.t").count() == 3
+    tables.publish(spark, "publish_test.t", "a")
+    assert spark.table("publish_test.t").count() == 5
+    for version, rows in (("b", 7), ("c", 9)):
+        tables.write_version(spark.range(rows), "publish_test.t", version)
+        tables.publish(spark, "publish_test.t", version)
+    assert spark.table("publish_test.t").count() == 9
+    assert {t.name for t in spark.catalog.listTables("publish_test")} == {"t", "t__b", "t__c"}
