@@ -24,6 +24,10 @@ SKETCH_ACCURACY = 10_000
 # Half width of a bracket: sketch error 1e-4, plus 1.5 positions of a group above SMALL_GROUP.
 BRACKET = 0.0005
 
+# Stored sketches: their size parameter, and the half width of a bracket from them (some three times their error).
+KLL_SIZE = 2048
+KLL_BRACKET = 0.004
+
 INF = float("inf")
 
 
@@ -97,26 +101,48 @@ def add_percent_rank(df: DataFrame, groups, value, name, size: Size | None = Non
     return _add_order(df, groups, value, name, F.coalesce(below, F.lit(0.0)), size)
 
 
-def compressed_histogram(df: DataFrame, groups, value, fractions, bracket=BRACKET) -> DataFrame:
+def value_sketches(df: DataFrame, groups, metrics: dict) -> DataFrame:
+    """``groups, metric, n, sketch``: a mergeable quantile sketch of each metric (name: column) per group, and how many
+    values it stands for. One pass; a sketch has some 50 kB at most, whatever the number of rows."""
+    sketched = df.select(*groups, *[as_double(c).alias(m) for m, c in metrics.items()]).groupBy(*groups).agg(*[
+        F.struct(F.lit(m).alias("metric"), F.count(m).alias("n"), F.kll_sketch_agg_double(m, KLL_SIZE).alias("sketch")).alias(m)
+        for m in metrics])
+    return sketched.select(*groups, F.inline(F.array(*metrics))).filter("n > 0")
+
+
+def merge_sketches(sketches: DataFrame, groups) -> DataFrame:
+    """One sketch per group and metric from the sketches of any number of parts."""
+    return sketches.groupBy(*groups, "metric").agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", KLL_SIZE).alias("sketch"))
+
+
+def _edges(rows, groups, edges, sketches):
+    """``groups, __n, __e0, ...``: the values near which single values are kept, by a sketch of the rows or by stored ones."""
+    if sketches is not None:
+        found = sketches.select(*groups, F.col("n").alias("__n"), F.array(*[
+            F.kll_sketch_get_quantile_double("sketch", F.lit(min(max(e, 0.0), 1.0))) for e in edges]).alias("__edges"))
+    else:
+        found = rows.groupBy(*groups).agg(F.count("*").alias("__n"), F.percentile_approx(
+            "__v", [min(max(e, 0.0), 1.0) for e in edges], SKETCH_ACCURACY).alias("__edges"))
+    return materialise(found).select(*groups, "__n", *[
+        F.when((F.col("__n") > SMALL_GROUP) & F.lit(0.0 < e < 1.0), F.col("__edges")[i])
+        .otherwise(F.lit(INF if i % 2 else -INF)).alias(f"__e{i}")
+        for i, e in enumerate(edges)])
+
+
+def compressed_histogram(df: DataFrame, groups, value, fractions, bracket=BRACKET, sketches=None) -> DataFrame:
     """Ordered counts per group that keep single values only near the wanted percentiles.
 
     A sketch gives a bracket around each percentile. Values inside keep their own row; all rows between
     two brackets become one row (``is_lump``), represented by its smallest value. The result has
     ``groups, value, is_lump, rows, rows_before, rows_total`` and stays small for any input size.
-    ``bracket=None`` keeps every value.
+    ``bracket=None`` keeps every value. ``sketches`` (``groups, n, sketch``) of the same values save the pass that makes one.
     """
     rows = df.select(*groups, as_double(value).alias("__v")).filter(F.col("__v").isNotNull())
     inside, segment = F.lit(True), F.lit(0)
     if bracket is not None:
         edges = [e for f in fractions for e in (f - bracket, f + bracket)]
-        sketch = materialise(rows.groupBy(*groups).agg(
-            F.count("*").alias("__n"),
-            F.percentile_approx("__v", [min(max(e, 0.0), 1.0) for e in edges], SKETCH_ACCURACY)
-            .alias("__edges")))
-        bounds = sketch.select(*groups, "__n", *[
-            F.when((F.col("__n") > SMALL_GROUP) & F.lit(0.0 < e < 1.0), F.col("__edges")[i])
-            .otherwise(F.lit(INF if i % 2 else -INF)).alias(f"__e{i}")
-            for i, e in enumerate(edges)])
+        bounds = _edges(rows, groups, edges, sketches)
         if groups:
             rows = lookup_join(rows, bounds, groups, rows="__n")
             edge = [F.col(f"__e{i}") for i in range(len(edges))]
@@ -143,11 +169,14 @@ def _holds(position: Column) -> Column:
     return (before <= position) & (position < before + F.col("rows"))
 
 
-def percentiles(df: DataFrame, groups, value, fractions: dict, bracket=BRACKET) -> DataFrame:
+def percentiles(df: DataFrame, groups, value, fractions: dict, bracket=BRACKET, sketches=None) -> DataFrame:
     """Exact percentiles per group with linear interpolation; ``fractions`` maps names to 0..1.
 
-    Groups without any value are absent from the result.
+    Groups without any value are absent from the result. With stored ``sketches`` (``groups, n, sketch``) ``df`` is read once. They only
+    say where to look: if they are off, or lack a group, all values are counted.
     """
+    if sketches is not None and bracket is not None:
+        bracket = KLL_BRACKET
     columns = {}
     picks = []
     for name, fraction in fractions.items():
@@ -159,7 +188,7 @@ def percentiles(df: DataFrame, groups, value, fractions: dict, bracket=BRACKET)
         picks.append(F.max(position - low).alias(f"__{name}_part"))
         at = F.col(f"__{name}_low")
         columns[name] = at + (F.col(f"__{name}_high") - at) * F.col(f"__{name}_part")
-    histogram = compressed_histogram(df, groups, value, list(fractions.values()), bracket)
+    histogram = compressed_histogram(df, groups, value, list(fractions.values()), bracket, sketches)
     if groups:
         picked = histogram.groupBy(*groups).agg(*picks)
     else:

@@ -469,6 +469,7 @@ _QUERIES["ml_evaluate_check"] = """
         FROM scores WHERE split = 'test'),
         (VALUES ('first_order'), ('second_order')) l(learner), (VALUES ('reference'), ('no_leak')) f(feature_set),
         LATERAL (VALUES ('Normal', n), ('Fraud', p), ('accuracy', n + p)) c(class, support)"""
+_QUERIES["percentiles_from_sketches"] = _QUERIES["specialty_percentiles"]
 _QUERIES["fct_provider_risk_from_features"] = _QUERIES["fct_provider_risk"]
 
 ORACLES = {name: f"{_CTES}\n{sql}" for name, sql in _QUERIES.items()}

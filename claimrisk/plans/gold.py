@@ -201,10 +201,10 @@ def kpi_patient_outliers(risk: DataFrame, fraction=0.95) -> DataFrame:
         *PROVIDER_KEYS, "risk_tier", "total_beneficiaries", "patient_limit")
 
 
-def specialty_percentiles(claims: DataFrame) -> DataFrame:
+def specialty_percentiles(claims: DataFrame, sketches=None) -> DataFrame:
     """True median and 95th percentile of charge and charge ratio per specialty."""
     metrics = {"charge": F.col(CHARGE), "ratio": ratio_columns()["charge_to_payment_ratio"]}
-    return peer_percentiles(claims, metrics, {"median": 0.5, "p95": 0.95})
+    return peer_percentiles(claims, metrics, {"median": 0.5, "p95": 0.95}, sketches)
 
 
 def procedure_fraud_rate(labelled: DataFrame) -> DataFrame:

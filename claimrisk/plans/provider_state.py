@@ -2,7 +2,7 @@
 
 A part's claims are read once. What stays of them are sums, counts and extremes per provider key, the distinct
 procedures of each key, and count, mean and squared deviations per specialty; all of these merge exactly,
-in any order. The state of a part is a folder of its own, named by the part and written whole or not at all, so a part that is
+in any order. Quantile sketches per specialty say where exact percentiles must look. The state of a part is a folder of its own, named by the part and written whole or not at all, so a part that is
 loaded again changes nothing. Folding many parts into one base keeps reads short.
 """
 
@@ -15,7 +15,7 @@ from claimrisk.functions.columns import claim_value, exact_parts, exact_total, z
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.plans.gold import rank_and_tier
 from claimrisk.plans.marts import rank_and_tier_by_peak
-from claimrisk.plans.silver import CHARGE, RATIOS, ratio_columns
+from claimrisk.plans.silver import CHARGE, RATIOS, claim_sketches, merge_claim_sketches, ratio_columns
 from claimrisk.schemas import PROVIDER_KEYS, PROVIDER_MEASURES
 from claimrisk.session import Size, drop_stored, file_system, materialise_measured, store
 
@@ -23,7 +23,7 @@ from claimrisk.session import Size, drop_stored, file_system, materialise_measur
 INPUTS = [*PROVIDER_KEYS, "procedure_code", "place_of_service", CHARGE, "avg_medicare_paid",
           "total_services", "total_beneficiaries"]
 # A folder of state is committed when the last of its tables is.
-TABLES = ["peers", "procedures", "providers"]
+TABLES = ["peers", "sketches", "procedures", "providers"]
 
 
 
@@ -48,7 +48,7 @@ SUMS = ["claims", "beneficiaries", "facility_claims", "charges", "charge_sum", *
 
 
 def part_state(claims: DataFrame) -> dict[str, DataFrame]:
-    """The state of some stored claims: ``providers``, ``procedures`` and ``peers``."""
+    """The state of some stored claims: ``providers``, ``procedures``, ``peers`` and ``sketches``."""
     rows = claims.withColumns(ratio_columns())
     return {
         "providers": rows.groupBy(*PROVIDER_KEYS).agg(
@@ -58,6 +58,7 @@ def part_state(claims: DataFrame) -> dict[str, DataFrame]:
             F.count(CHARGE).alias("n"), F.avg(CHARGE).alias("mean"),
             (F.var_pop(CHARGE) * F.count(CHARGE)).alias("squares"),
             F.min(CHARGE).alias("low"), F.max(CHARGE).alias("high")),
+        "sketches": claim_sketches(claims),
     }
 
 
@@ -83,7 +84,8 @@ def merge_peers(states: DataFrame) -> DataFrame:
         F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-MERGE = {"providers": merge_providers, "procedures": merge_procedures, "peers": merge_peers}
+MERGE = {"providers": merge_providers, "procedures": merge_procedures, "peers": merge_peers,
+         "sketches": merge_claim_sketches}
 
 
 class ProviderState:
@@ -134,7 +136,7 @@ class ProviderState:
         return ([base] if base else []) + sorted(single)
 
     def table(self, name) -> DataFrame | None:
-        """``providers``, ``procedures`` or ``peers`` of all parts, merged; None before the first part."""
+        """One of TABLES of all parts, merged; None before the first part."""
         folders = self._folders()
         if not folders:
             return None

@@ -9,7 +9,7 @@ from claimrisk.functions.columns import (
     INF, any_of, finite, flag, guarded_ratio, processed_at, zscore)
 from claimrisk.operators.dedupe import keep_first
 from claimrisk.operators.lookup_join import lookup_join
-from claimrisk.operators.ordered import percentiles
+from claimrisk.operators.ordered import merge_sketches, percentiles, value_sketches
 from claimrisk.schemas import CLAIM_COLUMNS, CLAIM_GRAIN, MIN_CHARGE, RAW_TO_CLEAN, UPPER_CASED
 
 CHARGE = "avg_submitted_charge"
@@ -59,6 +59,10 @@ RATIOS = {
 }
 
 
+# The metric of a percentile or sketch that each ratio gives.
+METRIC_OF = {"charge_to_payment_ratio": "ratio", "billing_intensity": "intensity"}
+
+
 def ratio_columns(available=None) -> dict:
     """The ratios, or those whose inputs are ``available``."""
     return {name: guarded_ratio(*inputs) for name, inputs in RATIOS.items()
@@ -88,25 +92,38 @@ def features(claims: DataFrame, run_ts=None) -> DataFrame:
     })
 
 
-def peer_percentiles(claims: DataFrame, metrics: dict, fractions: dict) -> DataFrame:
+def claim_sketches(claims: DataFrame) -> DataFrame:
+    """``specialty, metric, n, sketch``: quantile sketches of charge, charge ratio and intensity, to be stored with the claims and merged by
+    ``merge_claim_sketches``. The percentile plans take them as ``sketches`` and then read the claims once."""
+    return value_sketches(claims, ["specialty"], {"charge": F.col(CHARGE), **{
+        METRIC_OF[name]: column for name, column in ratio_columns(claims.columns).items()}})
+
+
+def merge_claim_sketches(sketches: DataFrame) -> DataFrame:
+    return merge_sketches(sketches, ["specialty"])
+
+
+def peer_percentiles(claims: DataFrame, metrics: dict, fractions: dict, sketches=None) -> DataFrame:
     """Exact percentiles of several row metrics per specialty, one column per metric and fraction."""
     long = claims.select("specialty", *[c.cast("double").alias(m) for m, c in metrics.items()])
     long = long.unpivot(["specialty"], list(metrics), "metric", "value")
-    found = percentiles(long, ["specialty", "metric"], "value", fractions)
+    if sketches is not None:
+        sketches = sketches.filter(F.col("metric").isin(*metrics))
+    found = percentiles(long, ["specialty", "metric"], "value", fractions, sketches=sketches)
     return found.groupBy("specialty").agg(*[
         F.max(F.when(F.col("metric") == m, F.col(f))).alias(f"{m}_{f}")
         for m in metrics for f in fractions])
 
 
-def features_median(claims: DataFrame) -> DataFrame:
+def features_median(claims: DataFrame, sketches=None) -> DataFrame:
     """Claims with the median charge and ratio of their specialty and the z-score around the median.
 
-    Reads its input three times, so pass a stored frame with the columns that are needed.
+    Reads its input four times, three times with stored ``sketches``, so pass a stored frame with the columns that are needed.
     """
     rows = claims.withColumns(ratio_columns(claims.columns))
     medians = peer_percentiles(
         claims, {"charge": F.col(CHARGE), "ratio": ratio_columns()["charge_to_payment_ratio"]},
-        {"median": 0.5})
+        {"median": 0.5}, sketches)
     peers = lookup_join(peer_stats(claims), medians, ["specialty"]).select(
         "specialty",
         F.col("charge_median").alias("specialty_median_charge"),
@@ -124,12 +141,12 @@ def with_unique_procedures(claims: DataFrame) -> DataFrame:
     return lookup_join(claims, counts, ["provider_id"], rows="provider_claims")
 
 
-def label_any(features_df: DataFrame, z=3.0, ratio_factor=10.0, intensity_fraction=0.95) -> DataFrame:
+def label_any(features_df: DataFrame, z=3.0, ratio_factor=10.0, intensity_fraction=0.95, sketches=None) -> DataFrame:
     """Claims with ``fraud_flag``: high z-score, or high ratio or intensity against the specialty."""
     peers = peer_percentiles(
         features_df,
         {"ratio": F.col("charge_to_payment_ratio"), "intensity": F.col("billing_intensity")},
-        {"median": 0.5, "high": intensity_fraction})
+        {"median": 0.5, "high": intensity_fraction}, sketches)
     peers = peers.select("specialty", "ratio_median", "intensity_high")
     rules = [
         F.col("provider_charge_zscore") > z,

@@ -98,7 +98,7 @@ ARRIVALS = [3, 1, "fold", 4, 0, 1, 2]
 
 
 def state_of_parts(spark, sf_dir):
-    """The provider state after all claims came in as parts; the raw tables are read once, to write the parts."""
+    """(provider state, claims) after all claims came in as parts; the raw tables are read once, to write the parts."""
     folder = f"{scratch_dir(spark)}/arrived-{uuid.uuid4().hex}"
     system, place = file_system(spark, folder)
     system.deleteOnExit(place)
@@ -111,11 +111,17 @@ def state_of_parts(spark, sf_dir):
             state.fold()
         else:
             state.add_part(f"part {part}", spark.read.schema(claims.schema).parquet(f"{folder}/claims/part={part}"))
-    return state
+    return state, spark.read.schema(claims.schema).parquet(f"{folder}/claims")
+
+
+def _percentiles_from_sketches(spark, sf_dir):
+    """Exact percentiles of all claims; where to look for them is known from the sketches that came with the parts."""
+    state, claims = state_of_parts(spark, sf_dir)
+    return _percentiles_out(gold.specialty_percentiles(claims, state.table("sketches")))
 
 
 def _from_parts(plan):
-    return lambda spark, sf_dir: plan(state_of_parts(spark, sf_dir)).drop(*AUDIT_TIMES)
+    return lambda spark, sf_dir: plan(state_of_parts(spark, sf_dir)[0]).drop(*AUDIT_TIMES)
 
 
 def _raw(plan):
@@ -405,6 +411,7 @@ QUERIES = {
     "provider_risk": _risk(lambda r: r),
     "provider_risk_from_features": _features(gold.provider_risk),
     "risk_from_parts": _from_parts(lambda state: state.provider_risk()),
+    "percentiles_from_sketches": _percentiles_from_sketches,
     "mart_from_parts": _from_parts(lambda state: state.fct_provider_risk()),
     "tier_distribution": _risk(gold.tier_distribution),
     "tier_billed": _risk(gold.tier_billed),

@@ -159,3 +159,40 @@ def test_late_part_reaches_serving(spark, sf_dir, tmp_path):
     assert report["late_gold.serving_provider_risk"] == whole.count() > before
     again = runs.run_part(state, "late", late, model, schemas=schemas)
     assert {r.table_name: r.rows for r in again.collect()} == report
+
+
+def test_percentiles_read_the_claims_once(spark, claims, monkeypatch):
+    """With the merged sketches of the parts; exact also with sketches of other claims, or none for a specialty."""
+    from claimrisk.operators import ordered
+
+    monkeypatch.setattr(ordered, "SMALL_GROUP", 20)
+    root = tempfile.mkdtemp(dir="/tmp")
+    claims.write.parquet(f"{root}/claims")
+    stored = spark.read.parquet(f"{root}/claims")
+    state = ProviderState(spark, f"{root}/state")
+    for number in range(4):
+        state.add_part(str(number), part(stored, number))
+    exact = stored.withColumns(silver.ratio_columns()).groupBy("specialty").agg(
+        F.percentile("avg_submitted_charge", 0.5).alias("charge_median"), F.percentile("avg_submitted_charge", 0.95).alias("charge_p95"),
+        F.percentile("charge_to_payment_ratio", 0.5).alias("ratio_median"),
+        F.percentile("charge_to_payment_ratio", 0.95).alias("ratio_p95"))
+    expected = {r.specialty: r.asDict() for r in exact.collect()}
+    sketches = state.table("sketches")
+    assert {r.n for r in sketches.filter("metric = 'charge'").collect()} == {
+        r.n for r in claims.groupBy("specialty").agg(F.count("avg_submitted_charge").alias("n")).collect()}
+    before = last_execution(spark)
+    found = gold.specialty_percentiles(stored, sketches).collect()
+    last_execution(spark)
+    assert rows_read(spark, before, f"{root}/claims") == claims.count()
+    off = ProviderState(spark, f"{root}/other")
+    off.add_part("dear ones", stored.filter("avg_submitted_charge > 1200 AND specialty <> 'BUILDING'"))
+    for result in (found, gold.specialty_percentiles(stored, off.table("sketches")).collect()):
+        assert {r.specialty for r in result} == set(expected)
+        for r in result:
+            assert r.asDict() == pytest.approx(expected[r.specialty])
+    medians = [sorted(map(tuple, silver.features_median(stored, s).select(
+        "provider_id", "procedure_code", "specialty_median_charge", "specialty_median_ratio").collect())) for s in (None, sketches)]
+    assert medians[0] == medians[1]
+    features = store(silver.features(stored))
+    flags = [silver.label_any(features, sketches=s).groupBy("fraud_flag").count().collect() for s in (None, sketches)]
+    assert sorted(flags[0]) == sorted(flags[1])
