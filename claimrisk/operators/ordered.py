@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import any_of
-from claimrisk.operators.lookup_join import lookup_join
+from claimrisk.operators.lookup_join import lookup_join, null_safe_join
 from claimrisk.session import Size, materialise, materialise_measured, store
 
 # Rows a single window task may hold; frames above it are range partitioned.
@@ -237,3 +237,51 @@ def top_fraction(df: DataFrame, value: Column, fraction, bracket=BRACKET) -> Dat
     if found is None:
         return df.filter(value > F.lit(top_fraction_cut(df, value, fraction, bracket=None)))
     return kept.filter(value > F.lit(found.value))
+
+
+# Distinct values that one row of an order index holds.
+INDEX_SLICE = 1024
+
+
+def order_index(df: DataFrame, groups, value) -> DataFrame:
+    """An index of the order of ``value`` in each group, to be stored: later values find their rank in it without ranking again.
+
+    ``groups, slice, first, total, values, before``: a row per slice of INDEX_SLICE neighbouring distinct values, with how many rows
+    of the group are smaller than each. ``first`` is the slice's smallest value, ``total`` the rows of the group. NULLs come first, as
+    in ``add_percent_rank``: they are rows below every value.
+    """
+    counts = value_counts(df.select(*groups, as_double(value).alias("value")), groups, "value").withColumn("one", F.lit(1))
+    summed = prefix_sums(counts, groups, "value", ["rows", "one"])
+    part = F.floor(F.col("one_before") / INDEX_SLICE).alias("slice")
+    entry = F.struct("value", F.col("rows_before").alias("before"), "rows")
+    packed = summed.groupBy(*groups, part).agg(
+        F.max("rows_total").alias("total"), F.array_sort(F.collect_list(entry)).alias("entries"))
+    return packed.select(
+        *groups, "slice", F.col("entries")[0]["value"].alias("first"), "total", "entries")
+
+
+def add_rank_among(df: DataFrame, index: DataFrame, groups, value, name) -> DataFrame:
+    """The percent rank that ``value`` has among the rows of a stored ``order_index`` and itself; works on a batch or a stream.
+
+    As ``percent_rank()`` over the indexed rows of the group with this one row added: 0 for NULL and for a group that the index
+    doesn't know. A row meets the one slice of its group that holds its place: a lookup in the first values of the slices, then a join on
+    (group, slice). Only these first values, one per INDEX_SLICE values, are gathered per group.
+    """
+    firsts = index.groupBy(*groups).agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("first", F.lit(-INF)).alias("first"), "slice"))).alias("__firsts"))
+    wanted = F.coalesce(as_double(value), F.lit(-INF))
+    # The last slice whose first value is smaller: rows in later ones are not below.
+    below = F.filter("__firsts", lambda f: f["first"] < wanted)
+    placed = lookup_join(df, firsts, groups).withColumn(
+        "__slice", F.when(F.size(below) > 0, F.try_element_at(below, F.lit(-1))["slice"])).drop("__firsts")
+    slices = index.select(*groups, F.col("slice").alias("__slice"), F.col("total").alias("__total"),
+                          F.col("entries").alias("__entries"))
+    if df.isStreaming:  # a stream can't be counted; Spark broadcasts the index by its size or shuffles
+        joined = null_safe_join(placed, slices, [*groups, "__slice"], "left")
+    else:
+        joined = lookup_join(placed, slices, [*groups, "__slice"])
+    smaller = F.filter("__entries", lambda e: F.coalesce(e["value"], F.lit(-INF)) < wanted)
+    last = F.try_element_at(smaller, F.lit(-1))
+    rank = F.coalesce(F.try_divide(last["before"] + last["rows"], F.col("__total")), F.lit(0.0))
+    return joined.withColumn(name, F.when(as_double(value).isNull(), F.lit(0.0)).otherwise(rank)).drop(
+        "__slice", "__total", "__entries")

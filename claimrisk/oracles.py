@@ -469,6 +469,22 @@ _QUERIES["ml_evaluate_check"] = """
         FROM scores WHERE split = 'test'),
         (VALUES ('first_order'), ('second_order')) l(learner), (VALUES ('reference'), ('no_leak')) f(feature_set),
         LATERAL (VALUES ('Normal', n), ('Fraud', p), ('accuracy', n + p)) c(class, support)"""
+_QUERIES["serve_cohort_indexed"] = _QUERIES["serve_cohort"]
+_QUERIES["ml_features_wide_new"] = f"""
+    , counts AS (SELECT provider_id, count(DISTINCT procedure_code) AS n FROM clean GROUP BY 1)
+    , ranked AS (SELECT m.*,
+        (SELECT count(*) FROM mart o WHERE o.provider_id % 7 <> 0 AND o.specialty IS NOT DISTINCT FROM m.specialty
+            AND (o.max_zscore < m.max_zscore OR o.max_zscore IS NULL)) AS below,
+        (SELECT count(*) FROM mart o WHERE o.provider_id % 7 <> 0
+            AND o.specialty IS NOT DISTINCT FROM m.specialty) AS others
+        FROM mart m WHERE m.provider_id % 7 = 0)
+    SELECT {', '.join('m.' + k for k in PROVIDER_KEYS)},
+        {', '.join(f'coalesce(m.{c}, 0) AS {c}' for c in MODEL_FEATURES)},
+        round(CASE WHEN m.max_zscore IS NULL OR others = 0 THEN 0 ELSE below / others END, 6) AS specialty_rank_percentile,
+        CAST(CASE WHEN facility_rate >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS facility_flag,
+        n AS unique_hcpcs_per_npi,
+        CAST(CASE WHEN max_zscore >= 3 THEN 1 ELSE 0 END AS INTEGER) AS fraud_flag
+    FROM ranked m JOIN counts c ON m.provider_id = c.provider_id"""
 _QUERIES["percentiles_from_sketches"] = _QUERIES["specialty_percentiles"]
 _QUERIES["fct_provider_risk_from_features"] = _QUERIES["fct_provider_risk"]
 

@@ -11,7 +11,7 @@ from claimrisk.functions.columns import flag
 from claimrisk.operators import newton_trees
 from claimrisk.operators.lookup_join import lookup_join, null_safe_join
 from claimrisk.operators.newton_trees import NewtonModel
-from claimrisk.operators.ordered import add_percent_rank
+from claimrisk.operators.ordered import add_percent_rank, add_rank_among, order_index
 from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
 from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS
 from claimrisk.session import file_system, materialise, scratch_dir
@@ -41,14 +41,30 @@ def features_wide(mart: DataFrame, claims: DataFrame) -> DataFrame:
     ranked = add_percent_rank(mart, ["specialty"], "max_zscore", "specialty_rank_percentile")
     procedures = claims.groupBy("provider_id").agg(
         F.count_distinct("procedure_code").alias("unique_hcpcs_per_npi"))
-    wide = lookup_join(ranked, procedures, ["provider_id"])
-    return wide.select(
+    return _wide(lookup_join(ranked, procedures, ["provider_id"]))
+
+
+def _wide(rows: DataFrame) -> DataFrame:
+    return rows.select(
         *PROVIDER_KEYS, *MODEL_FEATURES, "specialty_rank_percentile",
         flag(F.col("facility_rate") >= 0.5).alias("facility_flag"), "unique_hcpcs_per_npi",
         flag(F.col("max_zscore") >= LABEL_Z).alias("fraud_flag"),
     ).fillna(0, subset=[*MODEL_FEATURES, "unique_hcpcs_per_npi"])
 
 
+def rank_index(mart: DataFrame) -> DataFrame:
+    """The order of peak z-scores in each specialty, to be stored with the mart for ``features_wide_of_new``."""
+    return order_index(mart, ["specialty"], "max_zscore")
+
+
+def features_wide_of_new(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """``features_wide`` of new provider rows, a batch or a stream, each ranked among the providers of a stored ``rank_index``.
+
+    ``rows`` have the measures of the mart and ``unique_hcpcs_per_npi``; neither mart nor claims are read.
+    """
+    return _wide(add_rank_among(rows, index, ["specialty"], "max_zscore", "specialty_rank_percentile"))
+
+
 def class_balance(features: DataFrame) -> DataFrame:
     """Providers, positives, negatives and the weight that balances them; NULL without positives."""
     positive = F.count_if(F.col("fraud_flag") == 1)

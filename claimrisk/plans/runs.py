@@ -32,10 +32,10 @@ class TableRun:
     def name(self, layer, table):
         return f"{self.schemas[layer]}.{table}"
 
-    def write(self, df: DataFrame, layer, table, sort_by=None) -> DataFrame:
+    def write(self, df: DataFrame, layer, table, sort_by=None, **options) -> DataFrame:
         counter = Observation()
         stored = write_version(df.observe(counter, F.count("*").alias("rows")),
-                               self.name(layer, table), self.version, fmt=self.fmt, sort_by=sort_by)
+                               self.name(layer, table), self.version, fmt=self.fmt, sort_by=sort_by, **options)
         # Sorting samples its input, so its rows pass the counter twice; a stored table knows its count.
         rows = stored.count() if sort_by else counter.get["rows"]
         self.written.append((self.name(layer, table), rows, len(df.columns)))
@@ -83,6 +83,7 @@ def run_all(spark: SparkSession, bronze_table=None, raw: DataFrame | None = None
     features_table = version_name(run.name("silver", "cms_claims_features"), run.version)
     staging = [run.add_view("marts", name, sql) for name, sql in marts.views(features_table).items()][0]
     mart = run.write(marts.fct_provider_risk(features, run_ts), "marts", "fct_provider_risk")
+    run.write(ml.rank_index(mart), "marts", "provider_rank_index")
 
     inputs = store(ml.add_split(ml.features_table(mart, carry=serving.CARRIED)))
     train = inputs.filter(F.col("split") == "train")
@@ -111,7 +112,10 @@ def _write_provider_kpis(run: TableRun, risk: DataFrame) -> None:
 
 
 def _write_scores(run: TableRun, scored: DataFrame) -> DataFrame:
-    served = run.write(serving.serving_provider_risk(scored), "gold", "serving_provider_risk", sort_by=PROVIDER_KEYS)
+    served = run.write(serving.serving_provider_risk(scored), "gold", "serving_provider_risk", sort_by=PROVIDER_KEYS,
+                       lookup_by=["provider_id"])
+    run.write(serving.cohort_index(served), "gold", "serving_cohorts", sort_by=serving.COHORT_ORDER,
+              partition_by=serving.COHORT_ORDER[:1])
     return run.write(served.drop(*serving.CARRIED), "gold", "ml_provider_scores")
 
 
@@ -127,6 +131,7 @@ def run_part(state: ProviderState, name: str, raw: DataFrame, model_path: str, f
     run = TableRun(state.spark, fmt, {**SCHEMAS, **(schemas or {})})
     _write_provider_kpis(run, run.write(state.provider_risk(run_ts), "gold", "provider_risk"))
     mart = run.write(state.fct_provider_risk(run_ts), "marts", "fct_provider_risk")
+    run.write(ml.rank_index(mart), "marts", "provider_rank_index")
     inputs = ml.add_split(ml.features_table(mart, carry=serving.CARRIED))
     _write_scores(run, ml.score(inputs, ml.load_model(model_path)))
     run.publish()

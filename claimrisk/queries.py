@@ -227,6 +227,25 @@ def _serving(plan):
     return run
 
 
+def _indexed_cohort(spark, sf_dir):
+    """The cohort query answered from a stored index of the first rows of all cohorts."""
+    served = store(serving.serving_provider_risk(formula_scores(mart(spark, sf_dir))))
+    index = store(serving.cohort_index(served))
+    return serving.indexed_cohort(index, served, risk_tier="Critical", state="", specialty="BUILDING", limit=100)
+
+
+def _new_providers(spark, sf_dir):
+    """The wider inputs of providers with an id divisible by 7, as new ones: ranked by lookup among all others."""
+    claims = stored_claims(spark, sf_dir)
+    table = materialise(marts.fct_provider_risk_from_claims(claims))
+    new = F.col("provider_id") % 7 == 0
+    procedures = claims.filter(new).groupBy("provider_id").agg(
+        F.count_distinct("procedure_code").alias("unique_hcpcs_per_npi"))
+    index = store(ml.rank_index(table.filter(~new)))
+    rows = lookup_join(table.filter(new), procedures, ["provider_id"])
+    return rounded(ml.features_wide_of_new(rows, index), 6, "specialty_rank_percentile")
+
+
 def _ranked_inputs(df):
     """Provider rows with the label and a plain score and prediction, for the metric queries."""
     return ml.features_table(df).withColumn("predicted", flag(F.col("avg_zscore") >= 0.5))
@@ -442,6 +461,7 @@ QUERIES = {
     "dq_relationships": _relationships,
     "ml_features": _mart(ml.features_table),
     "ml_features_wide": _wide,
+    "ml_features_wide_new": _new_providers,
     "ml_label_any3": _ml_label_any3,
     "ml_class_balance": _mart(lambda m: ml.class_balance(ml.features_table(m))),
     "ml_split": _mart(lambda m: ml.add_split(ml.features_table(m)).select(*PROVIDER_KEYS, "split")),
@@ -481,6 +501,7 @@ QUERIES = {
     "serve_provider": _serving(lambda s: serving.provider(s, 42)),
     "serve_cohort": _serving(lambda s: serving.cohort(
         s, risk_tier="Critical", state="", specialty="BUILDING", limit=100)),
+    "serve_cohort_indexed": _indexed_cohort,
     "serve_summary": _serving(serving.summary),
     "state_risk": _serving(serving.state_risk),
 }

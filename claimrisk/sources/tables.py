@@ -20,17 +20,23 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_table(df: DataFrame, name: str, mode="overwrite", fmt="parquet", sort_by=None) -> DataFrame:
+def write_table(df: DataFrame, name: str, mode="overwrite", fmt="parquet", sort_by=None, lookup_by=(),
+                partition_by=()) -> DataFrame:
     """Replace a table including its schema, or append to it; returns the stored table.
 
     ``sort_by`` range partitions and sorts the files, so that lookups on these columns skip most of
-    them by their statistics.
+    them by their statistics. ``lookup_by`` names columns that get Bloom filters (Parquet), so that values that a file
+    doesn't hold are not looked for in it. ``partition_by`` names columns of few values that get folders.
     """
     if sort_by:
         df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     writer = df.write.format(fmt).mode(mode)
+    for column in lookup_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -44,9 +50,9 @@ def version_name(name: str, version: str) -> str:
     return f"{name}__{version}"
 
 
-def write_version(df: DataFrame, name: str, version: str, fmt="parquet", sort_by=None) -> DataFrame:
-    """Write ``df`` as a table of its own, which readers of ``name`` don't see before ``publish``."""
-    return write_table(df, version_name(name, version), fmt=fmt, sort_by=sort_by)
+def write_version(df: DataFrame, name: str, version: str, **options) -> DataFrame:
+    """Write ``df`` as a table of its own, which readers of ``name`` don't see before ``publish``; options as for ``write_table``."""
+    return write_table(df, version_name(name, version), **options)
 
 
 def published_version(spark: SparkSession, name: str) -> str | None:
