@@ -3,7 +3,8 @@
 A batch of changes (insert, revise, delete) becomes signed rows: what a document counted before is taken
 off, what it counts now is added. Only the sums of these rows are kept for the totals, one small folder per
 batch. A folder is written whole or not at all and named by its batch, so a batch that is committed again
-changes nothing, and one that broke off is written anew.
+changes nothing, and one that broke off is written anew. What each document counts is kept in a ledger, dealt to buckets by a hash of
+the id: a batch reads only the buckets of its documents.
 """
 
 import uuid
@@ -20,7 +21,10 @@ from claimrisk.session import file_system, scratch_dir, store
 KEY = ["doc_id", "tokenizer_version"]
 GROUP = ["source", "lang", "tokenizer_version"]
 CHANGES = "op string, doc_id long, source string, lang string, tokenizer_version string, tokens long"
+# Buckets of the ledger; part of the stored layout.
+BUCKETS = 64
 ENTRY = "struct<batch:bigint,live:boolean,source:string,lang:string,tokens:bigint>"
+LEDGER = f"doc_id long, tokenizer_version string, entry {ENTRY}"
 
 
 class TokenRollup:
@@ -42,12 +46,13 @@ class TokenRollup:
         return sorted(b for b in done if system.exists(
             file_system(self.spark, f"{self._folder('totals', b)}/_SUCCESS")[1]))
 
-    def _ledger(self, before):
-        """Latest entry of each document and tokenizer version in batches before ``before``."""
-        batches = [b for b in self.committed() if b < before]
-        if not batches:
+    def _ledger(self, before, buckets):
+        """Latest entry of each document and tokenizer version of ``buckets`` in batches before ``before``."""
+        folders = [f"{self._folder('ledger', b)}/bucket={n}" for b in self.committed() if b < before for n in buckets]
+        folders = [f for f in folders if file_system(self.spark, f)[0].exists(file_system(self.spark, f)[1])]
+        if not folders:
             return None
-        rows = self.spark.read.parquet(*[self._folder("ledger", b) for b in batches])
+        rows = self.spark.read.schema(LEDGER).parquet(*folders)
         return rows.groupBy(*KEY).agg(F.max("entry").alias("old"))
 
     def commit(self, batch: int, changes: DataFrame) -> bool:
@@ -69,7 +74,10 @@ class TokenRollup:
             F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
         news = changes.filter(F.col("op").isin("insert", "revise", "delete")).groupBy(*KEY).agg(
             F.max(F.struct("op", entry.alias("entry")))["entry"].alias("entry"))
-        ledger = self._ledger(batch)
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
+        news = store(news.select("*", bucket))
+        buckets = sorted(r.bucket for r in news.select("bucket").distinct().collect())
+        ledger = self._ledger(batch, buckets)
         if ledger is None:
             signed = news.withColumn("old", F.lit(None).cast(ENTRY))
         else:
@@ -77,8 +85,8 @@ class TokenRollup:
             same = news["doc_id"].eqNullSafe(old["old_doc_id"]) & news["tokenizer_version"].eqNullSafe(
                 old["old_tokenizer_version"])
             signed = news.join(old, same, "left").drop(*[f"old_{k}" for k in KEY])
-        signed.write.mode("overwrite").parquet(self._folder("ledger", batch))
-        written = self.spark.read.schema(signed.schema).parquet(self._folder("ledger", batch))
+        signed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._folder("ledger", batch))
+        written = self.spark.read.schema(f"{LEDGER}, old {ENTRY}").parquet(self._folder("ledger", batch))
         moves = F.array(F.struct(F.lit(-1).alias("sign"), F.col("old").alias("e")),
                         F.struct(F.lit(1).alias("sign"), F.col("entry").alias("e")))
         deltas = written.select("tokenizer_version", F.explode(moves).alias("m")).filter("m.e.live").groupBy(

@@ -1,14 +1,16 @@
 """Token rollups: against counting the final state, replays and broken commits."""
 
 import random
+import tempfile
 from collections import Counter
 
 import pytest
 from llm.conftest import rows_of
+from pyspark.sql import functions as F
+from test_scans import last_execution, rows_read
 
 from claimrisk.llm.packing import token_ids
-from claimrisk.llm.token_rollup import CHANGES, TokenRollup, rollup_of_table
-
+from claimrisk.llm.token_rollup import BUCKETS, CHANGES, TokenRollup, rollup_of_table
 
 
 def slow_totals(state):
@@ -55,6 +57,23 @@ def test_a_broken_commit_is_written_anew(spark, tmp_path):
         rollup.commit(0, first)
 
 
+def test_a_commit_reads_only_the_buckets_of_its_documents(spark):
+    root = tempfile.mkdtemp(dir="/tmp")  # a short path: plans show only the beginning
+    rollup = TokenRollup(spark, f"{root}/r")
+    rollup.commit(1, spark.range(2000).selectExpr(
+        "'insert' AS op", "id AS doc_id", "'a' AS source", "'en' AS lang", "'v' AS tokenizer_version", "5L AS tokens"))
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))
+    sizes = {r.b: r["count"] for r in spark.range(2000).withColumnRenamed("id", "doc_id").groupBy(bucket.alias("b")).count().collect()}
+    revised = spark.createDataFrame([("revise", d, "a", "en", "v", 9) for d in (3, 4)], CHANGES)
+    touched = {r.b for r in revised.select(bucket.alias("b")).collect()}
+    before = last_execution(spark)
+    rollup.commit(2, revised)
+    last_execution(spark)
+    # The new rows are read again for the totals.
+    assert rows_read(spark, before, f"{root}/r/ledger/batch=1") == sum(sizes[b] for b in touched) < 200
+    assert rows_of(rollup.totals()) == [("a", "en", "v", 2000, 5 * 2000 + 8)]
+
+
 def test_nothing_committed(spark, tmp_path):
     rollup = TokenRollup(spark, str(tmp_path / "rollup"))
     assert rollup.totals().count() == 0
