@@ -115,14 +115,15 @@ def cut_bpe(path) -> CutBpe:
 def encode(docs: DataFrame, tokenizer, keep=("doc_id",)) -> DataFrame:
     """Columns ``keep``, ``ids`` (array) and ``decoded`` (the text that the ids stand for).
 
-    NULL and empty texts have no ids and decode to an empty text; repeated rows are encoded alike.
+    NULL and empty texts have no ids and decode to an empty text; very long texts are encoded whole; repeated rows are encoded
+    alike. Bytes that are not valid UTF-8 count as U+FFFD. Empty tables give empty results; other columns are ignored.
     ``tokenizer`` is the path of the file, readable on every machine.
     """
     def kernel():
         coder = cut_bpe(tokenizer)
 
         def run(texts):
-            ids = [coder.encode((t or b"").decode()) for t in texts]
+            ids = [coder.encode((t or b"").decode("utf-8", "replace")) for t in texts]
             return {"ids": ids, "decoded": [coder.decode(i) for i in ids]}
         return run
     return map_texts(docs, kernel, "ids array<int>, decoded string", keep)

@@ -7,7 +7,6 @@ edits there and reports the span.
 
 from typing import NamedTuple
 
-import pyarrow as pa  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -120,7 +119,8 @@ SCHEMA = ("n_words long, base array<struct<label string, word long>>, spans arra
 def scan(docs: DataFrame, notices=NOTICES, keep=("doc_id",)) -> DataFrame:
     """Columns ``keep``, ``n_words``, ``base`` (exact places) and ``spans`` (all matches) of each text.
 
-    NULL and empty texts have no words and no matches; repeated rows are scanned alike.
+    NULL and empty texts have no words and no matches; very long texts are scanned whole; repeated rows are scanned alike. Of matches that
+    start at the same word each notice gives its own. Empty tables give empty results. Columns that are not kept are ignored.
     """
     def kernel():
         scanner = Scanner(notices)

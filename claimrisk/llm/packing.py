@@ -80,7 +80,7 @@ def pieces(docs: DataFrame, tokenizer, capacity=CAPACITY, end_id=END_OF_DOCUMENT
         def run(texts):
             made = {"n_ids": [], "checksums": []}
             for text in texts:
-                ids = np.append(token_ids(tokenizer, (text or b"").decode()), np.uint32(end_id))
+                ids = np.append(token_ids(tokenizer, (text or b"").decode("utf-8", "replace")), np.uint32(end_id))
                 made["n_ids"].append(len(ids))
                 made["checksums"].append(piece_checksums(ids, capacity))
             return made

@@ -161,8 +161,10 @@ def judge(docs: DataFrame, threshold=0.5) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, threshold=0.5) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, all their columns as they were.
+    """The rows of ``docs`` that ``judge`` keeps, all their columns as they were, whatever their names.
 
+    NULL and empty texts fail the base and go; very long texts are read whole; repeated rows are judged alike and all stay or go. An
+    empty table gives no rows.
     The texts are measured twice, once for the model and once to filter: two scans without a shuffle
     are cheaper than a join that shuffles every text.
     """

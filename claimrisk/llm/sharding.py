@@ -61,7 +61,8 @@ def slot_of(key, size=TABLE_SIZE):
 def place(rows: DataFrame, shards, key="doc_id", size=TABLE_SIZE) -> DataFrame:
     """``rows`` with ``slot`` and ``shard``; columns of these names are replaced.
 
-    Equal keys, repeated rows among them, get the same shard. The order of the other columns stays.
+    Equal keys, repeated rows among them, get the same shard; a NULL key has the place of an empty text. An empty table gives
+    no rows. Other columns, whatever their names and NULLs, stay as they are and in order.
     """
     table = F.broadcast(lookup_table(rows.sparkSession, shards, size).withColumnsRenamed(
         {"slot": "__slot", "shard": "__shard"}))

@@ -109,7 +109,7 @@ class TokenRollup:
 def bpe_counts(docs: DataFrame, tokenizer, keep=("doc_id", "source", "lang")) -> DataFrame:
     """Columns ``keep`` and ``tokens``, the number of ids by a byte-level BPE file; NULL texts have none."""
     def kernel():
-        return lambda texts: {"tokens": [len(token_ids(tokenizer, t.decode())) if t else 0 for t in texts]}
+        return lambda texts: {"tokens": [len(token_ids(tokenizer, t.decode("utf-8", "replace"))) if t else 0 for t in texts]}
     return map_texts(docs, kernel, "tokens long", keep)
 
 
