@@ -469,6 +469,7 @@ _QUERIES["ml_evaluate_check"] = """
         FROM scores WHERE split = 'test'),
         (VALUES ('first_order'), ('second_order')) l(learner), (VALUES ('reference'), ('no_leak')) f(feature_set),
         LATERAL (VALUES ('Normal', n), ('Fraud', p), ('accuracy', n + p)) c(class, support)"""
+_QUERIES["dedup_from_parts"] = _QUERIES["silver_dedup"]
 _QUERIES["serve_cohort_indexed"] = _QUERIES["serve_cohort"]
 _QUERIES["ml_features_wide_new"] = f"""
     , counts AS (SELECT provider_id, count(DISTINCT procedure_code) AS n FROM clean GROUP BY 1)

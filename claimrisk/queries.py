@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimrisk.functions.columns import exact_sum, flag
 from claimrisk.operators.lookup_join import lookup_join
 from claimrisk.operators.scoring_metrics import auc_roc, average_precision, classification_report
-from claimrisk.plans import bronze, explain, gold, marts, ml, provider_state, quality, serving, silver
+from claimrisk.plans import bronze, deduped_parts, explain, gold, marts, ml, provider_state, quality, serving, silver
 from claimrisk.schemas import FEATURE_SETS, MODEL_FEATURES, PROVIDER_KEYS, RAW_MONEY_COLUMNS, TIERS
 from claimrisk.session import file_system, materialise, scratch_dir, store
 from claimrisk.sources.claims_mapping import TABLES, raw_claims
@@ -114,6 +114,21 @@ def state_of_parts(spark, sf_dir):
     return state, spark.read.schema(claims.schema).parquet(f"{folder}/claims")
 
 
+def _dedup_from_parts(spark, sf_dir):
+    """The deduplicated claims after they came in as parts with keys in common."""
+    folder = f"{scratch_dir(spark)}/arrived-{uuid.uuid4().hex}"
+    system, place = file_system(spark, folder)
+    system.deleteOnExit(place)
+    claims = clean_claims(spark, sf_dir).drop(*AUDIT_TIMES)
+    claims.withColumn("part", F.pmod(F.xxhash64("avg_submitted_charge", "total_services"), F.lit(PARTS))).write.partitionBy(
+        "part").parquet(f"{folder}/claims")
+    deduped = deduped_parts.DedupedClaims(spark, f"{folder}/deduped")
+    for part in ARRIVALS:
+        if part != "fold":
+            deduped.add_part(f"part {part}", spark.read.schema(claims.schema).parquet(f"{folder}/claims/part={part}"))
+    return deduped.table()
+
+
 def _percentiles_from_sketches(spark, sf_dir):
     """Exact percentiles of all claims; where to look for them is known from the sketches that came with the parts."""
     state, claims = state_of_parts(spark, sf_dir)
@@ -423,6 +438,7 @@ QUERIES = {
     "silver_row_audit": _raw(silver.row_audit),
     "silver_clean": _claims(lambda c: c),
     "silver_dedup": lambda spark, d: clean_claims(spark, d, dedupe=True).drop(*AUDIT_TIMES),
+    "dedup_from_parts": _dedup_from_parts,
     "silver_features": _features(_features_out),
     "features_median": _claims(_features_median),
     "feature_describe": _features(silver.describe),

@@ -1,0 +1,67 @@
+"""Duplicates across parts: the same table as deduplicating everything at once."""
+
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+from test_scans import last_execution, rows_read
+
+from claimrisk.operators import lookup_join
+from claimrisk.operators.dedupe import keep_first
+from claimrisk.plans.deduped_parts import BUCKETS, DedupedClaims
+from claimrisk.schemas import CLAIM_GRAIN
+
+COLUMNS = "provider_id long, procedure_code string, place_of_service string, charge double, note string"
+ROWS = [(i % 40, f"p{i % 7}", "O" if i % 3 else None, float(i * 37 % 11), None if i % 5 == 0 else f"n{i % 4}") for i in range(600)]
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def part(spark, number, of=4):
+    return spark.createDataFrame([r for i, r in enumerate(ROWS) if i * 7919 % of == number], COLUMNS)
+
+
+@pytest.mark.parametrize("order,broadcast", [([0, 1, 2, 3], 64 << 20), ([3, 0, 3, 2, 1, 0], 0)])
+def test_any_order_and_repeats(spark, tmp_path, monkeypatch, order, broadcast):
+    monkeypatch.setattr(lookup_join, "BROADCAST_BYTES", broadcast)
+    deduped, seen = DedupedClaims(spark, str(tmp_path)), set()
+    for number in order:
+        assert deduped.add_part(f"part/{number}", part(spark, number)) == (number not in seen)
+        seen.add(number)
+    assert deduped.parts() == [f"part/{n}" for n in range(4)]
+    assert rows_of(deduped.table()) == rows_of(keep_first(spark.createDataFrame(ROWS, COLUMNS), CLAIM_GRAIN))
+
+
+def test_a_late_part_reads_the_buckets_of_its_keys(spark):
+    root = tempfile.mkdtemp(dir="/tmp")  # a short path: plans show only the beginning
+    deduped = DedupedClaims(spark, f"{root}/d")
+    first = spark.range(4000).selectExpr("id AS provider_id", "'a' AS procedure_code", "'O' AS place_of_service", "2.0D AS charge", "'x' AS note")
+    deduped.add_part("a", first)
+    late = first.filter("provider_id IN (5, 9)").withColumn("charge", F.lit(1.0)).unionByName(
+        first.limit(1).withColumn("provider_id", F.lit(-1).cast("long")))
+    bucket = F.pmod(F.xxhash64(*CLAIM_GRAIN), F.lit(BUCKETS))
+    touched = [r.b for r in late.select(bucket.alias("b")).distinct().collect()]
+    held = first.filter(bucket.isin(touched)).count()
+    before = last_execution(spark)
+    deduped.add_part("b", late)
+    last_execution(spark)
+    assert rows_read(spark, before, f"{root}/d/keys/a") <= held < 400
+    assert deduped.table().count() == 4001
+    assert rows_of(deduped.table().filter("charge < 2").select("provider_id")) == [(5,), (9,)]
+
+
+def test_empty_and_broken_parts(spark, tmp_path):
+    deduped = DedupedClaims(spark, str(tmp_path))
+    assert deduped.table() is None
+    deduped.add_part("empty", part(spark, 0).limit(0))
+    deduped.add_part("0", part(spark, 0))
+    deduped.add_part("1", part(spark, 1))
+    whole = rows_of(deduped.table())
+    os.remove(tmp_path / "claims" / "1" / "_SUCCESS")
+    assert deduped.parts() == ["0", "empty"]
+    assert rows_of(deduped.table()) == rows_of(keep_first(part(spark, 0), CLAIM_GRAIN))
+    deduped.add_part("1", part(spark, 1))
+    assert rows_of(deduped.table()) == whole
