@@ -437,7 +437,8 @@ QUERIES = {
     "dq_report": _raw(bronze.quality_report),
     "silver_row_audit": _raw(silver.row_audit),
     "silver_clean": _claims(lambda c: c),
-    "silver_dedup": lambda spark, d: clean_claims(spark, d, dedupe=True).drop(*AUDIT_TIMES),
+    "silver_dedup": lambda spark, d: silver.clean(
+        store(raw_claims(spark, d)), source_file=SOURCE, dedupe=True).drop(*AUDIT_TIMES),
     "dedup_from_parts": _dedup_from_parts,
     "silver_features": _features(_features_out),
     "features_median": _claims(_features_median),
