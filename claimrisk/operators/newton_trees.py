@@ -1,8 +1,9 @@
 """Second-order boosted trees (Chen and Guestrin, 2016) grown from histograms, one aggregate per tree level.
 
 Inputs are replaced by numbers of quantile bins once. A level of a tree needs the sums of gradients and curvatures per
-(node, input, bin), which tasks add up over their rows and a tree of reductions over tasks; the driver picks splits from these sums and
-never sees rows. Rows carry their bins, label, weight and the margin of the trees up to the last time these were added.
+(node, input, bin), which tasks add up over their rows and a shuffle by input over tasks. What finds the best cut of an input sees the sums of
+all its bins; the driver gets three sums per node and input, picks among the inputs and never sees rows. Rows carry their bins, label, weight, and margin, gradient and
+curvature from before the tree that grows.
 """
 
 import pickle
@@ -16,10 +17,12 @@ from pyspark.sql import functions as F
 
 from claimrisk.session import store
 
-# Rows of a partition of the training rows, about.
+# Rows of a partition of the training rows, about, as long as there are no more partitions than cores: each one sends its sums at every level.
 PARTITION_ROWS = 100_000
-# Trees after which their margins are added to those of all rows.
-ADD_EVERY = 10
+# Rows of a block at most, about: a task holds one block at a time.
+BLOCK_ROWS = 50_000
+# Trees after which the margins of all rows are checkpointed.
+ADD_EVERY = 25
 # The bin of a missing value.
 MISSING = -1
 
@@ -132,36 +135,80 @@ def _binned(cuts):
 
 
 def _packed(batches):
-    """Each batch as one row: its label, weight, margin and matrix of bins, pickled."""
+    """The batches of a partition as blocks, a row each: label, weight, margin, bins (inputs by rows) and whether any is missing, pickled."""
+    def row(held):
+        label, weight, margin, *bins = [np.concatenate(c) for c in zip(*held)]
+        bins = np.stack(bins)
+        block = label, weight, margin, bins, bool((bins == MISSING).any())
+        return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], names=["block"])
+
+    held, size = [], 0
     for batch in batches:
-        label, weight, margin, *bins = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([pickle.dumps((label, weight, margin, np.column_stack(bins)))], pa.binary())], names=["block"])
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        size += batch.num_rows
+        if size >= BLOCK_ROWS:
+            yield row(held)
+            held, size = [], 0
+    if size:
+        yield row(held)
+
+
+def _reached(tree, bins, missing, depth):
+    """As ``walk`` over bins, inputs by rows; ``missing`` tells whether any bin is."""
+    count = bins.shape[1]
+    rows, flat, at = np.arange(count), bins.ravel(), np.zeros(count, np.int64)
+    inner, start = tree.input >= 0, np.maximum(tree.input, 0) * count
+    for _ in range(depth):
+        here = inner.take(at)
+        if not here.any():
+            break
+        value = flat.take(start.take(at) + rows)
+        right = value > tree.cut.take(at)
+        if missing:
+            right = np.where(value == MISSING, ~tree.missing_left.take(at), right)
+        below = 2 * at + 1 + right
+        at = below if here.all() else np.where(here, below, at)
+    return at
 
 
-def _margins(block, trees, depth):
-    _, _, margin, bins = block
-    margin, missing = margin.copy(), bins == MISSING
-    for tree in trees:
-        margin += tree.value[walk(tree, bins, tree.cut, missing, depth)]
-    return margin
+def _advanced(tree, depth):
+    """A block with the margins of ``tree`` added, if there is one, and the gradients and curvatures that the next one needs."""
+    def run(block):
+        label, weight, margin, bins, missing = *block[:3], *block[-2:]
+        if tree is not None:
+            margin = margin + tree.value[_reached(tree, bins, missing, depth)]
+        chance = 1 / (1 + np.exp(-margin))
+        return label, weight, margin, weight * (chance - label), weight * chance * (1 - chance), bins, missing
+    return run
 
 
-def _sums(trees, tree, level, depth, width):
-    """A block's sums of gradients and curvatures per (node of the level, input, bin), missing values in the last bin."""
-    def run(block):
-        label, weight, _, bins = block
-        chance = 1 / (1 + np.exp(-_margins(block, trees, depth)))
-        at = walk(tree, bins, tree.cut, bins == MISSING, level) - (2 ** level - 1)
-        here = at >= 0
-        at, inputs = at[here], bins.shape[1]
-        gradient, curvature = (weight * (chance - label))[here], (weight * chance * (1 - chance))[here]
-        out = np.zeros((2, 2 ** level, inputs, width))
-        for i in range(inputs):
-            slot = at * width + np.where(bins[here, i] == MISSING, width - 1, bins[here, i])
-            for total, values in zip(out, (gradient, curvature)):
-                total[:, i] = np.bincount(slot, values, 2 ** level * width).reshape(-1, width)
-        return out
+def _sums(tree, level, widths):
+    """For each input of the blocks of a task, sums of gradients and curvatures per (node of the level, bin), missing values in the last bin."""
+    def run(blocks):
+        first = 2 ** level - 1
+        nodes, totals = first + 1, [np.zeros((2, (first + 1) * w)) for w in widths]
+        for _, _, _, gradient, curvature, bins, missing in blocks:
+            at = _reached(tree, bins, missing, level) - first
+            here = at >= 0
+            if not here.all():
+                at, gradient, curvature, bins = at[here], gradient[here], curvature[here], bins[:, here]
+            for own, width, total in zip(bins, widths, totals):
+                slot = at * width + (np.where(own == MISSING, width - 1, own) if missing else own)
+                total[0] += np.bincount(slot, gradient, nodes * width)
+                total[1] += np.bincount(slot, curvature, nodes * width)
+        yield from ((i, total.reshape(2, nodes, -1)) for i, total in enumerate(totals))
+    return run
+
+
+def _best_cut(l2, least_curvature, least_gain):
+    """(input, its best cut of each node, sums up to that cut, above it and of missing values), from the sums of all its bins."""
+    def run(summed):
+        number, (gradient, curvature) = summed
+        usable = np.arange(gradient.shape[1] - 1) < gradient.shape[1] - 2
+        cut = best_splits(gradient[:, None], curvature[:, None], usable[None], l2, least_curvature, least_gain)[2]
+        low = np.arange(gradient.shape[1] - 1) <= cut[:, None]
+        three = [np.stack([np.where(low, a[:, :-1], 0).sum(1), np.where(low, 0, a[:, :-1]).sum(1), a[:, -1]], 1) for a in (gradient, curvature)]
+        return number, cut, three
     return run
 
 
@@ -189,24 +236,31 @@ def best_splits(gradient, curvature, usable, l2, least_curvature, least_gain):
             left_g[nodes, number, cut, side], left_h[nodes, number, cut, side])
 
 
-def _grow(blocks, trees, depth, cuts, step, l2, least_curvature, least_gain):
-    """The next tree: one aggregate per level, as long as some node can be split."""
-    width = max(len(c) for c in cuts) + 2
-    usable = np.arange(width - 1) < np.array([len(c) for c in cuts])[:, None]
+def _grow(blocks, depth, cuts, step, l2, least_curvature, least_gain):
+    """The next tree: one shuffle of sums per level, as long as some node can be split."""
+    widths = [len(c) + 2 for c in cuts]
+    # What is left of an input's bins on the driver: up to its best cut, above it, missing.
+    usable = np.array([[len(c) > 0, False] for c in cuts])
+    best_cut, partitions = _best_cut(l2, least_curvature, least_gain), blocks.getNumPartitions()
     tree = _empty(depth)
     for level in range(depth):
-        gradient, curvature = blocks.map(_sums(trees, tree, level, depth, width)).treeReduce(np.add)
+        sums = blocks.mapPartitions(_sums(tree, level, widths))
+        if partitions > 1:
+            sums = sums.reduceByKey(np.add, min(partitions, len(cuts)))
+        found = sorted(sums.map(best_cut).collect(), key=lambda f: f[0])
+        cut = np.stack([c for _, c, _ in found], 1)
+        gradient, curvature = (np.stack([three[i] for *_, three in found], 1) for i in range(2))
         first, split = 2 ** level - 1, False
         if not level:
             g, h = gradient[0, 0].sum(), curvature[0, 0].sum()
             tree.cover[0], tree.value[0] = h, -step * g / (h + l2)
-        gain, number, cut, missing_left, left_g, left_h = best_splits(
+        gain, number, _, missing_left, left_g, left_h = best_splits(
             gradient, curvature, usable, l2, least_curvature, least_gain)
         for node in np.flatnonzero(gain > 0).tolist():
             at, split = first + node, True
             g, h = gradient[node, 0].sum(), curvature[node, 0].sum()
-            tree.input[at], tree.cut[at], tree.gain[at] = number[node], cut[node], gain[node]
-            tree.threshold[at], tree.missing_left[at] = cuts[number[node]][cut[node]], missing_left[node]
+            tree.input[at], tree.cut[at], tree.gain[at] = number[node], cut[node, number[node]], gain[node]
+            tree.threshold[at], tree.missing_left[at] = cuts[number[node]][tree.cut[at]], missing_left[node]
             for child, (cg, ch) in ((2 * at + 1, (left_g[node], left_h[node])),
                                     (2 * at + 2, (g - left_g[node], h - left_h[node]))):
                 tree.cover[child], tree.value[child] = ch, -step * cg / (ch + l2)
@@ -220,8 +274,8 @@ def fit(rows: DataFrame, inputs, label: str, weight: str, rounds=300, depth=6, s
     """Boosted trees for the logistic loss of ``label`` (0 or 1) on ``rows`` with a ``weight``; NULL and NaN inputs are missing.
 
     Leaves are Newton steps shrunk by ``l2`` and ``step``; a split must leave ``least_curvature`` on both sides and gain more than
-    ``least_gain``; missing values go to the side where they gain more. The driver holds the trees and one level's
-    sums: 2^level * inputs * bins pairs of numbers.
+    ``least_gain``; missing values go to the side where they gain more. The driver holds the trees and, of one level, three
+    pairs of sums per node and input.
     """
     inputs = list(inputs)
     cuts = quantile_cuts(rows, inputs, max_bins)
@@ -229,41 +283,31 @@ def fit(rows: DataFrame, inputs, label: str, weight: str, rounds=300, depth=6, s
         F.col(label).cast("double").alias("label"), F.col(weight).cast("double").alias("weight"), F.lit(0.0).alias("margin"),
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)])
     schema = "label double, weight double, margin double, " + ", ".join(f"b{i} short" for i in range(len(inputs)))
-    partitions = max(1, -(-rows.count() // PARTITION_ROWS))
+    partitions = max(1, min(-(-rows.count() // PARTITION_ROWS), rows.sparkSession.sparkContext.defaultParallelism))
     blocks = _blocks(store(binned.mapInArrow(_binned(cuts), schema).repartition(partitions)))
-    trees, since = [], []
-    for _ in range(rounds):
-        tree = _grow(blocks, since, depth, cuts, step, l2, least_curvature, least_gain)
+    trees = []
+    for number in range(rounds):
+        # Computed with the first level; lost blocks follow from the last checkpoint and the trees since.
+        state = blocks.map(_advanced(trees[-1] if trees else None, depth)).persist(StorageLevel.MEMORY_AND_DISK)
+        if number and number % ADD_EVERY == 0:
+            state.checkpoint()
+        tree = _grow(state, depth, cuts, step, l2, least_curvature, least_gain)
+        blocks.unpersist()
+        blocks = state
         if tree.input[0] < 0 and abs(tree.value[0]) < 1e-12:
             break
         trees.append(tree)
-        since.append(tree)
-        if len(since) == ADD_EVERY:
-            blocks = _with_margins(blocks, since, depth)
-            since = []
     blocks.unpersist()
     return NewtonModel(inputs, trees, depth)
 
 
 def _blocks(stored: DataFrame):
-    """The stored rows as an RDD of matrices: a model takes a job per level of each tree, and those jobs have nothing to
+    """The stored rows as an RDD of blocks: a model takes a job per level of each tree, and those jobs have nothing to
     plan. Blocks that are lost with an executor are read from the stored rows again."""
     packed = stored.mapInArrow(_packed, "block binary")
     return packed.rdd.map(lambda row: pickle.loads(row.block)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _with_margins(blocks, trees, depth):
-    """The blocks with the margins of ``trees`` added, checkpointed, so that no lineage grows."""
-    def add(block):
-        label, weight, _, bins = block
-        return label, weight, _margins(block, trees, depth), bins
-    moved = blocks.map(add).persist(StorageLevel.MEMORY_AND_DISK)
-    moved.checkpoint()
-    moved.count()
-    blocks.unpersist()
-    return moved
-
-
 def margin_column(spark: SparkSession, model: NewtonModel):
     """The log-odds as a column expression of the model's inputs, for batches and streams."""
     shared = spark.sparkContext.broadcast(model)

@@ -111,6 +111,19 @@ def test_driver_gets_only_sums(spark, rows, monkeypatch):
     assert sizes[0][:2] == (1, 3) and sizes[-1][0] <= 4 and all(s[2] <= 18 for s in sizes)
 
 
+def test_driver_gets_no_bins(spark, rows, monkeypatch):
+    """Of each node and input the driver gets three sums, however many bins there are and partitions that add them up."""
+    sizes = []
+    real = nt.best_splits
+    monkeypatch.setattr(nt, "best_splits", lambda g, h, *rest: sizes.append(g.shape) or real(g, h, *rest))
+    monkeypatch.setattr(nt, "PARTITION_ROWS", 60)
+    monkeypatch.setattr(nt, "BLOCK_ROWS", 7)
+    model = nt.fit(frame(spark, rows), ["a", "b", "c"], "label", "weight", rounds=2, depth=3, step=0.3)
+    assert sizes and all(s[1:] == (3, 3) for s in sizes)
+    trees, _ = slow_trees(*rows, rounds=2, depth=3, step=0.3, l2=1.0, least_curvature=1.0)
+    assert all(same(nested(a), b) for a, b in zip(model.trees, trees))
+
+
 def test_few_values_missing_inputs_and_one_leaf(spark):
     table = spark.createDataFrame([(i % 2, 1.0, None, 3.0) for i in range(20)], "label int, weight double, a double, b double")
     model = nt.fit(table, ["a", "b"], "label", "weight", rounds=3)
