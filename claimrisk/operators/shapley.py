@@ -17,6 +17,8 @@ import pandas as pd
 SLICE_BYTES = 64 * 1024 * 1024
 # Up to this many features on a path the patterns of a batch are counted, beyond they are sorted.
 COUNTED = 12
+# Tables of leaves that a task keeps from batch to batch, in bytes.
+TABLE_BYTES = 64 * 1024 * 1024
 
 
 class Leaves(NamedTuple):
@@ -107,40 +109,60 @@ def unit_contributions(shares, satisfied):
     return out
 
 
-def add_contributions(leaves, columns, missing, values):
-    """Add the contributions of ``leaves`` for a batch to ``values`` (inputs by rows), like ``columns`` and ``missing``."""
+def _table(leaves, i, patterns):
+    """Contributions of leaf i to each input of its path (a row each), by pattern of satisfied inputs."""
+    path = slice(leaves.start[i], leaves.start[i + 1])
+    satisfied = (patterns[:, None] >> np.arange(path.stop - path.start)) & 1
+    return np.ascontiguousarray(leaves.value[i] * unit_contributions(leaves.share[path], satisfied).T)
+
+
+def add_contributions(leaves, columns, missing, values, tables=None):
+    """Add the contributions of ``leaves`` for a batch to ``values`` (inputs by rows), like ``columns`` and ``missing``.
+
+    ``tables`` keeps what does not depend on the batch, for paths of few inputs and up to TABLE_BYTES.
+    """
+    tables, some = {} if tables is None else tables, missing.any(1)
+    room = TABLE_BYTES - sum(t.nbytes for t in tables.values())
     for i in range(len(leaves.value)):
         path = range(leaves.start[i], leaves.start[i + 1])
-        pattern = np.zeros(columns.shape[1], np.int64)
+        pattern = np.zeros(columns.shape[1], np.uint8 if len(path) <= 8 else np.int64)
         for place, step in enumerate(path):
-            x, feature = columns[leaves.feature[step]], leaves.feature[step]
-            inside = (x > leaves.low[step]) & (x <= leaves.high[step])
-            if leaves.missing[step]:
+            feature = leaves.feature[step]
+            inside = columns[feature] > leaves.low[step]
+            inside &= columns[feature] <= leaves.high[step]
+            if some[feature] and leaves.missing[step]:
                 inside |= missing[feature]
-            pattern |= inside.astype(np.int64) << place
-        if len(path) <= COUNTED:
+            pattern |= inside.astype(pattern.dtype) << place
+        if len(path) <= min(8, COUNTED):
+            table, number = tables.get(i), pattern.astype(np.intp)
+            if table is None:
+                table = _table(leaves, i, np.arange(1 << len(path)))
+                if table.nbytes <= room:
+                    tables[i] = table
+                    room -= table.nbytes
+        elif len(path) <= COUNTED:
             seen = np.flatnonzero(np.bincount(pattern, minlength=1 << len(path)))
             number = np.zeros(1 << len(path), np.int64)
             number[seen] = np.arange(len(seen))
-            number = number[pattern]
+            table, number = _table(leaves, i, seen), number[pattern]
         else:
             seen, number = np.unique(pattern, return_inverse=True)
-        table = unit_contributions(leaves.share[path.start:path.stop], (seen[:, None] >> np.arange(len(path))) & 1)
+            table = _table(leaves, i, seen.astype(np.int64))
         for place, step in enumerate(path):
-            values[leaves.feature[step]] += leaves.value[i] * table[number, place]
+            values[leaves.feature[step]] += table[place].take(number)
 
 
 def batch_explainer(shared, names, base, before=None):
     """A ``mapInPandas`` function that adds ``base_value`` and ``shap``; ``shared`` is a broadcast of leaves. With ``before``, the name of
     the ``shap`` column of other leaves, their contributions are added up."""
     def explain(batches):
-        leaves = shared.value
+        leaves, tables = shared.value, {}
         for batch in batches:
             columns = np.ascontiguousarray(batch[names].to_numpy(dtype=float).T)
             values = np.zeros(columns.shape)
             if before and len(batch):
                 values += np.array(batch[before].tolist(), float).T
-            add_contributions(leaves, columns, np.isnan(columns), values)
+            add_contributions(leaves, columns, np.isnan(columns), values, tables)
             added = pd.DataFrame({"base_value": base, "shap": list(values.T)}, index=batch.index)
             yield pd.concat([batch.drop(columns=["base_value", "shap"]) if before else batch, added], axis=1)
 

@@ -194,6 +194,21 @@ def test_deep_trees_against_all_coalitions(depth, monkeypatch):
                 assert values[:, row] == pytest.approx(contributions, abs=1e-9)
 
 
+def test_leaves_are_worked_out_once_for_all_batches(monkeypatch):
+    rng = np.random.default_rng(5)
+    leaves, _ = shapley.compile_trees(random_tree(rng, 4, 6), [1.0])
+    calls, real = [], shapley.unit_contributions
+    monkeypatch.setattr(shapley, "unit_contributions", lambda *a: calls.append(1) or real(*a))
+    x, kept = rng.normal(0, 1, (6, 40)), {}
+    found, alone = np.zeros(x.shape), np.zeros(x.shape)
+    for part in (slice(0, 20), slice(20, 40)):
+        shapley.add_contributions(leaves, x[:, part], np.isnan(x[:, part]), found[:, part], kept)
+    assert len(calls) == len(leaves.value) == len(kept)
+    monkeypatch.setattr(shapley, "TABLE_BYTES", 0)
+    shapley.add_contributions(leaves, x, np.isnan(x), alone)
+    assert found == pytest.approx(alone, abs=1e-12)
+
+
 def test_slices_of_leaves_add_up(spark, model, explained, inputs, monkeypatch):
     monkeypatch.setattr(shapley.Leaves.slices, "__defaults__", (400,))
     again = explain.shap_values(ml.score(inputs, model), model)
