@@ -94,6 +94,11 @@ def test_report(spark):
     assert report["weighted avg"][1] == pytest.approx(0.7)
 
 
+def test_nodes_of_rows_are_not_stored(model):
+    """An array per row and level costs more than walking a tree of depth 6."""
+    assert not model.stages[-1].getCacheNodeIds()
+
+
 def test_scores_save_and_load(spark, inputs, model, tmp_path):
     scored = ml.score(inputs, model)
     assert scored.columns == [*inputs.columns, "risk_score", "predicted_fraud"]
