@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import (
     claim_value, exact_sum, guarded_ratio, processed_at, risk_tier, zscore)
-from claimrisk.operators.lookup_join import lookup_join
+from claimrisk.operators.lookup_join import lookup_join, null_safe_join
 from claimrisk.operators.ordered import add_percent_rank, add_rank, percentiles, top_fraction
 from claimrisk.plans.silver import CHARGE, peer_percentiles, ratio_columns
 from claimrisk.schemas import PROVIDER_KEYS, PROVIDER_MEASURES
@@ -27,6 +27,12 @@ def _aggregate(rows: DataFrame, measures: dict) -> DataFrame:
     return rows.groupBy(*PROVIDER_KEYS).agg(*[m.alias(name) for name, m in measures.items()])
 
 
+def _unique_procedures(claims: DataFrame) -> DataFrame:
+    """Distinct procedures per provider key."""
+    pairs = claims.select(*PROVIDER_KEYS, "procedure_code").distinct()
+    return pairs.groupBy(*PROVIDER_KEYS).agg(F.count("procedure_code").alias("unique_procedures"))
+
+
 def provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
     """One row per provider key with 11 measures, rank in specialty and tier by rounded max z."""
     stats = _aggregate(features, {
@@ -41,14 +47,17 @@ def provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
 
 
 def scored_providers(claims: DataFrame) -> tuple[DataFrame, Size]:
-    """Provider rows with all measures and ``peak_zscore`` (unrounded), from a single pass over the claims.
+    """Provider rows with all measures and ``peak_zscore`` (unrounded), from aggregates of the claims.
 
     The z-score is linear in the charge and a provider key lies within one specialty, so the largest
     and mean z-score follow from the provider's largest and mean charge, and the peer statistics from
-    the provider rows: no claim is joined or read twice.
+    the provider rows: no claim is joined. Distinct procedures are counted apart, from keys and procedures alone: in one aggregate
+    with them, all measures would be shuffled once per procedure of a provider, and again. ``claims`` are read twice: pass a stored table.
     """
-    base, size = materialise_measured(_aggregate(claims.withColumns(ratio_columns()), {
-        **_volume_measures(),
+    measures = _volume_measures()
+    del measures["unique_procedures"]
+    base, size = materialise_measured(null_safe_join(_aggregate(claims.withColumns(ratio_columns()), {
+        **measures,
         "avg_charge_ratio": F.round(F.avg("charge_to_payment_ratio"), 4),
         "avg_billing_intensity": F.round(F.avg("billing_intensity"), 4),
         "facility_rate": F.round(F.count_if(F.col("place_of_service") == "F") / F.count("*"), 4),
@@ -57,7 +66,7 @@ def scored_providers(claims: DataFrame) -> tuple[DataFrame, Size]:
         "max_charge": F.max(CHARGE),
         "mean_charge": F.sum(CHARGE) / F.count(CHARGE),
         "var_charge": F.var_pop(CHARGE),
-    }))
+    }), _unique_procedures(claims), PROVIDER_KEYS))
     pooled = materialise(_pooled_stats(base, size))
     scored = lookup_join(base, pooled, ["specialty"], rows="providers", size=size)
     mean, spread = "specialty_avg_charge", "specialty_stddev_charge"
@@ -70,7 +79,7 @@ def scored_providers(claims: DataFrame) -> tuple[DataFrame, Size]:
 
 
 def provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
-    """``provider_risk(features(claims))`` in a single pass over the claims."""
+    """``provider_risk(features(claims))`` without joining the claims."""
     scored, size = scored_providers(claims)
     return rank_and_tier(scored.drop("peak_zscore"), size, run_ts)
 

@@ -80,7 +80,7 @@ def fct_provider_risk(features: DataFrame, run_ts=None) -> DataFrame:
 
 
 def fct_provider_risk_from_claims(claims: DataFrame, run_ts=None) -> DataFrame:
-    """``fct_provider_risk(features(claims))`` in a single pass over the claims."""
+    """``fct_provider_risk(features(claims))`` without joining the claims."""
     return rank_and_tier_by_peak(*scored_providers(claims), run_ts)
 
 

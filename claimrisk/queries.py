@@ -29,11 +29,11 @@ def feature_claims(spark, sf_dir):
 
 
 def risk(spark, sf_dir):
-    return gold.provider_risk_from_claims(clean_claims(spark, sf_dir))
+    return gold.provider_risk_from_claims(stored_claims(spark, sf_dir))
 
 
 def mart(spark, sf_dir):
-    return marts.fct_provider_risk_from_claims(clean_claims(spark, sf_dir))
+    return marts.fct_provider_risk_from_claims(stored_claims(spark, sf_dir))
 
 
 def rounded(df, digits, *columns):

@@ -61,3 +61,19 @@ def test_cohort_is_a_top_k(spark, stored, tmp_path):
     assert "TakeOrderedAndProject" in plan(serving.cohort(table, "Critical"))
     assert "EqualTo(provider_id,42)" in plan(
         serving.provider(table.withColumn("predicted_fraud", F.lit(0)), 42))
+
+
+def test_distinct_procedures_are_counted_apart(raw, monkeypatch):
+    """Measures are not shuffled once per procedure of a provider; missing keys and procedures count as before."""
+    plans, real = [], gold.materialise_measured
+    monkeypatch.setattr(gold, "materialise_measured", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    claims = silver.clean(raw(
+        {"HCPCS_Cd": "a"}, {"HCPCS_Cd": "a"}, {"HCPCS_Cd": "b"}, {"HCPCS_Cd": None},
+        {"Rndrng_Prvdr_City": None, "HCPCS_Cd": None}, {"Rndrng_Prvdr_City": None, "HCPCS_Cd": None},
+        {"Rndrng_Prvdr_Type": None, "HCPCS_Cd": "c"}))
+    found = gold.provider_risk_from_claims(claims).select("specialty", "city", "total_procedures", "unique_procedures").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [("Cardiology", "A", 4, 2), ("Cardiology", None, 2, 0), (None, "A", 1, 1)], key=str)
+    by_procedure = [line for line in plans[0].splitlines() if "Aggregate(keys" in line and "procedure_code" in line.split("functions")[0]]
+    assert by_procedure and all("functions=[]" in line for line in by_procedure)
