@@ -121,11 +121,11 @@ def _dedup_from_parts(spark, sf_dir):
     system.deleteOnExit(place)
     claims = clean_claims(spark, sf_dir).drop(*AUDIT_TIMES)
     claims.withColumn("part", F.pmod(F.xxhash64("avg_submitted_charge", "total_services"), F.lit(PARTS))).write.partitionBy(
-        "part").parquet(f"{folder}/claims")
+        "part").parquet(f"{folder}/claims", compression=deduped_parts.CODEC)
     deduped = deduped_parts.DedupedClaims(spark, f"{folder}/deduped")
     for part in ARRIVALS:
         if part != "fold":
-            deduped.add_part(f"part {part}", spark.read.schema(claims.schema).parquet(f"{folder}/claims/part={part}"))
+            deduped.add_part(f"part {part}", spark.read.schema(claims.schema).parquet(f"{folder}/claims/part={part}"), stored=True)
     return deduped.table()
 
 

@@ -9,6 +9,7 @@ from test_scans import last_execution, rows_read
 
 from claimrisk.operators import lookup_join
 from claimrisk.operators.dedupe import keep_first
+from claimrisk.plans import deduped_parts
 from claimrisk.plans.deduped_parts import BUCKETS, DedupedClaims
 from claimrisk.schemas import CLAIM_GRAIN
 
@@ -65,3 +66,17 @@ def test_empty_and_broken_parts(spark, tmp_path):
     assert rows_of(deduped.table()) == rows_of(keep_first(part(spark, 0), CLAIM_GRAIN))
     deduped.add_part("1", part(spark, 1))
     assert rows_of(deduped.table()) == whole
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_claims_are_not_copied_on_the_way(spark, tmp_path, monkeypatch, stored):
+    """A part that is stored already is written once, to the part; another one is copied once before. Only few claims repeat."""
+    copies, real = [], deduped_parts.store
+    monkeypatch.setattr(deduped_parts, "store", lambda df, *rest: copies.append(df.columns) or real(df, *rest))
+    deduped = DedupedClaims(spark, str(tmp_path / "d"))
+    for number in range(4):
+        part(spark, number).write.parquet(str(tmp_path / f"in{number}"))
+        deduped.add_part(str(number), spark.read.parquet(str(tmp_path / f"in{number}")), **({"stored": True} if stored else {}))
+    whole = [c for c in copies if {"charge", "note"} <= set(c)]
+    assert len(whole) == (0 if stored else 4)
+    assert rows_of(deduped.table()) == rows_of(keep_first(spark.createDataFrame(ROWS, COLUMNS), CLAIM_GRAIN))
