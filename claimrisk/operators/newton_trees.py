@@ -1,6 +1,7 @@
 """Second-order boosted trees (Chen and Guestrin, 2016) grown from histograms, one aggregate per tree level.
 
-Inputs are replaced by numbers of quantile bins once. A level of a tree needs the sums of gradients and curvatures per
+Inputs are replaced by numbers of quantile bins once. Rows that fit one task are grown there, whole trees at a time: the wait for
+thousands of short jobs would take longer than the sums. Of more rows, a level of a tree needs the sums of gradients and curvatures per
 (node, input, bin), which tasks add up over their rows and a shuffle by input over tasks. What finds the best cut of an input sees the sums of
 all its bins; the driver gets three sums per node and input, picks among the inputs and never sees rows. Rows carry their bins, label, weight, and margin, gradient and
 curvature from before the tree that grows.
@@ -17,11 +18,12 @@ from pyspark.sql import functions as F
 
 from claimrisk.session import store
 
-# Rows of a partition of the training rows, about, as long as there are no more partitions than cores: each one sends its sums at every level.
-PARTITION_ROWS = 100_000
-# Rows of a block at most, about: a task holds one block at a time.
+# Training rows that a single task may hold, some 100 bytes each: up to so many, tasks grow whole trees. Above it a tenth of it is what a
+# partition has, about, as long as there are no more partitions than cores: each one sends its sums at every level.
+PARTITION_ROWS = 1_000_000
+# Rows of a block at most, about: a task that adds up a level holds one block at a time.
 BLOCK_ROWS = 50_000
-# Trees after which the margins of all rows are checkpointed.
+# Trees after which the margins of all rows are checkpointed, and which a task grows in one go.
 ADD_EVERY = 25
 # The bin of a missing value.
 MISSING = -1
@@ -236,11 +238,33 @@ def best_splits(gradient, curvature, usable, l2, least_curvature, least_gain):
             left_g[nodes, number, cut, side], left_h[nodes, number, cut, side])
 
 
+def _extended(tree, level, found, cuts, step, l2, least_curvature, least_gain):
+    """Splits the nodes of a level of ``tree`` by what ``_best_cut`` found in each input; the numbers in the level of those split."""
+    # What is left of an input's bins: up to its best cut, above it, missing.
+    usable = np.array([[len(c) > 0, False] for c in cuts])
+    cut = np.stack([c for _, c, _ in found], 1)
+    gradient, curvature = (np.stack([three[i] for *_, three in found], 1) for i in range(2))
+    first = 2 ** level - 1
+    if not level:
+        g, h = gradient[0, 0].sum(), curvature[0, 0].sum()
+        tree.cover[0], tree.value[0] = h, -step * g / (h + l2)
+    gain, number, _, missing_left, left_g, left_h = best_splits(
+        gradient, curvature, usable, l2, least_curvature, least_gain)
+    split = np.flatnonzero(gain > 0).tolist()
+    for node in split:
+        at = first + node
+        g, h = gradient[node, 0].sum(), curvature[node, 0].sum()
+        tree.input[at], tree.cut[at], tree.gain[at] = number[node], cut[node, number[node]], gain[node]
+        tree.threshold[at], tree.missing_left[at] = cuts[number[node]][tree.cut[at]], missing_left[node]
+        for child, (cg, ch) in ((2 * at + 1, (left_g[node], left_h[node])),
+                                (2 * at + 2, (g - left_g[node], h - left_h[node]))):
+            tree.cover[child], tree.value[child] = ch, -step * cg / (ch + l2)
+    return split
+
+
 def _grow(blocks, depth, cuts, step, l2, least_curvature, least_gain):
     """The next tree: one shuffle of sums per level, as long as some node can be split."""
     widths = [len(c) + 2 for c in cuts]
-    # What is left of an input's bins on the driver: up to its best cut, above it, missing.
-    usable = np.array([[len(c) > 0, False] for c in cuts])
     best_cut, partitions = _best_cut(l2, least_curvature, least_gain), blocks.getNumPartitions()
     tree = _empty(depth)
     for level in range(depth):
@@ -248,27 +272,99 @@ def _grow(blocks, depth, cuts, step, l2, least_curvature, least_gain):
         if partitions > 1:
             sums = sums.reduceByKey(np.add, min(partitions, len(cuts)))
         found = sorted(sums.map(best_cut).collect(), key=lambda f: f[0])
-        cut = np.stack([c for _, c, _ in found], 1)
-        gradient, curvature = (np.stack([three[i] for *_, three in found], 1) for i in range(2))
-        first, split = 2 ** level - 1, False
-        if not level:
-            g, h = gradient[0, 0].sum(), curvature[0, 0].sum()
-            tree.cover[0], tree.value[0] = h, -step * g / (h + l2)
-        gain, number, _, missing_left, left_g, left_h = best_splits(
-            gradient, curvature, usable, l2, least_curvature, least_gain)
-        for node in np.flatnonzero(gain > 0).tolist():
-            at, split = first + node, True
-            g, h = gradient[node, 0].sum(), curvature[node, 0].sum()
-            tree.input[at], tree.cut[at], tree.gain[at] = number[node], cut[node, number[node]], gain[node]
-            tree.threshold[at], tree.missing_left[at] = cuts[number[node]][tree.cut[at]], missing_left[node]
-            for child, (cg, ch) in ((2 * at + 1, (left_g[node], left_h[node])),
-                                    (2 * at + 2, (g - left_g[node], h - left_h[node]))):
-                tree.cover[child], tree.value[child] = ch, -step * cg / (ch + l2)
-        if not split:
+        if not _extended(tree, level, found, cuts, step, l2, least_curvature, least_gain):
             break
     return tree
 
 
+def grow_here(gradient, curvature, slots, depth, cuts, step, l2, least_curvature, least_gain):
+    """The next tree from arrays of all rows, and the rows of each of its leaves; ``slots`` has the bins of each input, missing
+    values in the last one. Of two children the one with fewer rows is added up, the other one has the rest of their parent's sums."""
+    best_cut, widths = _best_cut(l2, least_curvature, least_gain), [len(c) + 2 for c in cuts]
+
+    def added(rows):
+        g, h = (a if rows is None else a.take(rows) for a in (gradient, curvature))
+        for own, width in zip(slots, widths):
+            own = (own if rows is None else own.take(rows)).astype(np.intp)
+            yield np.stack([np.bincount(own, g, width), np.bincount(own, h, width)])
+
+    tree, leaves = _empty(depth), []
+    nodes, sums = {0: None}, [total[:, None] for total in added(None)]
+    for level in range(depth):
+        found = [best_cut(summed) for summed in enumerate(sums)]
+        split = set(_extended(tree, level, found, cuts, step, l2, least_curvature, least_gain))
+        below, last = {}, level + 1 == depth
+        totals = [] if last else [np.zeros((2, 2 * s.shape[1], s.shape[2])) for s in sums]
+        for node, rows in nodes.items():
+            at = 2 ** level - 1 + node
+            if node not in split:
+                leaves.append((at, rows))
+                continue
+            number = tree.input[at]
+            own = slots[number] if rows is None else slots[number].take(rows)
+            left = own <= tree.cut[at]
+            if tree.missing_left[at]:
+                left |= own == widths[number] - 1
+            sides = [np.flatnonzero(side) if rows is None else rows.compress(side) for side in (left, ~left)]
+            below[2 * node], below[2 * node + 1] = sides
+            if last:
+                continue
+            fewer = int(len(sides[1]) < len(sides[0]))
+            for total, whole, part in zip(totals, sums, added(sides[fewer])):
+                total[:, 2 * node + fewer], total[:, 2 * node + 1 - fewer] = part, whole[:, node] - part
+        nodes, sums = below, totals
+        if not nodes:
+            break
+    return tree, [*leaves, *((2 ** depth - 1 + node, rows) for node, rows in nodes.items())]
+
+
+def _joined(blocks):
+    """label, weight, margin and bins (inputs by rows) of all blocks of a task."""
+    label, weight, margin, bins = zip(*((*block[:3], block[-2]) for block in blocks))
+    return *map(np.concatenate, (label, weight, margin)), np.concatenate(bins, 1)
+
+
+def _boosted(rounds, depth, cuts, step, *limits):
+    """The only partition's blocks to a list of the next trees and, after it, the blocks with their margins added."""
+    def run(blocks):
+        label, weight, margin, bins = _joined(blocks)
+        slots = [np.where(own == MISSING, len(cut) + 1, own).astype(np.int16) for own, cut in zip(bins, cuts)]
+        trees = []
+        for _ in range(rounds):
+            chance = 1 / (1 + np.exp(-margin))
+            tree, leaves = grow_here(weight * (chance - label), weight * chance * (1 - chance), slots, depth, cuts, step, *limits)
+            trees.append(tree)
+            for at, rows in leaves:
+                margin[slice(None) if rows is None else rows] += tree.value[at]
+            if _ends(tree):
+                break
+        yield trees
+        for part in (slice(i, i + BLOCK_ROWS) for i in range(0, len(label), BLOCK_ROWS)):
+            yield label[part], weight[part], margin[part], bins[:, part], bool((bins[:, part] == MISSING).any())
+    return run
+
+
+def _ends(tree):
+    """Whether nothing is left to learn."""
+    return tree.input[0] < 0 and abs(tree.value[0]) < 1e-12
+
+
+def _whole_trees(blocks, rounds, *settings):
+    """The trees of a single partition of blocks: a job, and what a lost executor costs, is some trees."""
+    trees, held = [], blocks
+    while len(trees) < rounds:
+        state = blocks.mapPartitions(_boosted(min(ADD_EVERY, rounds - len(trees)), *settings)).persist(StorageLevel.MEMORY_AND_DISK)
+        state.checkpoint()
+        trees += state.filter(lambda part: isinstance(part, list)).first()
+        held.unpersist()
+        held, blocks = state, state.filter(lambda part: not isinstance(part, list))
+        if _ends(trees[-1]):
+            trees.pop()
+            break
+    held.unpersist()
+    return trees
+
+
 def fit(rows: DataFrame, inputs, label: str, weight: str, rounds=300, depth=6, step=0.05, l2=1.0, least_curvature=1.0,
         least_gain=0.0, max_bins=256) -> NewtonModel:
     """Boosted trees for the logistic loss of ``label`` (0 or 1) on ``rows`` with a ``weight``; NULL and NaN inputs are missing.
@@ -283,18 +379,26 @@ def fit(rows: DataFrame, inputs, label: str, weight: str, rounds=300, depth=6, s
         F.col(label).cast("double").alias("label"), F.col(weight).cast("double").alias("weight"), F.lit(0.0).alias("margin"),
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)])
     schema = "label double, weight double, margin double, " + ", ".join(f"b{i} short" for i in range(len(inputs)))
-    partitions = max(1, min(-(-rows.count() // PARTITION_ROWS), rows.sparkSession.sparkContext.defaultParallelism))
-    blocks = _blocks(store(binned.mapInArrow(_binned(cuts), schema).repartition(partitions)))
+    count = rows.count()
+    # A lone tree is grown by levels.
+    whole = rounds > 1 and count <= PARTITION_ROWS
+    partitions = 1 if whole else max(1, min(-(-count // max(1, PARTITION_ROWS // 10)), rows.sparkSession.sparkContext.defaultParallelism))
+    stored = store(binned.mapInArrow(_binned(cuts), schema).repartition(partitions))
+    # Reading may split a file again.
+    blocks = _blocks(stored.coalesce(1) if whole else stored)
+    limits = step, l2, least_curvature, least_gain
+    if whole and count:
+        return NewtonModel(inputs, _whole_trees(blocks, rounds, depth, cuts, *limits), depth)
     trees = []
     for number in range(rounds):
         # Computed with the first level; lost blocks follow from the last checkpoint and the trees since.
         state = blocks.map(_advanced(trees[-1] if trees else None, depth)).persist(StorageLevel.MEMORY_AND_DISK)
         if number and number % ADD_EVERY == 0:
             state.checkpoint()
-        tree = _grow(state, depth, cuts, step, l2, least_curvature, least_gain)
+        tree = _grow(state, depth, cuts, *limits)
         blocks.unpersist()
         blocks = state
-        if tree.input[0] < 0 and abs(tree.value[0]) < 1e-12:
+        if _ends(tree):
             break
         trees.append(tree)
     blocks.unpersist()

@@ -132,3 +132,24 @@ def test_few_values_missing_inputs_and_one_leaf(spark):
     model = nt.fit(table, ["a", "b"], "label", "weight", rounds=2)
     assert [t.input[0] for t in model.trees] == [-1, -1] and model.margins(np.zeros((1, 2)))[0] > 0
     assert MISSING < 0
+
+
+@pytest.mark.parametrize("every", [25, 2])
+def test_rows_of_one_task_are_not_added_up_by_levels(spark, rows, monkeypatch, every):
+    """Thousands of jobs, one per level, take longer than the trees: rows that fit a task meet a job for some trees at a time."""
+    monkeypatch.setattr(nt, "_grow", lambda *a: pytest.fail("a job per level"))
+    monkeypatch.setattr(nt, "ADD_EVERY", every)
+    model = nt.fit(frame(spark, rows), ["a", "b", "c"], "label", "weight", rounds=7, depth=4, step=0.3)
+    trees, margin = slow_trees(*rows, rounds=7, depth=4, step=0.3, l2=1.0, least_curvature=1.0)
+    assert len(model.trees) == 7
+    assert all(same(nested(a), b) for a, b in zip(model.trees, trees))
+    assert model.margins(rows[0]) == pytest.approx(margin)
+
+
+def test_whole_trees_and_trees_by_levels_are_the_same(spark, rows, monkeypatch):
+    many = frame(spark, rows).crossJoin(spark.range(5)).withColumn("a", F.col("a") + F.col("id")).drop("id")
+    fit = lambda: nt.fit(many, ["a", "b", "c"], "label", "weight", rounds=4, depth=5, max_bins=32)
+    whole = fit()
+    monkeypatch.setattr(nt, "PARTITION_ROWS", 300)
+    assert all(same(nested(a), nested(b)) for a, b in zip(whole.trees, fit().trees))
+    assert len(whole.trees) == 4
