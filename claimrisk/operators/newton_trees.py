@@ -23,8 +23,10 @@ from claimrisk.session import store
 PARTITION_ROWS = 1_000_000
 # Rows of a block at most, about: a task that adds up a level holds one block at a time.
 BLOCK_ROWS = 50_000
-# Trees after which the margins of all rows are checkpointed, and which a task grows in one go.
+# Trees after which the margins of all rows are checkpointed.
 ADD_EVERY = 25
+# As many where a task grows them in one go, which is when it hands over its rows.
+TASK_TREES = 100
 # The bin of a missing value.
 MISSING = -1
 
@@ -318,7 +320,7 @@ def grow_here(gradient, curvature, slots, depth, cuts, step, l2, least_curvature
     return tree, [*leaves, *((2 ** depth - 1 + node, rows) for node, rows in nodes.items())]
 
 
-def _joined(blocks):
+def joined(blocks):
     """label, weight, margin and bins (inputs by rows) of all blocks of a task."""
     label, weight, margin, bins = zip(*((*block[:3], block[-2]) for block in blocks))
     return *map(np.concatenate, (label, weight, margin)), np.concatenate(bins, 1)
@@ -327,17 +329,17 @@ def _joined(blocks):
 def _boosted(rounds, depth, cuts, step, *limits):
     """The only partition's blocks to a list of the next trees and, after it, the blocks with their margins added."""
     def run(blocks):
-        label, weight, margin, bins = _joined(blocks)
+        label, weight, margin, bins = joined(blocks)
         slots = [np.where(own == MISSING, len(cut) + 1, own).astype(np.int16) for own, cut in zip(bins, cuts)]
         trees = []
         for _ in range(rounds):
             chance = 1 / (1 + np.exp(-margin))
             tree, leaves = grow_here(weight * (chance - label), weight * chance * (1 - chance), slots, depth, cuts, step, *limits)
+            if _ends(tree):
+                break
             trees.append(tree)
             for at, rows in leaves:
                 margin[slice(None) if rows is None else rows] += tree.value[at]
-            if _ends(tree):
-                break
         yield trees
         for part in (slice(i, i + BLOCK_ROWS) for i in range(0, len(label), BLOCK_ROWS)):
             yield label[part], weight[part], margin[part], bins[:, part], bool((bins[:, part] == MISSING).any())
@@ -349,22 +351,39 @@ def _ends(tree):
     return tree.input[0] < 0 and abs(tree.value[0]) < 1e-12
 
 
-def _whole_trees(blocks, rounds, *settings):
-    """The trees of a single partition of blocks: a job, and what a lost executor costs, is some trees."""
-    trees, held = [], blocks
-    while len(trees) < rounds:
-        state = blocks.mapPartitions(_boosted(min(ADD_EVERY, rounds - len(trees)), *settings)).persist(StorageLevel.MEMORY_AND_DISK)
+def task_trees(blocks, rounds, boosted):
+    """The trees of a single partition of blocks: a job, and what a lost executor costs, is some trees. ``boosted`` takes the number
+    of the first one and how many there should be; fewer end the model."""
+    trees, held, wanted = [], blocks, 0
+    while len(trees) == wanted < rounds:
+        number = min(TASK_TREES, rounds - wanted)
+        state = blocks.mapPartitions(boosted(wanted, number)).persist(StorageLevel.MEMORY_AND_DISK)
         state.checkpoint()
         trees += state.filter(lambda part: isinstance(part, list)).first()
+        wanted += number
         held.unpersist()
         held, blocks = state, state.filter(lambda part: not isinstance(part, list))
-        if _ends(trees[-1]):
-            trees.pop()
-            break
     held.unpersist()
     return trees
 
 
+def training_values(rows: DataFrame, inputs, label: str, weight: str) -> DataFrame:
+    """``label, weight, margin`` and the inputs, as numbers."""
+    return rows.select(
+        F.col(label).cast("double").alias("label"), F.col(weight).cast("double").alias("weight"), F.lit(0.0).alias("margin"),
+        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)])
+
+
+def _bins(values, cuts):
+    schema = "label double, weight double, margin double, " + ", ".join(f"b{i} short" for i in range(len(cuts)))
+    return values.mapInArrow(_binned(cuts), schema)
+
+
+def task_blocks(values, cuts):
+    """The rows as blocks of one partition."""
+    return _blocks(_bins(values, cuts).repartition(1))
+
+
 def fit(rows: DataFrame, inputs, label: str, weight: str, rounds=300, depth=6, step=0.05, l2=1.0, least_curvature=1.0,
         least_gain=0.0, max_bins=256) -> NewtonModel:
     """Boosted trees for the logistic loss of ``label`` (0 or 1) on ``rows`` with a ``weight``; NULL and NaN inputs are missing.
@@ -375,20 +394,14 @@ def fit(rows: DataFrame, inputs, label: str, weight: str, rounds=300, depth=6, s
     """
     inputs = list(inputs)
     cuts = quantile_cuts(rows, inputs, max_bins)
-    binned = rows.select(
-        F.col(label).cast("double").alias("label"), F.col(weight).cast("double").alias("weight"), F.lit(0.0).alias("margin"),
-        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)])
-    schema = "label double, weight double, margin double, " + ", ".join(f"b{i} short" for i in range(len(inputs)))
-    count = rows.count()
-    # A lone tree is grown by levels.
-    whole = rounds > 1 and count <= PARTITION_ROWS
-    partitions = 1 if whole else max(1, min(-(-count // max(1, PARTITION_ROWS // 10)), rows.sparkSession.sparkContext.defaultParallelism))
-    stored = store(binned.mapInArrow(_binned(cuts), schema).repartition(partitions))
-    # Reading may split a file again.
-    blocks = _blocks(stored.coalesce(1) if whole else stored)
+    values, count = training_values(rows, inputs, label, weight), rows.count()
     limits = step, l2, least_curvature, least_gain
-    if whole and count:
-        return NewtonModel(inputs, _whole_trees(blocks, rounds, depth, cuts, *limits), depth)
+    # A lone tree is grown by levels.
+    if rounds > 1 and 0 < count <= PARTITION_ROWS:
+        trees = task_trees(task_blocks(values, cuts), rounds, lambda _, number: _boosted(number, depth, cuts, *limits))
+        return NewtonModel(inputs, trees, depth)
+    partitions = max(1, min(-(-count // max(1, PARTITION_ROWS // 10)), rows.sparkSession.sparkContext.defaultParallelism))
+    blocks = _blocks(store(_bins(values, cuts).repartition(partitions)))
     trees = []
     for number in range(rounds):
         # Computed with the first level; lost blocks follow from the last checkpoint and the trees since.
@@ -405,10 +418,10 @@ def fit(rows: DataFrame, inputs, label: str, weight: str, rounds=300, depth=6, s
     return NewtonModel(inputs, trees, depth)
 
 
-def _blocks(stored: DataFrame):
-    """The stored rows as an RDD of blocks: a model takes a job per level of each tree, and those jobs have nothing to
-    plan. Blocks that are lost with an executor are read from the stored rows again."""
-    packed = stored.mapInArrow(_packed, "block binary")
+def _blocks(binned: DataFrame):
+    """The binned rows as an RDD of blocks: a model may take a job per level of each tree, and those jobs have nothing to
+    plan. Blocks that are lost with an executor are made from the rows again."""
+    packed = binned.mapInArrow(_packed, "block binary")
     return packed.rdd.map(lambda row: pickle.loads(row.block)).persist(StorageLevel.MEMORY_AND_DISK)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimrisk.functions.columns import flag
-from claimrisk.operators import newton_trees
+from claimrisk.operators import first_order_trees, newton_trees
 from claimrisk.operators.lookup_join import lookup_join, null_safe_join
 from claimrisk.operators.newton_trees import NewtonModel
 from claimrisk.operators.ordered import add_percent_rank, add_rank_among, order_index
@@ -99,15 +99,18 @@ def fit(train: DataFrame, feature_set="reference", rounds=300, depth=6, step=0.0
     """Boosted trees on the given rows, positives weighted by the class ratio of these rows.
 
     Training is MLlib's distributed histogram algorithm; its per-round state is checkpointed. Nodes of rows are not cached: a
-    tree of small depth is walked faster than an array per row and level is stored.
+    tree of small depth is walked faster than an array per row and level is stored. Rows that fit a task are trained on there, to
+    the same kind of model.
     """
     scratch_dir(train.sparkSession)
-    rows = _weighted(train).select(
-        *FEATURE_SETS[feature_set], F.col("fraud_flag").cast("double").alias("label"), "weight")
+    inputs = FEATURE_SETS[feature_set]
+    rows = _weighted(train).select(*inputs, F.col("fraud_flag").cast("double").alias("label"), "weight")
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth,
         stepSize=step, seed=seed, maxBins=max_bins, checkpointInterval=10, cacheNodeIds=False)
-    assembler = VectorAssembler(inputCols=FEATURE_SETS[feature_set], outputCol="features")
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+    if rows.count() <= newton_trees.PARTITION_ROWS:
+        return PipelineModel([assembler, first_order_trees.fit(rows, inputs, "label", "weight", trees)])
     return Pipeline(stages=[assembler, trees]).fit(rows)
 
 

@@ -272,3 +272,34 @@ def test_any_rule_labels_providers(spark, sf_dir, raw):
 
 def test_formula_scores_have_both_predictions(spark, sf_dir):
     assert formula_scores(mart(spark, sf_dir)).select("predicted_fraud").distinct().count() == 2
+
+
+def in_mllib(monkeypatch, *args, **settings):
+    """The model that MLlib itself fits."""
+    with monkeypatch.context() as patch:
+        patch.setattr(ml.newton_trees, "PARTITION_ROWS", 0)
+        return ml.fit(*args, **settings)
+
+
+@pytest.mark.parametrize("every", [100, 3])
+def test_first_order_trees_of_a_task_are_those_of_mllib(spark, inputs, monkeypatch, every):
+    from claimrisk.operators import newton_trees
+    monkeypatch.setattr(newton_trees, "TASK_TREES", every)
+    # Of inputs that cut the same rows, either may be taken: noise tells them apart.
+    noise = {c: F.col(c) + (1 + F.abs(c)) * F.rand(i) for i, c in enumerate(FEATURE_SETS["no_leak"][1:])}
+    train = materialise(inputs.crossJoin(spark.range(20)).drop("id").withColumns(noise))
+    theirs = in_mllib(monkeypatch, train, "no_leak", rounds=8, depth=3, max_bins=32)
+    monkeypatch.setattr(ml.GBTClassifier, "fit", lambda self, *a, real=ml.GBTClassifier.fit: (
+        real(self, *a) if self.getMaxIter() == 1 else pytest.fail("a job per level")))
+    ours = ml.fit(train, "no_leak", rounds=8, depth=3, max_bins=32)
+    assert ours.stages[-1].treeWeights == theirs.stages[-1].treeWeights == [1.0] + [0.05] * 7
+    assert (ours.stages[-1].getMaxIter(), ours.stages[-1].getMaxDepth(), ours.stages[-1].getMaxBins()) == (8, 3, 32)
+    order = lambda n: (n.treeID, n.id)
+    a, b = (sorted(explain.tree_nodes(spark, m), key=order) for m in (ours, theirs))
+    assert [n[:2] + n[3:6] for n in a] == [n[:2] + n[3:6] for n in b]
+    for name in ("prediction", "threshold", "cover"):
+        assert [getattr(n, name) or 0 for n in a] == pytest.approx([getattr(n, name) or 0 for n in b], abs=1e-9)
+    assert ours.stages[-1].featureImportances.toArray() == pytest.approx(theirs.stages[-1].featureImportances.toArray())
+    key = lambda r: str(r[:-2])
+    for x, y in zip(*(sorted(ml.score(inputs, m).collect(), key=key) for m in (ours, theirs))):
+        assert x.risk_score == pytest.approx(y.risk_score, abs=1e-9)

@@ -134,11 +134,11 @@ def test_few_values_missing_inputs_and_one_leaf(spark):
     assert MISSING < 0
 
 
-@pytest.mark.parametrize("every", [25, 2])
+@pytest.mark.parametrize("every", [100, 2])
 def test_rows_of_one_task_are_not_added_up_by_levels(spark, rows, monkeypatch, every):
     """Thousands of jobs, one per level, take longer than the trees: rows that fit a task meet a job for some trees at a time."""
     monkeypatch.setattr(nt, "_grow", lambda *a: pytest.fail("a job per level"))
-    monkeypatch.setattr(nt, "ADD_EVERY", every)
+    monkeypatch.setattr(nt, "TASK_TREES", every)
     model = nt.fit(frame(spark, rows), ["a", "b", "c"], "label", "weight", rounds=7, depth=4, step=0.3)
     trees, margin = slow_trees(*rows, rounds=7, depth=4, step=0.3, l2=1.0, least_curvature=1.0)
     assert len(model.trees) == 7
