@@ -359,16 +359,14 @@ def _ml_evaluate(spark, sf_dir):
     inputs = _inputs(spark, sf_dir)
     pairs = [(name, learner) for learner in ml.LEARNERS for name in FEATURE_SETS]
     held_out = inputs.filter(F.col("split") == "test")
-
-    def figures(pair):
-        name, learner = pair
-        model = _fitted(spark, sf_dir, inputs, name, learner)
-        return ml.evaluate(ml.score(held_out, model)).select(
-            F.lit(learner).alias("learner"), F.lit(name).alias("feature_set"), "*")
-
-    # A model is fitted in few tasks, or in many short jobs one after another; those of different models run side by side.
+    # A model is fitted in few tasks, or in many short jobs one after another: those of different models run side by side, and
+    # one by one their figures are worked out while later ones are fitted.
     with ThreadPoolExecutor(len(pairs)) as pool:
-        return reduce(DataFrame.unionByName, pool.map(figures, pairs))
+        models = pool.map(lambda pair: _fitted(spark, sf_dir, inputs, *pair), pairs)
+        figures = [ml.evaluate(ml.score(held_out, model)).select(
+            F.lit(learner).alias("learner"), F.lit(name).alias("feature_set"), "*")
+            for (name, learner), model in zip(pairs, models)]
+    return reduce(DataFrame.unionByName, figures)
 
 
 # What holds for any model: counts that SQL knows from the mart, and numbers of rows that break a rule.
